@@ -5,6 +5,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 from datetime import datetime
+from typing import Any, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,10 @@ from tallyworks.operators import clean as cleaning
 from tallyworks.operators import enrich as enrichment
 from tallyworks.operators import metrics
 from tallyworks.plans import analytics, pipeline
-from tallyworks.schemas import PRODUCT_COLUMNS, SALES_COLUMNS, TARGET_CURRENCY, CleaningSpec
+from tallyworks.schemas import PRODUCT_COLUMNS, SALES_COLUMNS, SALES_SCHEMA, TARGET_CURRENCY, CleaningSpec
 from tallyworks.sources import driver_tables, files, scratch, tables
 
+T = TypeVar("T")
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the registered runs; the oracle SQL states the same values. The amount
@@ -29,15 +31,31 @@ SPEC = CleaningSpec(amount_max=100000.0, max_rejection_rate=0.5)
 CATEGORIES = ("ECONOMY", "LARGE", "PROMO")
 KEYS = ("OrderID", "ProductID")
 
-_runs: dict[tuple[str, str], pipeline.Run] = {}
-_lock = threading.Lock()
+_built: dict[tuple[str, str, str], Any] = {}
+_lock = threading.RLock()
+
+
+def once(what: str, spark: SparkSession, sf_dir: str, build: Callable[[], T]) -> T:
+    """Build something once per session and table folder."""
+    key = (what, spark.sparkContext.applicationId, sf_dir)
+    with _lock:
+        if key not in _built:
+            _built[key] = build()
+        return _built[key]
 
 
 # --- inputs and stages as lazy frames ---------------------------------------------------
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return driver_tables.raw_sales(spark, sf_dir)
+    """The raw order lines, derived from the given tables once and read from shared storage."""
+
+    def derive() -> str:
+        path = scratch.new_folder(spark, "raw")
+        driver_tables.raw_sales(spark, sf_dir).write.parquet(path)
+        return path
+
+    return spark.read.schema(SALES_SCHEMA).parquet(once("raw", spark, sf_dir, derive))
 
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,20 +85,21 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def loaded_run(spark: SparkSession, sf_dir: str) -> pipeline.Run:
     """The pipeline over the given tables, run once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    with _lock:
-        if key not in _runs:
-            _runs[key] = pipeline.run_pipeline(
-                raw(spark, sf_dir),
-                driver_tables.products(spark, sf_dir),
-                driver_tables.rate_quotes(spark, sf_dir),
-                scratch.new_folder(spark, "load"),
-                RUN_TS,
-                SPEC,
-                as_of=RATES_AS_OF,
-                export_csv=False,
-            )
-        return _runs[key]
+    return once(
+        "load",
+        spark,
+        sf_dir,
+        lambda: pipeline.run_pipeline(
+            raw(spark, sf_dir),
+            driver_tables.products(spark, sf_dir),
+            driver_tables.rate_quotes(spark, sf_dir),
+            scratch.new_folder(spark, "load"),
+            RUN_TS,
+            SPEC,
+            as_of=RATES_AS_OF,
+            export_csv=False,
+        ),
+    )
 
 
 def loaded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,7 +136,7 @@ def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch.new_folder(spark, "sales-lines")
     raw(spark, sf_dir).select(line.alias(",".join(SALES_COLUMNS))).write.csv(path, header=True, sep="|")
-    return files.malformed_rows(files.read_csv(spark, path, files.SALES_SCHEMA))
+    return files.malformed_rows(files.read_marked(spark, path, SALES_SCHEMA))
 
 
 def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw order line per lineitem row, all columns text."""
+    """One raw order line per lineitem row, all columns text.
+
+    Lines and orders both grow with the data, so they are always sorted and merged;
+    the customer side is broadcast only while the planner finds it small enough.
+    """
     places = (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -31,7 +35,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"
     )
-    joined = lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = lines.join(headers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
 
     key, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     money = "decimal(12,2)"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,42 +19,45 @@ class SchemaMismatch(ValueError):
     """An input lacks expected columns."""
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV as text columns, with ``_corrupt_record`` set on rows of a wrong length.
+def _reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
+    """Header CSV of text columns.
 
     The header must name the columns in order; Spark raises otherwise, where binding by
     position would swap columns silently. A missing path raises as well.
     """
+    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+
+
+def read_marked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows, with the line as ``_corrupt_record`` where it has too few or too many fields.
+
+    Whole lines are parsed: with column pruning Spark would not see a wrong field count
+    when a query needs only some of the columns.
+    """
     declared = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
-    return (
-        spark.read.schema(declared)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", False)
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .csv(path)
-    )
-
-
-def keep_or_drop(rows: DataFrame, on_malformed: str) -> DataFrame:
-    """Rows without the corrupt column: all of them, or only the well-formed ones."""
-    if on_malformed not in ("keep", "reject"):
-        raise ValueError(f"on_malformed must be 'keep' or 'reject', not {on_malformed!r}")
+    marked = _reader(spark, declared).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    return marked.option("columnPruning", False).csv(path)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, on_malformed: str) -> DataFrame:
+    """Rows of a wrong length are cut or padded with nulls (``keep``), or left out (``reject``)."""
+    if on_malformed == "keep":
+        return _reader(spark, schema).csv(path)
     if on_malformed == "reject":
-        rows = rows.filter(F.col(CORRUPT_COLUMN).isNull())
-    return rows.drop(CORRUPT_COLUMN)
+        return read_marked(spark, path, schema).filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+    raise ValueError(f"on_malformed must be 'keep' or 'reject', not {on_malformed!r}")
 
 
 def read_sales(spark: SparkSession, path: str, on_malformed: str = "keep") -> DataFrame:
-    return keep_or_drop(read_csv(spark, path, SALES_SCHEMA), on_malformed)
+    return _read(spark, path, SALES_SCHEMA, on_malformed)
 
 
 def read_products(spark: SparkSession, path: str, on_malformed: str = "keep") -> DataFrame:
-    return keep_or_drop(read_csv(spark, path, PRODUCT_SCHEMA), on_malformed)
+    return _read(spark, path, PRODUCT_SCHEMA, on_malformed)
 
 
 def malformed_rows(rows: DataFrame) -> DataFrame:
-    """First field and text of the rows that do not fit the schema, from a frame of ``read_csv``."""
+    """First field and text of the rows that do not fit the schema, from a frame of ``read_marked``."""
     return rows.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(rows.columns[0], F.col(CORRUPT_COLUMN).alias("RawLine"))
 
 
