@@ -19,13 +19,13 @@ class SchemaMismatch(ValueError):
     """An input lacks expected columns."""
 
 
-def _reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
+def _reader(spark: SparkSession, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrameReader:
     """Header CSV of text columns.
 
     The header must name the columns in order; Spark raises otherwise, where binding by
     position would swap columns silently. A missing path raises as well.
     """
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    return spark.read.schema(schema).option("header", True).option("mode", mode).option("enforceSchema", False)
 
 
 def read_marked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -44,7 +44,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, on_malformed: st
     if on_malformed == "keep":
         return _reader(spark, schema).csv(path)
     if on_malformed == "reject":
-        return read_marked(spark, path, schema).filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+        return _reader(spark, schema, "DROPMALFORMED").option("columnPruning", False).csv(path)
     raise ValueError(f"on_malformed must be 'keep' or 'reject', not {on_malformed!r}")
 
 
