@@ -7,19 +7,16 @@ from pyspark.sql import functions as F
 
 
 def number_text(value: Column) -> Column:
-    """Shortest text of a double: plain digits from 1e-4 up to 1e16, else ``d.de+XX``."""
-    magnitude = F.abs(value)
+    """Shortest text of a double: plain digits from 1e-4 up to 1e16, else ``d.de+XX``, inf or nan."""
+    size, text = F.abs(value), value.cast("string")
     digits = F.rtrim(value.try_cast("decimal(38,22)").cast("string"), F.lit("0"))
     plain = F.regexp_replace(digits, r"\.$", ".0")
-    power = F.regexp_replace(value.cast("string"), r"(\.0)?E", "e")
-    power = F.regexp_replace(power, r"e([0-9])", "e+$1")
-    power = F.regexp_replace(power, r"e-([0-9])$", "e-0$1")
+    power = F.regexp_replace(F.regexp_replace(text, r"(\.0)?E(?=[0-9])", "e+"), r"(\.0)?E-", "e-")
+    padded = F.regexp_replace(power, r"e-(?=[0-9]$)", "e-0")
     return (
-        F.when(F.isnan(value), "nan")
-        .when(magnitude == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
-        .when((magnitude >= 1e-3) & (magnitude < 1e7) | (magnitude == 0), value.cast("string"))
-        .when((magnitude >= 1e-4) & (magnitude < 1e16), plain)
-        .otherwise(power)
+        F.when((size == 0) | size.between(1e-3, 9.999e6), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(F.lower(F.replace(padded, F.lit("Infinity"), F.lit("inf"))))
     )
 
 

@@ -6,7 +6,7 @@ All checks see the text as it was read: trimming and capitalising come last.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -21,61 +21,71 @@ from tallyworks.schemas import SALES_COLUMNS, TARGET_CURRENCY, UNKNOWN_CUSTOMER,
 
 CHECK = "_check"
 PARSED_DATE = "_date"
+AMOUNT = "_amount"
+DISCOUNT = "_discount"
 
 
 @dataclass(frozen=True)
 class Check:
-    """A validation step: the rows it rejects and how the rejection is described."""
+    """A validation step: the rows it rejects and how a rejection is described."""
 
     code: str
     error_type: str
     stage: str
     broken: Column
-    message: Column
+    message: Callable[[], Column]
 
 
 def _required_check(spec: CleaningSpec) -> Check:
-    rules = [Rule(field, "required", mandatory=True) for field in spec.required]
     broken = F.lit(False)
-    for rule in rules:
-        broken = broken | violated(rule)
-    names = [F.when(missing(field), F.lit(f"'{field}'")) for field in spec.required]
-    message = F.concat(F.lit("Missing required fields: ["), joined(names, ", "), F.lit("]"))
+    for field in spec.required:
+        broken = broken | violated(Rule(field, "required", mandatory=True))
+
+    def message() -> Column:
+        names = [F.when(missing(field), F.lit(f"'{field}'")) for field in spec.required]
+        return F.concat(F.lit("Missing required fields: ["), joined(names, ", "), F.lit("]"))
+
     return Check("required", "Missing Required Fields", "Required Field Validation", broken, message)
 
 
 def _date_check(spec: CleaningSpec) -> Check:
-    message = F.concat(F.lit("Invalid date format: "), F.coalesce(F.col("OrderDate"), F.lit("None")))
+    def message() -> Column:
+        return F.concat(F.lit("Invalid date format: "), F.coalesce(F.col("OrderDate"), F.lit("None")))
+
     return Check("date", "Invalid Date Format", "Date Validation", F.col(PARSED_DATE).isNull(), message)
 
 
 def _enum_check(spec: CleaningSpec) -> Check:
-    region = violated(Rule("Region", "enum", spec.regions))
-    currency = violated(Rule("Currency", "enum", spec.currencies))
-    errors = [
-        F.when(region & (F.col("Region") != ""), F.concat(F.lit("Invalid region: "), "Region")),
-        F.when(currency & (F.col("Currency") != ""), F.concat(F.lit("Invalid currency: "), "Currency")),
-    ]
-    message = F.concat(F.lit("Invalid enum values: "), joined(errors, "; "))
+    accepted_values = {"Region": spec.regions, "Currency": spec.currencies}
+
+    def message() -> Column:
+        errors = [
+            F.when((F.col(field) != "") & ~F.col(field).isin(*values), F.concat(F.lit(f"Invalid {field.lower()}: "), field))
+            for field, values in accepted_values.items()
+        ]
+        return F.concat(F.lit("Invalid enum values: "), joined(errors, "; "))
+
+    region, currency = [violated(Rule(field, "enum", values)) for field, values in accepted_values.items()]
     return Check("enum", "Invalid Enum Values", "Enum Validation", region | currency, message)
 
 
 def _range_check(spec: CleaningSpec) -> Check:
     limits = {
-        "SaleAmount": (spec.amount_min, spec.amount_max),
-        "Discount": (spec.discount_min, spec.discount_max),
+        "SaleAmount": (AMOUNT, spec.amount_min, spec.amount_max),
+        "Discount": (DISCOUNT, spec.discount_min, spec.discount_max),
     }
-    broken, errors = F.lit(False), []
-    for field, bounds in limits.items():
-        outside = violated(Rule(field, "range", bounds))
-        number = safe_double(F.col(field))
-        broken = broken | outside
-        # NaN is rejected, yet no comparison names it as the cause.
-        errors.append(
-            F.when(outside & ~F.isnan(number), F.concat(F.lit(f"{field} out of range: "), number_text(number)))
-        )
-    message = F.concat(F.lit("Invalid numeric ranges: "), joined(errors, "; "))
-    return Check("range", "Invalid Numeric Range", "Numeric Validation", broken, message)
+
+    def message() -> Column:
+        errors = []
+        for field, (column, low, high) in limits.items():
+            number = F.col(column)
+            # NaN is rejected, yet no comparison names it as the cause.
+            outside = ((number < low) | (number > high)) & ~F.isnan(number)
+            errors.append(F.when(outside, F.concat(F.lit(f"{field} out of range: "), number_text(number))))
+        return F.concat(F.lit("Invalid numeric ranges: "), joined(errors, "; "))
+
+    amount, discount = [violated(Rule(column, "range", (low, high))) for column, low, high in limits.values()]
+    return Check("range", "Invalid Numeric Range", "Numeric Validation", amount | discount, message)
 
 
 def checks(spec: CleaningSpec = CleaningSpec()) -> list[Check]:
@@ -83,20 +93,27 @@ def checks(spec: CleaningSpec = CleaningSpec()) -> list[Check]:
     return [_required_check(spec), _date_check(spec), _enum_check(spec), _range_check(spec)]
 
 
+def with_numbers(df: DataFrame) -> DataFrame:
+    """Adds the double values that the range check looks at."""
+    return df.withColumns({AMOUNT: safe_double(F.col("SaleAmount")), DISCOUNT: safe_double(F.col("Discount"))})
+
+
 def with_parsed_date(df: DataFrame, spec: CleaningSpec = CleaningSpec()) -> DataFrame:
+    """Adds the date that the date check looks at."""
     return df.withColumn(PARSED_DATE, parse_date(F.col("OrderDate"), spec.date_formats))
 
 
 def tag_rows(raw: DataFrame, spec: CleaningSpec = CleaningSpec()) -> DataFrame:
     """Raw columns as text, the parsed date and the code of the first failed check (null if none)."""
-    df = with_parsed_date(raw.select(*[F.col(c).cast("string").alias(c) for c in SALES_COLUMNS]), spec)
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in SALES_COLUMNS])
+    df = with_numbers(with_parsed_date(text, spec))
     first_failed = F.coalesce(*[F.when(check.broken, F.lit(check.code)) for check in checks(spec)])
-    return df.withColumn(CHECK, first_failed)
+    return df.select(*SALES_COLUMNS, PARSED_DATE, first_failed.alias(CHECK))
 
 
 def flag_rows(df: DataFrame, check: Check) -> DataFrame:
     """The rows with ``ErrorMessage``, null where the check passes."""
-    return df.withColumn("ErrorMessage", F.when(check.broken, check.message))
+    return df.withColumn("ErrorMessage", F.when(check.broken, check.message()))
 
 
 def _split(df: DataFrame, check: Check) -> tuple[DataFrame, DataFrame]:
@@ -124,7 +141,8 @@ def validate_enum_values(df: DataFrame, spec: CleaningSpec = CleaningSpec()) ->
 
 def validate_numeric_ranges(df: DataFrame, spec: CleaningSpec = CleaningSpec()) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) by the amount and discount bounds."""
-    return _split(df, _range_check(spec))
+    valid, invalid = _split(with_numbers(df), _range_check(spec))
+    return valid.drop(AMOUNT, DISCOUNT), invalid.drop(AMOUNT, DISCOUNT)
 
 
 def rejects(tagged: DataFrame, run_ts: datetime, spec: CleaningSpec = CleaningSpec()) -> DataFrame:
@@ -132,15 +150,18 @@ def rejects(tagged: DataFrame, run_ts: datetime, spec: CleaningSpec = CleaningSp
     steps = checks(spec)
 
     def per_check(value) -> Column:
-        return F.coalesce(*[F.when(F.col(CHECK) == check.code, value(check)) for check in steps])
-
-    numbers = ("SaleAmount", "Discount")
-    row = [safe_double(F.col(c)).alias(c) if c in numbers else F.col(c) for c in SALES_COLUMNS]
-    return tagged.filter(F.col(CHECK).isNotNull()).select(
+        chosen = F.when(F.col(CHECK) == steps[0].code, value(steps[0]))
+        for check in steps[1:]:
+            chosen = chosen.when(F.col(CHECK) == check.code, value(check))
+        return chosen
+
+    numbers = {"SaleAmount": AMOUNT, "Discount": DISCOUNT}
+    row = [F.col(numbers.get(c, c)).alias(c) for c in SALES_COLUMNS]
+    return with_numbers(tagged.filter(F.col(CHECK).isNotNull())).select(
         "OrderID",
         "ProductID",
         per_check(lambda check: F.lit(check.error_type)).alias("ErrorType"),
-        per_check(lambda check: check.message).alias("ErrorMessage"),
+        per_check(lambda check: check.message()).alias("ErrorMessage"),
         per_check(lambda check: F.lit(check.stage)).alias("ProcessingStage"),
         timestamp_literal(run_ts).alias("RejectionTimestamp"),
         F.to_json(F.struct(*row), {"ignoreNullFields": "false"}).alias("RawData"),

@@ -56,8 +56,7 @@ def write_table(df: DataFrame, run: Run, name: str, database: str | None) -> Dat
     if database:
         tables.load_table(df, f"{database}.{name}", "replace")
         return df.sparkSession.table(f"{database}.{name}")
-    df.write.mode("overwrite").parquet(run.path(name))
-    return df.sparkSession.read.parquet(run.path(name))
+    return files.write_and_read(df, run.path(name))
 
 
 def run_pipeline(
@@ -88,8 +87,7 @@ def run_pipeline(
         seen = Observation("tagged")
         tagged = cleaning.tag_rows(sales, spec)
         observed = tagged.observe(seen, *[m.alias(name) for name, m in metrics.stage_counts().items()])
-        observed.write.mode("overwrite").parquet(run.path("staging/tagged"))
-        state["tagged"] = spark.read.parquet(run.path("staging/tagged"))
+        state["tagged"] = files.write_and_read(observed, run.path("staging/tagged"))
         state["checked"] = dict(seen.get)
         ids = products.groupBy("ProductID").agg(F.count(F.lit(1)).alias("n"))
         found = _first_row(ids.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") > 1).alias("repeated")))
@@ -108,8 +106,7 @@ def run_pipeline(
 
     def load() -> dict[str, Any]:
         resolved = enrichment.resolve_rates(quotes, as_of or run_ts, ttl, TARGET_CURRENCY, spec.currencies)
-        resolved.write.mode("overwrite").parquet(run.path("staging/rates"))
-        rates = spark.read.parquet(run.path("staging/rates"))
+        rates = files.write_and_read(resolved, run.path("staging/rates"))
         cleaned = cleaning.clean(state["tagged"], spec)
         enriched = enrichment.enrich(cleaned, products, rates, run_ts, spec.currencies)
         seen = Observation("enriched")

@@ -16,7 +16,7 @@ from tallyworks.operators import clean as cleaning
 from tallyworks.operators import enrich as enrichment
 from tallyworks.operators import metrics
 from tallyworks.plans import analytics, pipeline
-from tallyworks.schemas import PRODUCT_COLUMNS, SALES_COLUMNS, SALES_SCHEMA, TARGET_CURRENCY, CleaningSpec
+from tallyworks.schemas import PRODUCT_COLUMNS, SALES_COLUMNS, SALES_SCHEMA, TARGET_CURRENCY, CleaningSpec, ddl
 from tallyworks.sources import driver_tables, files, scratch, tables
 
 T = TypeVar("T")
@@ -55,7 +55,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         driver_tables.raw_sales(spark, sf_dir).write.parquet(path)
         return path
 
-    return spark.read.schema(SALES_SCHEMA).parquet(once("raw", spark, sf_dir, derive))
+    return files.read_written(spark, once("raw", spark, sf_dir, derive), SALES_SCHEMA)
 
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,27 +83,27 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the loaded tables, which the reports read ------------------------------------------
 
 
-def loaded_run(spark: SparkSession, sf_dir: str) -> pipeline.Run:
-    """The pipeline over the given tables, run once per session and folder."""
-    return once(
-        "load",
-        spark,
-        sf_dir,
-        lambda: pipeline.run_pipeline(
-            raw(spark, sf_dir),
-            driver_tables.products(spark, sf_dir),
-            driver_tables.rate_quotes(spark, sf_dir),
-            scratch.new_folder(spark, "load"),
-            RUN_TS,
-            SPEC,
-            as_of=RATES_AS_OF,
-            export_csv=False,
-        ),
+def load(spark: SparkSession, sf_dir: str) -> pipeline.Run:
+    """One run of the pipeline over the given tables."""
+    return pipeline.run_pipeline(
+        raw(spark, sf_dir),
+        driver_tables.products(spark, sf_dir),
+        driver_tables.rate_quotes(spark, sf_dir),
+        scratch.new_folder(spark, "load"),
+        RUN_TS,
+        SPEC,
+        as_of=RATES_AS_OF,
+        export_csv=False,
     )
 
 
+def loaded_run(spark: SparkSession, sf_dir: str) -> pipeline.Run:
+    """The run whose tables the reports read: one per session and table folder."""
+    return once("load", spark, sf_dir, lambda: load(spark, sf_dir))
+
+
 def loaded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(loaded_run(spark, sf_dir).path(name))
+    return files.read_written(spark, loaded_run(spark, sf_dir).path(name), ddl(tables.LAYOUTS[name]))
 
 
 def report(build: Callable[..., DataFrame], *names: str) -> Query:
@@ -173,7 +173,7 @@ def single_check(position: int, *columns: str) -> Query:
     """All rows with the message of one check, null where it passes."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = cleaning.with_parsed_date(raw(spark, sf_dir), SPEC)
+        rows = cleaning.with_numbers(cleaning.with_parsed_date(raw(spark, sf_dir), SPEC))
         return cleaning.flag_rows(rows, cleaning.checks(SPEC)[position]).select(*KEYS, *columns, "ErrorMessage")
 
     return query

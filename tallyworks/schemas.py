@@ -68,6 +68,13 @@ CONVERSION_LOG_TABLE = (
     ("RecordCount", "bigint"),
 )
 
+
+
+def ddl(layout) -> str:
+    """The columns of a table as schema text."""
+    return ", ".join(f"`{name}` {kind}" for name, kind in layout)
+
+
 # Column order of the enriched CSV export.
 EXPORT_COLUMNS = SALES_COLUMNS + (
     "ProductName",

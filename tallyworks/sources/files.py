@@ -76,6 +76,17 @@ def check_inputs(sales: DataFrame, products: DataFrame) -> None:
         raise SchemaMismatch("; ".join(errors))
 
 
+def read_written(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Parquet of a known schema, read without a job to find the schema out."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def write_and_read(df: DataFrame, path: str) -> DataFrame:
+    """The frame from parquet files on shared storage: computed once, lineage cut."""
+    df.write.mode("overwrite").parquet(path)
+    return read_written(df.sparkSession, path, df.schema)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Directory of CSV parts with a header, replacing what was there."""
     df.write.csv(path, header=True, mode="overwrite")

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.schemas import CONVERSION_LOG_TABLE, ERROR_TABLE, SALES_TABLE
+from tallyworks.schemas import CONVERSION_LOG_TABLE, ERROR_TABLE, SALES_TABLE, ddl
 
 LAYOUTS = {"SalesData": SALES_TABLE, "ErrorLogging": ERROR_TABLE, "CurrencyConversionLog": CONVERSION_LOG_TABLE}
 WRITE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
@@ -35,8 +35,7 @@ def view_exists(spark: SparkSession, name: str) -> bool:
 
 def create_table(spark: SparkSession, name: str, layout: Sequence[tuple[str, str]]) -> None:
     """An empty parquet table with the given columns."""
-    columns = ", ".join(f"`{column}` {kind}" for column, kind in layout)
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet")
+    spark.sql(f"CREATE TABLE {name} ({ddl(layout)}) USING parquet")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

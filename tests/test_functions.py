@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyworks.functions.casts import exact_amount, safe_double
-from tallyworks.functions.dates import compile_format, parse_date, timestamp_literal
+from tallyworks.functions.dates import parse_date, read_format, timestamp_literal
 from tallyworks.functions.rules import CATEGORY_RULE, DEFAULT_RULES, Rule, rule_report, violated
 from tallyworks.functions.text import number_text
 from tallyworks.schemas import CleaningSpec
@@ -54,10 +54,16 @@ def test_every_day_reads_back(spark):
         assert wrong.count() == 0, layout
 
 
-def test_unsupported_formats_raise():
-    for fmt in ("%H:%M", "%d%m%Y", "on %d/%m/%Y"):
+def test_unsupported_formats_raise(spark):
+    for fmt in ("%H:%M", "%d%m%Y", "on %d/%m/%Y", "%d/%m", "%d/%d/%Y", "%d %m %Y"):
         with pytest.raises(ValueError):
-            compile_format(fmt)
+            read_format(F.col("t"), fmt)
+
+
+def test_separators_may_differ(spark):
+    texts = ["1.2/2023", "1/2.2023", "1.2.2023", "31..12::1999"]
+    read = F.coalesce(read_format(F.col("t"), "%d.%m/%Y"), read_format(F.col("t"), "%d..%m::%Y"))
+    assert evaluate(spark, texts, read) == [date(2023, 2, 1), None, None, date(1999, 12, 31)]
 
 
 def test_timestamp_literal_ignores_the_time_zone(spark):

@@ -124,3 +124,23 @@ def test_hot_product_is_split_when_the_product_table_is_large(spark, skewed):
             spark.conf.unset(name)
     assert len(rows) == n
     assert "SortMergeJoin(skew=true)" in text
+
+
+def test_generated_methods_stay_small_enough_to_be_compiled(spark, capsys):
+    """The JVM leaves methods above 8000 bytes of code to the interpreter."""
+    tagged = spark.read.parquet(registry.loaded_run(spark, SF).path("staging/tagged"))
+    frames = {
+        "tag": registry.tagged(spark, SF),
+        "accepted": C.accepted(registry.tagged(spark, SF)),
+        "clean": C.clean(tagged, registry.SPEC),
+        "rejects": C.rejects(tagged, RUN_TS, registry.SPEC),
+        "sales": registry.sales(spark, SF),
+    }
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, df in frames.items():
+            df.explain("codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+            assert sizes and max(sizes) < 8000, (name, sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
