@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.functions.casts import safe_double
 from tallyworks.functions.dates import timestamp_literal
 from tallyworks.operators.clean import CHECK
 from tallyworks.operators.enrich import is_converted
@@ -42,13 +43,17 @@ def as_lines(one_row: DataFrame, names: Sequence[str], key: str = "Metric", valu
 
 
 def data_profile(sales: DataFrame, products: DataFrame, approximate: bool = False) -> DataFrame:
-    """Row, null and distinct counts of the inputs; a null counts as one distinct value."""
+    """Row, null and distinct counts of the inputs.
+
+    A null counts as one distinct value, and an amount that is not a number as a null.
+    """
 
     def distinct(name: str) -> Column:
         counted = F.approx_count_distinct(name) if approximate else F.count_distinct(name)
         return counted + F.coalesce(F.max(F.col(name).isNull().cast("bigint")), F.lit(0))
 
-    nulls = {f"null_{c}": F.count_if(F.col(c).isNull()) for c in PROFILED}
+    present = {c: safe_double(F.col(c)) if c == "SaleAmount" else F.col(c) for c in PROFILED}
+    nulls = {f"null_{c}": F.count_if(value.isNull()) for c, value in present.items()}
     uniques = {name: distinct(c) for c, name in DISTINCT.items()}
     measures = {"sales_records": F.count(F.lit(1)), **nulls, **uniques}
     profile = sales.agg(*[measure.alias(name) for name, measure in measures.items()])
@@ -105,19 +110,21 @@ def enforce_rejection_rate(failed: int, total: int, max_rejection_rate: float) -
         raise RejectionRateExceeded(f"rejection rate {rate:.2f}% exceeds the limit of {limit:.2f}%")
 
 
-def enrich_counts() -> dict[str, Column]:
-    """Aggregates over enriched rows before final formatting."""
-    return {
-        "product_enriched_records": F.count_if(F.col("ProductName").isNotNull()),
-        "currency_converted_records": F.count_if(is_converted()),
-        "final_records": F.count(F.lit(1)),
-    }
+def enrich_counts(columns: Sequence[str]) -> dict[str, Column]:
+    """Aggregates over enriched rows before final formatting, for the steps that have run."""
+    counts = {}
+    if "ProductName" in columns:
+        counts["product_enriched_records"] = F.count_if(F.col("ProductName").isNotNull())
+    if "OriginalCurrency" in columns:
+        counts["currency_converted_records"] = F.count_if(is_converted())
+    counts["final_records"] = F.count(F.lit(1))
+    return counts
 
 
 def enrich_metrics(cleaned: DataFrame, enriched: DataFrame) -> DataFrame:
     """(metric, value) lines: rows before, with a product, converted and after."""
     initial = cleaned.agg(F.count(F.lit(1)).alias("initial_records"))
-    counts = enrich_counts()
+    counts = enrich_counts(enriched.columns)
     final = enriched.agg(*[measure.alias(name) for name, measure in counts.items()])
     return as_lines(initial, ["initial_records"]).unionByName(as_lines(final, list(counts)))
 

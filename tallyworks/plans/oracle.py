@@ -198,7 +198,9 @@ def distinct(column: str) -> str:
 
 PROFILE = {
     "sales_records": "count(*)",
-    **{f"null_{c}": nulls(c) for c in ("OrderID", "ProductID", "SaleAmount", "OrderDate", "Region", "Currency")},
+    **{f"null_{c}": nulls(c) for c in ("OrderID", "ProductID")},
+    "null_SaleAmount": nulls("amount"),
+    **{f"null_{c}": nulls(c) for c in ("OrderDate", "Region", "Currency")},
     "unique_regions": distinct("Region"),
     "unique_currencies": distinct("Currency"),
     "unique_products": distinct("ProductID"),
@@ -298,6 +300,8 @@ def _pipeline_metrics() -> str:
     rows += stage("loading", "sales", {"sales_records_loaded": "count(*)"})
     rows += stage("loading", "rejected", {"error_records_loaded": "count(*)"})
     rows += stage("loading", "logs", {"conversion_logs_loaded": "count(*)"})
+    for switch in ("product_enrichment_enabled", "currency_conversion_enabled"):
+        rows.append(f"SELECT 'enrichment', '{switch}', CAST(1 AS DOUBLE)")
     for name in ("ingestion", "cleaning", "enrichment", "loading"):
         rows.append(f"SELECT '{name}', 'success', CAST(1 AS DOUBLE)")
     rows.append("SELECT 'pipeline', 'overall_success', CAST(1 AS DOUBLE)")
@@ -386,7 +390,7 @@ SELECT OrderID, ProductID, SaleAmount, OriginalSaleAmount, strftime(OrderDate, '
         "rule_report": _rule_report(),
         "contract_violations": _contracts(),
         "data_profile": statement(
-            lines("raw", PROFILE) + "\nUNION ALL " + lines("products", {"product_records": "count(*)"}), "raw", "products"
+            lines("typed", PROFILE) + "\nUNION ALL " + lines("products", {"product_records": "count(*)"}), "typed", "products"
         ),
         "distinct_currencies": statement("SELECT DISTINCT Currency FROM raw", "raw"),
         "clean_metrics": statement(

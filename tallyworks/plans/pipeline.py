@@ -1,4 +1,4 @@
-"""The whole run: ingest, clean, enrich and load, with each wide result written once."""
+"""The stages as lazy steps, and the whole run with each wide result written once."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.functions.dates import timestamp_literal
 from tallyworks.operators import clean as cleaning
 from tallyworks.operators import enrich as enrichment
 from tallyworks.operators import metrics
@@ -20,158 +21,251 @@ from tallyworks.sources import files, tables
 METRIC_SCHEMA = "stage string, metric string, value double"
 
 
+# --- stages -----------------------------------------------------------------------------
+
+
+def ingest(
+    spark: SparkSession, sales_path: str, products_path: str, on_malformed: str = "keep"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sales, products, profile) of two CSV files; raises if a column is missing."""
+    sales = files.read_sales(spark, sales_path, on_malformed)
+    products = files.read_products(spark, products_path, on_malformed)
+    files.check_inputs(sales, products)
+    return sales, products, metrics.data_profile(sales, products)
+
+
+def clean_sales(
+    raw: DataFrame, run_ts: datetime, spec: CleaningSpec = CleaningSpec()
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cleaned, rejected, metrics) of raw rows."""
+    tagged = cleaning.tag_rows(raw, spec)
+    rejected = cleaning.rejects(tagged, run_ts, spec)
+    return cleaning.clean(tagged, spec), rejected, metrics.clean_metrics(tagged, spec.duplicate_keys)
+
+
+def enrich_sales(
+    cleaned: DataFrame,
+    products: DataFrame | None,
+    rates: DataFrame | None,
+    run_ts: datetime,
+    spec: CleaningSpec = CleaningSpec(),
+) -> tuple[DataFrame, DataFrame]:
+    """(final rows, metrics) of cleaned rows; ``None`` switches a step off."""
+    enriched = enrichment.enrich(cleaned, products, rates, run_ts, spec.currencies)
+    return enrichment.finalize(enriched), metrics.enrich_metrics(cleaned, enriched)
+
+
+def load_all(
+    final: DataFrame, rejected: DataFrame, logs: DataFrame, write: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """Refresh the three target tables and count their rows."""
+    sales = write(tables.sales_table(final), "SalesData")
+    errors = write(tables.error_table(rejected), "ErrorLogging")
+    return tables.loading_summary(sales, errors, write(metrics.conversion_log_table(logs), "CurrencyConversionLog"))
+
+
+# --- the whole run ----------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Options:
+    """Parameters of a run; ``run_ts`` stands for the present time everywhere."""
+
+    run_ts: datetime
+    spec: CleaningSpec = CleaningSpec()
+    ttl: timedelta = timedelta(hours=1)
+    as_of: datetime | None = None
+    lookup_products: bool = True
+    convert_amounts: bool = True
+    export_csv: bool = True
+    database: str | None = None
+
+
 @dataclass
 class Run:
-    """Where a run wrote its results and what it measured."""
+    """Where a run writes its results and what it has measured."""
 
     folder: str
+    database: str | None = None
     lines: list[tuple[str, str, float]] = field(default_factory=list)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
+    def refresh(self, df: DataFrame, name: str) -> DataFrame:
+        """Full refresh of a target table, in the catalog or as parquet in the run's folder."""
+        if self.database:
+            tables.load_table(df, f"{self.database}.{name}", "replace")
+            return df.sparkSession.table(f"{self.database}.{name}")
+        return files.write_and_read(df, self.path(name))
+
     def record(self, stage: str, values: dict[str, Any]) -> None:
         self.lines += [(stage, name, float(value)) for name, value in values.items()]
 
-    def timed(self, stage: str, step: Callable[[], dict[str, Any]]) -> dict[str, Any]:
+    def timed(self, stage: str, step: Callable[..., dict[str, Any]], *args) -> None:
         started = time.monotonic()
-        values = step()
+        values = step(*args)
         self.record(stage, {**values, "success": 1})
         self.record(stage, {"duration_seconds": time.monotonic() - started})
-        return values
+
+
+@dataclass
+class State:
+    """Frames and counts handed from stage to stage."""
+
+    sales: DataFrame
+    products: DataFrame
+    quotes: DataFrame
+    options: Options
+    tagged: DataFrame | None = None
+    loaded: dict[str, DataFrame] = field(default_factory=dict)
+    checked: dict[str, int] = field(default_factory=dict)
+    products_repeat: bool = False
 
 
 def _first_row(df: DataFrame) -> dict[str, Any]:
     return df.first().asDict()
 
 
+def _observed(df: DataFrame, name: str, measures: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    seen = Observation(name)
+    return df.observe(seen, *[measure.alias(label) for label, measure in measures.items()]), seen
+
+
+def _ingestion(run: Run, state: State) -> dict[str, Any]:
+    """Tag the raw rows and write them once; both the rejects and the accepted rows read this."""
+    files.check_inputs(state.sales, state.products)
+    tagged = cleaning.tag_rows(state.sales, state.options.spec)
+    observed, seen = _observed(tagged, "tagged", metrics.stage_counts())
+    state.tagged = files.write_and_read(observed, run.path("staging/tagged"))
+    state.checked = dict(seen.get)
+    files.write_json_summary(metrics.data_profile(state.tagged, state.products), run.path("raw_data_summary"))
+    per_id = state.products.groupBy("ProductID").agg(F.count(F.lit(1)).alias("n"))
+    counts = _first_row(
+        per_id.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("products"), F.count_if(F.col("n") > 1).alias("repeated"))
+    )
+    state.products_repeat = state.options.lookup_products and counts["repeated"] > 0
+    return {"records_processed": state.checked["initial_records"], "product_records": counts["products"]}
+
+
+def _cleaning(run: Run, state: State) -> dict[str, Any]:
+    """Write the rejects, then let the rejection rate decide whether the run goes on."""
+    spec, checked = state.options.spec, state.checked
+    rejected = cleaning.rejects(state.tagged, state.options.run_ts, spec)
+    state.loaded["ErrorLogging"] = run.refresh(tables.error_table(rejected), "ErrorLogging")
+    if state.options.export_csv:
+        rows = state.loaded["ErrorLogging"].withColumnRenamed("ErrorTimestamp", "RejectionTimestamp")
+        files.write_csv(rows, run.path("rejected_records_csv"))
+    failed, total = checked["rejected_records"], checked["initial_records"]
+    metrics.enforce_rejection_rate(failed, total, spec.max_rejection_rate)
+    return {**checked, "rejection_rate": 100 * failed / total if total else 0}
+
+
 def _converted_per_currency(spec: CleaningSpec) -> dict[str, Column]:
     """Converted rows per accepted currency, rate known: a closed set, so a fixed list of counts."""
     known = enrichment.is_converted() & F.col("RateSource").isNotNull()
     return {c: F.count_if(known & (F.col("OriginalCurrency") == c)) for c in spec.currencies if c != TARGET_CURRENCY}
 
 
-def write_table(df: DataFrame, run: Run, name: str, database: str | None) -> DataFrame:
-    """Full refresh of a target table, in the catalog or as parquet in the run's folder."""
-    if database:
-        tables.load_table(df, f"{database}.{name}", "replace")
-        return df.sparkSession.table(f"{database}.{name}")
-    return files.write_and_read(df, run.path(name))
+def _conversion_log(rates: DataFrame, converted: dict[str, int], run_ts: datetime) -> DataFrame:
+    """One line per currency that was converted; at most one per accepted currency."""
+    rows = [(currency, n) for currency, n in converted.items() if n]
+    counts = rates.sparkSession.createDataFrame(rows, "FromCurrency string, RecordCount bigint")
+    log = rates.join(F.broadcast(counts), rates["from_currency"] == counts["FromCurrency"]).select(
+        "FromCurrency",
+        F.col("to_currency").alias("ToCurrency"),
+        F.col("rate").alias("ExchangeRate"),
+        F.col("source").alias("Source"),
+        "RecordCount",
+        timestamp_literal(run_ts).alias("ConversionTimestamp"),
+    )
+    return metrics.conversion_log_table(log)
+
+
+def _enrichment(run: Run, state: State) -> dict[str, Any]:
+    """Clean, enrich and write the accepted rows in one pass, counting on the way."""
+    options, spec = state.options, state.options.spec
+    resolved = enrichment.resolve_rates(
+        state.quotes, options.as_of or options.run_ts, options.ttl, TARGET_CURRENCY, spec.currencies
+    )
+    rates = files.write_and_read(resolved, run.path("staging/rates"))
+    enriched = enrichment.enrich(
+        cleaning.clean(state.tagged, spec),
+        state.products if options.lookup_products else None,
+        rates if options.convert_amounts else None,
+        options.run_ts,
+        spec.currencies,
+    )
+    per_currency = _converted_per_currency(spec) if options.convert_amounts else {}
+    wanted = {**metrics.enrich_counts(enriched.columns), **{f"in_{c}": m for c, m in per_currency.items()}}
+    observed, seen = _observed(enriched, "enriched", wanted)
+    state.loaded["SalesData"] = run.refresh(tables.sales_table(enrichment.finalize(observed)), "SalesData")
+    counts = dict(seen.get)
+    converted = {c: counts.pop(f"in_{c}") for c in per_currency}
+    state.loaded["CurrencyConversionLog"] = run.refresh(
+        _conversion_log(rates, converted, options.run_ts), "CurrencyConversionLog"
+    )
+
+    cleaned_rows = counts["final_records"]
+    if state.products_repeat:  # the lookup has repeated rows, so count the keys instead
+        cleaned_rows = _first_row(metrics.clean_metrics(state.tagged, spec.duplicate_keys))["final_records"]
+    accepted_rows = state.checked["initial_records"] - state.checked["rejected_records"]
+    run.record("cleaning", {"final_records": cleaned_rows, "duplicates_removed": accepted_rows - cleaned_rows})
+    values = {
+        "initial_records": cleaned_rows,
+        **counts,
+        "product_enrichment_enabled": options.lookup_products,
+        "currency_conversion_enabled": options.convert_amounts,
+    }
+    summary = state.sales.sparkSession.createDataFrame(
+        [(name, float(value)) for name, value in values.items()], "metric string, value double"
+    )
+    files.write_json_summary(summary, run.path("enrichment_summary"))
+    return values
+
+
+def _loading(run: Run, state: State) -> dict[str, Any]:
+    """Export the enriched rows and count what the tables hold."""
+    loaded = state.loaded
+    if state.options.export_csv:
+        files.write_csv(enrichment.export_rows(loaded["SalesData"]), run.path("cleaned_sales_csv"))
+    summary = tables.loading_summary(loaded["SalesData"], loaded["ErrorLogging"], loaded["CurrencyConversionLog"])
+    counts = {row["TableName"]: row["RowCount"] for row in summary.collect()}
+    return {
+        "sales_records_loaded": counts["SalesData"],
+        "error_records_loaded": counts["ErrorLogging"],
+        "conversion_logs_loaded": counts["CurrencyConversionLog"],
+    }
 
 
 def run_pipeline(
-    sales: DataFrame,
-    products: DataFrame,
-    quotes: DataFrame,
-    folder: str,
-    run_ts: datetime,
-    spec: CleaningSpec = CleaningSpec(),
-    ttl: timedelta = timedelta(hours=1),
-    as_of: datetime | None = None,
-    database: str | None = None,
-    export_csv: bool = True,
+    sales: DataFrame, products: DataFrame, quotes: DataFrame, folder: str, options: Options
 ) -> Run:
     """Run all stages and return the metrics; ``folder`` must be shared storage.
 
-    The tagged rows are written once and read by both the rejects and the accepted rows.
     The counts come from observations on the final stage of a write, where a repeated
-    task is counted once, so no stage is computed twice for its metrics. Rejects are
-    written before the rejection rate can stop the run, and any failed step raises.
+    task is counted once, so nothing is computed twice for its metrics. Any failed step
+    raises, after the metrics so far have been written.
     """
-    spark = sales.sparkSession
-    run = Run(folder.rstrip("/"))
-    state: dict[str, Any] = {}
-
-    def ingest() -> dict[str, Any]:
-        files.check_inputs(sales, products)
-        seen = Observation("tagged")
-        tagged = cleaning.tag_rows(sales, spec)
-        observed = tagged.observe(seen, *[m.alias(name) for name, m in metrics.stage_counts().items()])
-        state["tagged"] = files.write_and_read(observed, run.path("staging/tagged"))
-        state["checked"] = dict(seen.get)
-        ids = products.groupBy("ProductID").agg(F.count(F.lit(1)).alias("n"))
-        found = _first_row(ids.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") > 1).alias("repeated")))
-        state["repeated_products"] = found["repeated"]
-        return {"records_processed": state["checked"]["initial_records"], "product_records": found["rows"]}
-
-    def reject() -> dict[str, Any]:
-        checked = state["checked"]
-        errors = tables.error_table(cleaning.rejects(state["tagged"], run_ts, spec))
-        state["errors"] = write_table(errors, run, "ErrorLogging", database)
-        metrics.enforce_rejection_rate(
-            checked["rejected_records"], checked["initial_records"], spec.max_rejection_rate
-        )
-        rate = 100 * checked["rejected_records"] / checked["initial_records"] if checked["initial_records"] else 0
-        return {**checked, "rejection_rate": rate}
-
-    def load() -> dict[str, Any]:
-        resolved = enrichment.resolve_rates(quotes, as_of or run_ts, ttl, TARGET_CURRENCY, spec.currencies)
-        rates = files.write_and_read(resolved, run.path("staging/rates"))
-        cleaned = cleaning.clean(state["tagged"], spec)
-        enriched = enrichment.enrich(cleaned, products, rates, run_ts, spec.currencies)
-        seen = Observation("enriched")
-        per_currency = _converted_per_currency(spec)
-        observed = enriched.observe(
-            seen,
-            *[m.alias(name) for name, m in metrics.enrich_counts().items()],
-            *[m.alias(f"converted_{c}") for c, m in per_currency.items()],
-        )
-        final = tables.sales_table(enrichment.finalize(observed))
-        state["sales"] = write_table(final, run, "SalesData", database)
-        counts = dict(seen.get)
-        logged = [(c, counts.pop(f"converted_{c}")) for c in per_currency]
-        state["logs"] = write_table(_conversion_log(spark, rates, logged, run_ts), run, "CurrencyConversionLog", database)
-        cleaned_rows = counts["final_records"]
-        if state["repeated_products"]:
-            cleaned_rows = _first_row(metrics.clean_metrics(state["tagged"], spec.duplicate_keys))["final_records"]
-        checked = state["checked"]
-        run.record(
-            "cleaning",
-            {
-                "final_records": cleaned_rows,
-                "duplicates_removed": checked["initial_records"] - checked["rejected_records"] - cleaned_rows,
-            },
-        )
-        return {"initial_records": cleaned_rows, **counts}
-
-    def export() -> dict[str, Any]:
-        if export_csv:
-            files.write_csv(enrichment.export_rows(state["sales"]), run.path("cleaned_sales_csv"))
-        summary = tables.loading_summary(state["sales"], state["errors"], state["logs"])
-        counts = {row["TableName"]: row["RowCount"] for row in summary.collect()}
-        return {
-            "sales_records_loaded": counts["SalesData"],
-            "error_records_loaded": counts["ErrorLogging"],
-            "conversion_logs_loaded": counts["CurrencyConversionLog"],
-        }
-
+    run = Run(folder.rstrip("/"), options.database)
+    state = State(sales, products, quotes, options)
     finished = False
     try:
-        for stage, step in (("ingestion", ingest), ("cleaning", reject), ("enrichment", load), ("loading", export)):
-            run.timed(stage, step)
+        run.timed("ingestion", _ingestion, run, state)
+        run.timed("cleaning", _cleaning, run, state)
+        run.timed("enrichment", _enrichment, run, state)
+        run.timed("loading", _loading, run, state)
         finished = True
     finally:
         run.record("pipeline", {"overall_success": finished})
-        files.write_json_summary(spark.createDataFrame(run.lines, METRIC_SCHEMA), run.path("metrics"))
+        lines = sales.sparkSession.createDataFrame(run.lines, METRIC_SCHEMA)
+        files.write_json_summary(lines, run.path("metrics"))
     return run
 
 
-def _conversion_log(spark: SparkSession, rates: DataFrame, logged: list[tuple[str, int]], run_ts: datetime) -> DataFrame:
-    """One line per currency that was converted; the counts are at most one per accepted currency."""
-    counts = spark.createDataFrame(logged, "FromCurrency string, RecordCount bigint").filter("RecordCount > 0")
-    log = rates.join(F.broadcast(counts), rates["from_currency"] == counts["FromCurrency"]).select(
-        "FromCurrency",
-        F.col("to_currency").alias("ToCurrency"),
-        F.col("rate").alias("ExchangeRate"),
-        F.col("source").alias("Source"),
-        "RecordCount",
-        cleaning.timestamp_literal(run_ts).alias("ConversionTimestamp"),
-    )
-    return metrics.conversion_log_table(log)
-
-
-def run_files(spark: SparkSession, sales_path: str, products_path: str, quotes: DataFrame, folder: str, **options) -> Run:
+def run_files(
+    spark: SparkSession, sales_path: str, products_path: str, quotes: DataFrame, folder: str, options: Options
+) -> Run:
     """The same run over two CSV files."""
-    return run_pipeline(
-        files.read_sales(spark, sales_path), files.read_products(spark, products_path), quotes, folder, **options
-    )
+    sales, products = files.read_sales(spark, sales_path), files.read_products(spark, products_path)
+    return run_pipeline(sales, products, quotes, folder, options)

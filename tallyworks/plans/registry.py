@@ -90,10 +90,7 @@ def load(spark: SparkSession, sf_dir: str) -> pipeline.Run:
         driver_tables.products(spark, sf_dir),
         driver_tables.rate_quotes(spark, sf_dir),
         scratch.new_folder(spark, "load"),
-        RUN_TS,
-        SPEC,
-        as_of=RATES_AS_OF,
-        export_csv=False,
+        pipeline.Options(RUN_TS, SPEC, as_of=RATES_AS_OF),
     )
 
 

@@ -15,8 +15,11 @@ WRITE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "appen
 
 
 def sales_table(enriched: DataFrame) -> DataFrame:
-    """Finalised rows in the layout of SalesData; missing values stay null."""
-    return enriched.select(*[F.col(name).cast(kind).alias(name) for name, kind in SALES_TABLE])
+    """Finalised rows in the layout of SalesData; missing values and absent columns are null."""
+    present = set(enriched.columns)
+    return enriched.select(
+        *[(F.col(name) if name in present else F.lit(None)).cast(kind).alias(name) for name, kind in SALES_TABLE]
+    )
 
 
 def error_table(rejected: DataFrame) -> DataFrame:

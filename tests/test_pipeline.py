@@ -5,7 +5,8 @@ from decimal import Decimal
 
 import pytest
 
-from tallyworks.operators.metrics import RejectionRateExceeded
+from tallyworks.operators import enrich as enrichment
+from tallyworks.operators.metrics import RejectionRateExceeded, conversion_log
 from tallyworks.plans import analytics as A
 from tallyworks.plans import pipeline
 from tallyworks.schemas import SALES_COLUMNS, CleaningSpec
@@ -44,7 +45,7 @@ def run(spark, files_in, quotes):
         rates = quotes(
             ("EUR", "USD", "1.1", "API", datetime(2024, 1, 1)), ("GBP", "USD", "1.25", "fallback", datetime(2024, 1, 1))
         )
-        return pipeline.run_files(spark, sales_path, products_path, rates, out, run_ts=RUN_TS, spec=spec, **options)
+        return pipeline.run_files(spark, sales_path, products_path, rates, out, pipeline.Options(RUN_TS, spec, **options))
 
     return go
 
@@ -86,6 +87,11 @@ def test_whole_run(spark, run):
     exported = spark.read.csv(result.path("cleaned_sales_csv"), header=True).orderBy("OrderID").collect()
     assert [(r["OrderID"], r["SaleAmount"], r["OrderDate"]) for r in exported][1] == ("2", "22.1", "2024-03-05")
     assert spark.read.json(result.path("metrics")).count() == len(result.lines)
+    refused = spark.read.csv(result.path("rejected_records_csv"), header=True)
+    assert refused.count() == 3 and "RejectionTimestamp" in refused.columns
+    profile = {r["Metric"]: r["Value"] for r in spark.read.json(result.path("raw_data_summary")).collect()}
+    assert (profile["sales_records"], profile["null_SaleAmount"], profile["unique_regions"]) == (10, 1, 5)
+    assert spark.read.json(result.path("enrichment_summary")).filter("metric = 'final_records'").first()["value"] == 6
 
     reports = {
         A.region_category: [("North", "Small", 1), ("East", "Large", 1), ("South", "Large", 2), ("West", "Small", 1), ("West", None, 1)],
@@ -167,3 +173,33 @@ def test_catalog_target(spark, run):
             assert spark.table("shop.ErrorLogging").count() == 3
     finally:
         spark.sql("DROP DATABASE shop CASCADE")
+
+
+def test_steps_can_be_switched_off(spark, run):
+    result = run(lookup_products=False, convert_amounts=False, export_csv=False)
+    got = values(result)
+    assert got[("enrichment", "final_records")] == 6
+    assert got[("enrichment", "product_enrichment_enabled")] == got[("enrichment", "currency_conversion_enabled")] == 0
+    assert got[("loading", "conversion_logs_loaded")] == 0
+    row = spark.read.parquet(result.path("SalesData")).filter("OrderID = '2'").first()
+    assert (row["ProductName"], row["ExchangeRate"], row["Currency"]) == (None, None, "EUR")
+    assert row["SaleAmount"] == Decimal("20.10")
+
+
+def test_stages_one_by_one(spark, files_in, quotes, tmp_path):
+    """The lazy stages give what the whole run gives."""
+    sales_path, products_path, _ = files_in()
+    sales, products, profile = pipeline.ingest(spark, sales_path, products_path)
+    assert {r["Metric"]: r["Value"] for r in profile.collect()}["product_records"] == 3
+    cleaned, rejected, counts = pipeline.clean_sales(sales, RUN_TS)
+    assert counts.first()["final_records"] == cleaned.count() == 6 and rejected.count() == 3
+    rates = enrichment.resolve_rates(quotes(("EUR", "USD", "1.1", "API", datetime(2024, 1, 1))), RUN_TS)
+    final, lines = pipeline.enrich_sales(cleaned, products, rates, RUN_TS)
+    assert {r["Metric"]: r["Value"] for r in lines.collect()}["currency_converted_records"] == 3
+    logs = conversion_log(enrichment.enrich(cleaned, products, rates, RUN_TS), RUN_TS)
+    loaded = pipeline.load_all(final, rejected, logs, pipeline.Run(str(tmp_path / "tables")).refresh)
+    assert {r["TableName"]: r["RowCount"] for r in loaded.collect()} == {
+        "SalesData": 6,
+        "ErrorLogging": 3,
+        "CurrencyConversionLog": 1,
+    }
