@@ -17,13 +17,16 @@ from tallyworks.functions.casts import exact_amount, safe_double
 from tallyworks.functions.dates import parse_date, timestamp_literal
 from tallyworks.functions.rules import Rule, missing, violated
 from tallyworks.functions.text import joined, number_text
-from tallyworks.schemas import SALES_COLUMNS, TARGET_CURRENCY, UNKNOWN_CUSTOMER, CleaningSpec
+from tallyworks.schemas import SALES_COLUMNS, TARGET_CURRENCY, UNKNOWN_CUSTOMER, CleaningSpec, ddl
 
 CHECK = "_check"
 PARSED_DATE = "_date"
 AMOUNT = "_amount"
 DISCOUNT = "_discount"
 
+# What ``tag_rows`` returns, for reading it back from files.
+TAGGED_SCHEMA = f"{ddl((c, 'string') for c in SALES_COLUMNS)}, {PARSED_DATE} date, {CHECK} string"
+
 
 @dataclass(frozen=True)
 class Check:

@@ -58,8 +58,25 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_written(spark, once("raw", spark, sf_dir, derive), SALES_SCHEMA)
 
 
+def load(spark: SparkSession, sf_dir: str) -> pipeline.Run:
+    """One run of the pipeline over the given tables."""
+    return pipeline.run_pipeline(
+        raw(spark, sf_dir),
+        driver_tables.products(spark, sf_dir),
+        driver_tables.rate_quotes(spark, sf_dir),
+        scratch.new_folder(spark, "load"),
+        pipeline.Options(RUN_TS, SPEC, as_of=RATES_AS_OF),
+    )
+
+
+def loaded_run(spark: SparkSession, sf_dir: str) -> pipeline.Run:
+    """The run whose tables the queries read: one per session and table folder."""
+    return once("load", spark, sf_dir, lambda: load(spark, sf_dir))
+
+
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.tag_rows(raw(spark, sf_dir), SPEC)
+    """The tagged rows that the run has written, so that no query checks all rows again."""
+    return files.read_written(spark, loaded_run(spark, sf_dir).path("staging/tagged"), cleaning.TAGGED_SCHEMA)
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,22 +100,6 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the loaded tables, which the reports read ------------------------------------------
 
 
-def load(spark: SparkSession, sf_dir: str) -> pipeline.Run:
-    """One run of the pipeline over the given tables."""
-    return pipeline.run_pipeline(
-        raw(spark, sf_dir),
-        driver_tables.products(spark, sf_dir),
-        driver_tables.rate_quotes(spark, sf_dir),
-        scratch.new_folder(spark, "load"),
-        pipeline.Options(RUN_TS, SPEC, as_of=RATES_AS_OF),
-    )
-
-
-def loaded_run(spark: SparkSession, sf_dir: str) -> pipeline.Run:
-    """The run whose tables the reports read: one per session and table folder."""
-    return once("load", spark, sf_dir, lambda: load(spark, sf_dir))
-
-
 def loaded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return files.read_written(spark, loaded_run(spark, sf_dir).path(name), ddl(tables.LAYOUTS[name]))
 

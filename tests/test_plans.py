@@ -51,7 +51,7 @@ def test_reports_read_only_their_columns(spark):
 
 
 def test_accepted_and_rejected_filters_reach_the_scan(spark):
-    tagged = spark.read.parquet(registry.loaded_run(spark, SF).path("staging/tagged"))
+    tagged = registry.tagged(spark, SF)
     assert f"IsNull({C.CHECK})" in plan(C.accepted(tagged))
     assert f"IsNotNull({C.CHECK})" in plan(C.rejects(tagged, RUN_TS))
 
@@ -128,10 +128,10 @@ def test_hot_product_is_split_when_the_product_table_is_large(spark, skewed):
 
 def test_generated_methods_stay_small_enough_to_be_compiled(spark, capsys):
     """The JVM leaves methods above 8000 bytes of code to the interpreter."""
-    tagged = spark.read.parquet(registry.loaded_run(spark, SF).path("staging/tagged"))
+    tagged, fresh = registry.tagged(spark, SF), C.tag_rows(registry.raw(spark, SF), registry.SPEC)
     frames = {
-        "tag": registry.tagged(spark, SF),
-        "accepted": C.accepted(registry.tagged(spark, SF)),
+        "tag": fresh,
+        "accepted": C.accepted(fresh),
         "clean": C.clean(tagged, registry.SPEC),
         "rejects": C.rejects(tagged, RUN_TS, registry.SPEC),
         "sales": registry.sales(spark, SF),
