@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallyworks.schemas import SALES_COLUMNS, SALES_SCHEMA
+from tallyworks.settings import session_settings
 from tallyworks.sources import files, scratch, tables
 
 HEADER = ",".join(SALES_COLUMNS)
@@ -127,3 +130,31 @@ def test_projections_keep_nulls_and_order(spark, sales):
         "CurrencyConversionLog": 0,
     }
     assert [r["OrderID"] for r in tables.preview(sales(*[{"OrderID": str(i)} for i in range(9)]), ["OrderID"]).collect()] == list("01234")
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    def session(master, settings):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: settings.get(key, default)))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(session("spark://host:7077", {}))
+    named = {"spark.checkpoint.dir": "hdfs://name/checkpoints/"}
+    assert scratch.new_folder(session("yarn", named), "load").startswith("hdfs://name/checkpoints/tallyworks/app-1/load-")
+    assert scratch.shared_folder(session("local[2]", {}))
+
+
+def test_settings_follow_the_input_size(spark):
+    small, large = session_settings(10**9, 8), session_settings(100 * 10**12, 4000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 8
+    assert int(large["spark.sql.shuffle.partitions"]) == 32_768
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 500_000_000
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        assert spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count().count() == 7
+    finally:
+        for name in small:
+            if name != "spark.sql.session.timeZone":
+                spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
