@@ -14,6 +14,9 @@ from tallyworks.schemas import CURRENCIES, EXPORT_COLUMNS, RATE_TYPE, TARGET_CUR
 # Where a rate may come from, best first.
 RATE_SOURCES = ("cache", "API", "fallback")
 
+# What ``resolve_rates`` returns, for reading it back from files.
+RATES_SCHEMA = "from_currency string, to_currency string, rate decimal(10,6), source string, ts timestamp_ntz"
+
 
 def product_lookup(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Left join of the product columns; unmatched rows keep nulls, repeated IDs repeat rows.

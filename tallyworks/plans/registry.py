@@ -16,7 +16,7 @@ from tallyworks.operators import clean as cleaning
 from tallyworks.operators import enrich as enrichment
 from tallyworks.operators import metrics
 from tallyworks.plans import analytics, pipeline
-from tallyworks.schemas import PRODUCT_COLUMNS, SALES_COLUMNS, SALES_SCHEMA, TARGET_CURRENCY, CleaningSpec, ddl
+from tallyworks.schemas import PRODUCT_COLUMNS, SALES_COLUMNS, SALES_SCHEMA, CleaningSpec, ddl
 from tallyworks.sources import driver_tables, files, scratch, tables
 
 T = TypeVar("T")
@@ -83,9 +83,9 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean(tagged(spark, sf_dir), SPEC)
 
 
-def rates(spark: SparkSession, sf_dir: str, target: str = TARGET_CURRENCY) -> DataFrame:
-    quotes = driver_tables.rate_quotes(spark, sf_dir)
-    return enrichment.resolve_rates(quotes, RATES_AS_OF, target=target, currencies=SPEC.currencies)
+def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rates to the target currency that the run has resolved and written."""
+    return files.read_written(spark, loaded_run(spark, sf_dir).path("staging/rates"), enrichment.RATES_SCHEMA)
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +230,9 @@ def convert_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 def convert_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts in pounds: no quote exists from dollars, so those stay null."""
     rows = cleaning.accepted(tagged(spark, sf_dir)).select(*KEYS, "SaleAmount", "Currency")
-    converted = enrichment.convert_strict(rows, rates(spark, sf_dir, "GBP"), "GBP", SPEC.currencies)
+    quotes = driver_tables.rate_quotes(spark, sf_dir)
+    to_pounds = enrichment.resolve_rates(quotes, RATES_AS_OF, target="GBP", currencies=SPEC.currencies)
+    converted = enrichment.convert_strict(rows, to_pounds, "GBP", SPEC.currencies)
     return converted.withColumns({c: F.col(c).cast("decimal(28,8)") for c in ("SaleAmount", "ConvertedAmount")})
 
 
@@ -252,7 +254,7 @@ def rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = rules.contract_violations(raw(spark, sf_dir), "raw", rules.raw_contract())
-    after = rules.contract_violations(sales(spark, sf_dir), "cleaned", rules.cleaned_contract())
+    after = rules.contract_violations(loaded(spark, sf_dir, "SalesData"), "cleaned", rules.cleaned_contract())
     return before.unionByName(after)
 
 

@@ -203,3 +203,18 @@ def test_stages_one_by_one(spark, files_in, quotes, tmp_path):
         "ErrorLogging": 3,
         "CurrencyConversionLog": 1,
     }
+
+
+def test_counts_hold_when_nothing_is_small_enough_to_broadcast(spark, run):
+    """The product join then shuffles; each observed row still counts once."""
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in settings:
+        spark.conf.set(name, "-1")
+    try:
+        got = values(run(export_csv=False))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert got[("enrichment", "final_records")] == got[("loading", "sales_records_loaded")] == 6
+    assert got[("enrichment", "product_enriched_records")] == 5
+    assert got[("enrichment", "currency_converted_records")] == 3
