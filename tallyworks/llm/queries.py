@@ -4,14 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import common, quality_rules, simhash
+from tallyworks.llm import common, lang_id, packing, quality_rules, secret_ledger, simhash, tokens
+from tallyworks.sources import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.documents(spark, sf_dir)
+    profiles = lang_id.prototypes(rows.filter(~common.held_out(F.col("doc_id"))))
+    found = lang_id.predict(rows, profiles)
+    return found.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(common.documents(spark, sf_dir), tokens.public())
+
+
+def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document is a version whose path is its doc_id; the ledger starts empty."""
+    rows = common.documents(spark, sf_dir).select(F.col("doc_id").alias("path"), F.col("text").alias("content"))
+    ledger = secret_ledger.Ledger(spark, scratch.new_folder(spark, "ledger"))
+    ledger.scan(rows)
+    found = ledger.report(rows)
+    base = [r.kind for r in secret_ledger.RULES if r.base]
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    digest = F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))).cast("binary"), 256)
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *[count(kind) for kind in base],
+        digest.alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.documents(spark, sf_dir))
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
@@ -25,10 +60,47 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_language_id": op3_language_id,
+        "op4_packing": op4_packing,
+        "op6_secret_ledger": op6_secret_ledger,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
+def secrets_sql() -> str:
+    """The patterns stand as constants in each branch, since the engine wants them so."""
+    patterns = [
+        (0, "assign", r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+        (1, "access", "AKIA[A-Z0-9]+", 0, 18),
+        (2, "hex", "[0-9a-f]+", 0, 16),
+        (3, "pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+        (4, "jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 1),
+    ]
+    branch = (
+        "SELECT doc_id, {0} AS rank, '{1}' AS kind, {4} AS least, regexp_split_to_array(text, '{2}') AS gaps, "
+        "regexp_extract_all(text, '{2}') AS hits, regexp_extract_all(text, '{2}', {3}) AS sized FROM docs"
+    )
+    parts = " UNION ALL ".join(branch.format(*p) for p in patterns)
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+parts AS ({parts}),
+found AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM parts),
+spans AS (
+  SELECT doc_id, rank, kind, length(hits[i]) AS n,
+    coalesce(list_sum([length(x) for x in gaps[1:i]]), 0) + coalesce(list_sum([length(x) for x in hits[1:i - 1]]), 0) AS start
+  FROM found WHERE length(sized[i]) >= least),
+lines AS (
+  SELECT doc_id,
+    count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+    string_agg(kind || ':' || start::BIGINT || ':' || (start + n)::BIGINT, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+    string_agg(kind || ':' || start::BIGINT || ':' || (start + n)::BIGINT, ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN lines USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_secret_ledger": secrets_sql()}
