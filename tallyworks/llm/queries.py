@@ -7,12 +7,49 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import common, lang_id, packing, quality_rules, secret_ledger, simhash, tokens
+from tallyworks.llm import (
+    chat_tools,
+    common,
+    decontaminate,
+    lang_id,
+    ordinal_quality,
+    packing,
+    quality_rules,
+    secret_ledger,
+    simhash,
+    token_shards,
+    tokens,
+    toxicity,
+)
 from tallyworks.sources import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# What the turns of the conversations must satisfy as calls: some words in every question.
+TOOLS = {
+    "user": (chat_tools.Field("text", "string", least=1), chat_tools.Field("words", "integer", least=5)),
+    "system": (chat_tools.Field("text", "string", least=1),),
+}
+# Grades: 0 for poor text, 1 for good text that is toxic, 2 for the rest.
+GRADE = "case when quality = 0 then 0 when quality = 1 and toxic = 1 then 1 when quality = 1 then 2 end"
+
+
+def op1_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat_tools.from_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return chat_tools.link(calls, results, TOOLS)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~common.held_out(F.col("doc_id")))
+    model = toxicity.letter_model(rows)
+    lexicon, prior = toxicity.learn(rows, labels, model)
+    scored = toxicity.score(rows, model, lexicon, prior)
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    return scored.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = common.documents(spark, sf_dir)
     profiles = lang_id.prototypes(rows.filter(~common.held_out(F.col("doc_id"))))
@@ -24,6 +61,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(common.documents(spark, sf_dir), tokens.public())
 
 
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record as it is read back from the shards."""
+    folder = scratch.new_folder(spark, "shards")
+    layout = token_shards.write(common.documents(spark, sf_dir), tokens.public(), folder)
+    rows = token_shards.read(spark, layout)
+    return rows.select("slot", "shard", F.octet_length("ids").alias("n_bytes"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document is a version whose path is its doc_id; the ledger starts empty."""
     rows = common.documents(spark, sf_dir).select(F.col("doc_id").alias("path"), F.col("text").alias("content"))
@@ -47,6 +92,23 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grades of the documents outside of the held-out fold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~common.held_out(F.col("doc_id")))
+    return labels.select("doc_id", F.expr(GRADE).alias("grade"))
+
+
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.documents(spark, sf_dir).select("doc_id", "text")
+    model = ordinal_quality.learn(rows, ratings(spark, sf_dir))
+    scored = ordinal_quality.score(rows, model).withColumn("held_out", common.held_out(F.col("doc_id")))
+    return scored.select("doc_id", "held_out", "expected_grade", "tail", "kept")
+
+
+def op8_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.documents(spark, sf_dir))
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
@@ -60,14 +122,37 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_chat_tools": op1_chat_tools,
+        "op2_toxicity": op2_toxicity,
         "op3_language_id": op3_language_id,
         "op4_packing": op4_packing,
+        "op5_token_shards": op5_token_shards,
         "op6_secret_ledger": op6_secret_ledger,
+        "op7_ordinal_quality": op7_ordinal_quality,
+        "op8_spaced_seeds": op8_spaced_seeds,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
+CHAT_SQL = """
+WITH turns AS (SELECT *, 'call-' || conv_id || '-' || turn AS here FROM conversations),
+calls AS (
+  SELECT conv_id, turn, here AS call_id, role, text,
+    CAST(len(list_filter(regexp_split_to_array(text, '[ \\x09-\\x0D]+'), lambda x: x != '')) AS INTEGER) AS words
+  FROM turns WHERE role != 'assistant'),
+results AS (
+  SELECT conv_id, 'call-' || conv_id || '-' || (turn - 1) AS call_id, min(text) AS content
+  FROM turns WHERE role = 'assistant' GROUP BY ALL)
+SELECT c.conv_id, 0 AS round, c.turn, c.call_id,
+  CASE WHEN NOT (length(c.text) >= 1 AND (c.role = 'system' OR c.role = 'user' AND c.words >= 5)) THEN 'invalid'
+    WHEN r.call_id IS NULL THEN 'open' ELSE 'linked' END AS status,
+  '{"arguments":{"text":' || CAST(to_json(c.text) AS VARCHAR) || ',"words":' || c.words || '},"id":"' || c.call_id
+    || '","name":"' || c.role || '","result":' || coalesce(CAST(to_json(r.content) AS VARCHAR), 'null') || '}' AS json
+FROM calls c LEFT JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+"""
+
+
 def secrets_sql() -> str:
     """The patterns stand as constants in each branch, since the engine wants them so."""
     patterns = [
@@ -103,4 +188,4 @@ FROM docs d LEFT JOIN lines USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_secret_ledger": secrets_sql()}
+    return {"op1_chat_tools": CHAT_SQL, "op6_secret_ledger": secrets_sql()}

@@ -167,6 +167,20 @@ class Ledger:
         return rows.withColumn("spans", F.coalesce("spans", empty))
 
 
+    def redacted(self, docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """Documents (text, n_chars and other columns) with every span found in their blob replaced by a mark."""
+        keyed = docs.withColumn("blob_", blob_id(F.col("text")))
+        found = self.by_blob(rules).select(F.col("blob_id").alias("blob_"), F.col("spans").alias("spans_"))
+        # Blobs with a finding are few beside all texts: hashed, so that the side of texts is not sorted.
+        rows = keyed.join(found.hint("shuffle_hash"), "blob_", "left")
+        text = F.when(F.col("spans_").isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col("spans_")))
+        rows = rows.withColumn("text", text)
+        if "n_chars" in docs.columns:
+            kind = docs.schema["n_chars"].dataType
+            rows = rows.withColumn("n_chars", F.when(F.col("spans_").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+        return rows.select(docs.columns)
+
+
 def _row_key() -> Column:
     """Chooses between rows of the same content; equal rows are the same row."""
     return F.coalesce(F.col("path").cast("string"), F.lit(""))
