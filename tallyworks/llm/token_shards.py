@@ -8,7 +8,8 @@ ranges of slots, and each range is written in order as a shard in which every re
 ids as little-endian 16-bit numbers and a line feed. So a reader that stopped at a slot knows the shard and the
 byte to go on from, without any index.
 
-The sequences move through the shuffle compressed. Spark writes and reads the shards through its own
+The sequences are stored and move through the shuffle compressed, with a dictionary of tokens from a few documents;
+it bears on nothing but their size. Spark writes and reads the shards through its own
 sources, to and from any storage that it knows.
 
 Nulls and odd cases: a null or empty text is the closing id alone; ids of documents play no part, so repeated rows
@@ -35,6 +36,10 @@ LENGTH = 2048
 CLOSING = 50256
 PER_SHARD = 4096
 ROUNDS = 6
+# The dictionary holds at most so many ids, from at most so many documents; it is sent to every task.
+DICTIONARY_IDS = 56_000
+DICTIONARY_DOCUMENTS = 64
+LEVEL = 6
 KEY = 0x5EED
 
 
@@ -72,12 +77,35 @@ class Layout:
         return 2 * self.length + 1
 
 
-def sequences(docs: DataFrame, vocabulary: Vocabulary, length: int = LENGTH, closing: int = CLOSING) -> DataFrame:
+def dictionary(docs: DataFrame, vocabulary: Vocabulary) -> bytes:
+    """Some tokens of the corpus, for the compressor to refer to."""
+    common.ship(docs.sparkSession)
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[int] = []
+        for batch in batches:
+            for ids in vocabulary.encode(x.as_py() for x in batch.column(0)):
+                kept = (kept + ids)[:DICTIONARY_IDS]
+        yield pa.RecordBatch.from_arrays([pa.array([np.array(kept, "<u4").astype("<u2").tobytes()], pa.binary())], ["tokens"])
+
+    rows = docs.select("text").limit(DICTIONARY_DOCUMENTS).coalesce(1).mapInArrow(tokens, "tokens binary")
+    found = rows.first()
+    return bytes(found["tokens"]) if found else b""
+
+
+def _dictionary(content: bytes) -> dict:
+    if not content:
+        return {}
+    return {"dict_data": zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)}
+
+
+def sequences(docs: DataFrame, vocabulary: Vocabulary, shared: bytes, length: int = LENGTH, closing: int = CLOSING) -> DataFrame:
     """A written table (part, number, used, ids): ``ids`` compressed, ``used`` of them not filling."""
     common.ship(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, rest, packer = TaskContext.get().partitionId(), 0, np.empty(0, "<u2"), zstandard.ZstdCompressor(level=3)
+        part, number, rest = TaskContext.get().partitionId(), 0, np.empty(0, "<u2")
+        packer = zstandard.ZstdCompressor(level=LEVEL, **_dictionary(shared))
 
         def rows(ids: np.ndarray, used: list[int]) -> pa.RecordBatch:
             packed = [packer.compress(x.tobytes()) for x in ids.reshape(-1, length)]
@@ -104,7 +132,8 @@ def sequences(docs: DataFrame, vocabulary: Vocabulary, length: int = LENGTH, clo
 
 def write(docs: DataFrame, vocabulary: Vocabulary, folder: str, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> Layout:
     """Write the shards of all documents below ``folder`` and return their layout."""
-    rows = sequences(docs, vocabulary, length)
+    shared = dictionary(docs, vocabulary)
+    rows = sequences(docs, vocabulary, shared, length)
     counts = common.written(rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")), "counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # One row per task that wrote sequences.
@@ -119,7 +148,7 @@ def write(docs: DataFrame, vocabulary: Vocabulary, folder: str, length: int = LE
         return pd.Series(feistel(numbers.to_numpy(), total, key))
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opener = zstandard.ZstdDecompressor()
+        opener = zstandard.ZstdDecompressor(**_dictionary(shared))
         for batch in batches:
             raw = pa.array([opener.decompress(x.as_py()) for x in batch.column(2)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), raw], ["shard", "slot", "ids"])
