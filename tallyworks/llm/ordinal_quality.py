@@ -112,7 +112,8 @@ def learn(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model |
     """Fits (doc_id, grade) ratings of documents, in one task over at most ``sample`` rows."""
     common.ship(docs.sparkSession)
     rated = ratings.filter("doc_id is not null and grade >= 0").groupBy("doc_id").agg(F.max("grade").alias("grade"))
-    chosen = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # Written, so that the tasks' candidates meet in a task and not in the driver.
+    chosen = common.written(rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "sample")
     # Bounded by the sample.
     rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("text", F.col("grade").cast("int"))
 
