@@ -58,7 +58,7 @@ def overlaps(docs: DataFrame, tests: DataFrame) -> DataFrame:
     ``doc_word`` and ``item_word`` are the first words laid side by side, ``compared`` of which
     ``agreeing`` are the same.
     """
-    items = common.written(_hashed(tests, "item_id").withColumnRenamed("key", "item_id"), "items")
+    items = common.written(_hashed(tests, "item_id").withColumnRenamed("key", "item_id").distinct(), "items")
     sized = items.withColumn("item_size", F.size("h"))
     seeds = common.written(_seeds(sized, "item_id", "item_size").withColumnRenamed("place", "item_place").distinct(), "seeds")
     words = _hashed(docs, "doc_id")
