@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.dates import timestamp_literal
-from tallyworks.schemas import CURRENCIES, EXPORT_COLUMNS, RATE_TYPE, TARGET_CURRENCY
+from tallyworks.schemas import EXPORT_COLUMNS, RATE_TYPE, TARGET_CURRENCY
 
 # Where a rate may come from, best first.
 RATE_SOURCES = ("cache", "API", "fallback")
@@ -69,22 +69,23 @@ def resolve_rates(
     )
 
 
-def _with_rate(df: DataFrame, rates: DataFrame, target: str, currencies: Sequence[str]) -> DataFrame:
+def _with_rate(df: DataFrame, rates: DataFrame, target: str) -> DataFrame:
     """``_rate`` and ``_source`` by currency; null where no rate is known.
 
-    Resolved rates hold one row per pair, so after the filter there are at most
-    ``len(currencies)`` of them: the broadcast is bounded whatever the size of the data.
+    Any currency with a known rate counts. The rates are brought to one row per currency here, the
+    latest quote where several are given, so no row of the data is repeated. How the
+    join is done is the planner's choice, by the size of that side.
     """
-    known = rates.filter((F.col("to_currency") == target) & F.col("from_currency").isin(*currencies))
-    known = known.select(F.col("from_currency").alias("_from"), F.col("rate").alias("_rate"), F.col("source").alias("_source"))
-    return df.join(F.broadcast(known), F.col("Currency") == F.col("_from"), "left").drop("_from")
+    latest = F.max_by(F.struct("rate", "source"), F.struct("ts", -F.col("rate")))
+    known = rates.filter(F.col("to_currency") == target).groupBy(F.col("from_currency").alias("_from")).agg(latest.alias("_best"))
+    known = known.select("_from", F.col("_best.rate").alias("_rate"), F.col("_best.source").alias("_source"))
+    return df.join(known, F.col("Currency") == F.col("_from"), "left").drop("_from")
 
 
 def convert_currency(
     df: DataFrame,
     rates: DataFrame,
     target: str = TARGET_CURRENCY,
-    currencies: Sequence[str] = CURRENCIES,
 ) -> DataFrame:
     """Amounts in the target currency; ``rates`` as given by ``resolve_rates``.
 
@@ -93,7 +94,7 @@ def convert_currency(
     """
     is_target = F.col("Currency") == target
     one = F.lit(1).cast(RATE_TYPE)
-    df = _with_rate(df, rates, target, currencies)
+    df = _with_rate(df, rates, target)
     kept = [c for c in df.columns if c not in ("SaleAmount", "Currency", "_rate", "_source")]
     rate = F.when(is_target, one).otherwise(F.coalesce("_rate", one))
     df = df.select(
@@ -112,10 +113,9 @@ def convert_strict(
     df: DataFrame,
     rates: DataFrame,
     target: str = TARGET_CURRENCY,
-    currencies: Sequence[str] = CURRENCIES,
 ) -> DataFrame:
     """``ConvertedAmount`` in the target currency, null where the amount or the rate is missing."""
-    df = _with_rate(df, rates, target, currencies)
+    df = _with_rate(df, rates, target)
     rate = F.when(F.col("Currency") == target, F.lit(1).cast(RATE_TYPE)).otherwise(F.col("_rate"))
     return df.withColumn("ConvertedAmount", F.col("SaleAmount") * rate).drop("_rate", "_source")
 
@@ -164,7 +164,6 @@ def enrich(
     products: DataFrame | None,
     rates: DataFrame | None,
     run_ts: datetime,
-    currencies: Sequence[str] = CURRENCIES,
 ) -> DataFrame:
     """Cleaned rows with product columns and converted amounts, before final formatting.
 
@@ -174,5 +173,5 @@ def enrich(
     if products is not None:
         df = product_lookup(df, products)
     if rates is not None:
-        df = convert_currency(df, rates, currencies=currencies)
+        df = convert_currency(df, rates)
     return add_processing_timestamp(df, run_ts)

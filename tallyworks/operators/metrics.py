@@ -73,11 +73,13 @@ def stage_counts() -> dict[str, Column]:
     return counts
 
 
-def clean_metrics(tagged: DataFrame, keys: Sequence[str] = ("OrderID", "ProductID")) -> DataFrame:
-    """One row of cleaning counts, in one pass; only distinct keys are shuffled."""
+def clean_metrics(
+    tagged: DataFrame, keys: Sequence[str] = ("OrderID", "ProductID"), remove_duplicates: bool = True
+) -> DataFrame:
+    """One row of cleaning counts, in one pass; only distinct keys are shuffled, and none if duplicates stay."""
     valid_key = F.when(F.col(CHECK).isNull(), F.struct(*keys))
     valid = F.count_if(F.col(CHECK).isNull())
-    final = F.count_distinct(valid_key)
+    final = F.count_distinct(valid_key) if remove_duplicates else valid
     return tagged.agg(
         *[measure.alias(name) for name, measure in stage_counts().items()],
         (valid - final).alias("duplicates_removed"),

@@ -40,7 +40,9 @@ def clean_sales(
     """(cleaned, rejected, metrics) of raw rows."""
     tagged = cleaning.tag_rows(raw, spec)
     rejected = cleaning.rejects(tagged, run_ts, spec)
-    return cleaning.clean(tagged, spec), rejected, metrics.clean_metrics(tagged, spec.duplicate_keys)
+    return cleaning.clean(tagged, spec), rejected, metrics.clean_metrics(
+        tagged, spec.duplicate_keys, spec.remove_duplicates
+    )
 
 
 def enrich_sales(
@@ -51,7 +53,7 @@ def enrich_sales(
     spec: CleaningSpec = CleaningSpec(),
 ) -> tuple[DataFrame, DataFrame]:
     """(final rows, metrics) of cleaned rows; ``None`` switches a step off."""
-    enriched = enrichment.enrich(cleaned, products, rates, run_ts, spec.currencies)
+    enriched = enrichment.enrich(cleaned, products, rates, run_ts)
     return enrichment.finalize(enriched), metrics.enrich_metrics(cleaned, enriched)
 
 
@@ -194,7 +196,6 @@ def _enrichment(run: Run, state: State) -> dict[str, Any]:
         state.products if options.lookup_products else None,
         rates if options.convert_amounts else None,
         options.run_ts,
-        spec.currencies,
     )
     per_currency = _converted_per_currency(spec) if options.convert_amounts else {}
     wanted = {**metrics.enrich_counts(enriched.columns), **{f"in_{c}": m for c, m in per_currency.items()}}
@@ -208,7 +209,8 @@ def _enrichment(run: Run, state: State) -> dict[str, Any]:
 
     cleaned_rows = counts["final_records"]
     if state.products_repeat:  # the lookup has repeated rows, so count the keys instead
-        cleaned_rows = _first_row(metrics.clean_metrics(state.tagged, spec.duplicate_keys))["final_records"]
+        counted = metrics.clean_metrics(state.tagged, spec.duplicate_keys, spec.remove_duplicates)
+        cleaned_rows = _first_row(counted)["final_records"]
     accepted_rows = state.checked["initial_records"] - state.checked["rejected_records"]
     run.record("cleaning", {"final_records": cleaned_rows, "duplicates_removed": accepted_rows - cleaned_rows})
     values = {

@@ -90,7 +90,7 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = driver_tables.products(spark, sf_dir)
-    return enrichment.enrich(cleaned(spark, sf_dir), products, rates(spark, sf_dir), RUN_TS, SPEC.currencies)
+    return enrichment.enrich(cleaned(spark, sf_dir), products, rates(spark, sf_dir), RUN_TS)
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,18 +109,26 @@ def report(build: Callable[..., DataFrame], *names: str) -> Query:
     return lambda spark, sf_dir: build(*[loaded(spark, sf_dir, name) for name in names])
 
 
+def csv_copy(spark: SparkSession, sf_dir: str, what: str, rows: Callable[[], DataFrame]) -> str:
+    """The folder of a CSV copy, written once per session and table folder."""
+
+    def write() -> str:
+        path = scratch.new_folder(spark, what)
+        files.write_csv(rows(), path)
+        return path
+
+    return once(what, spark, sf_dir, write)
+
+
 # --- operators --------------------------------------------------------------------------
 
 
 def scan_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch.new_folder(spark, "sales-csv")
-    files.write_csv(raw(spark, sf_dir), path)
-    return files.read_sales(spark, path)
+    return files.read_sales(spark, csv_copy(spark, sf_dir, "sales-csv", lambda: raw(spark, sf_dir)))
 
 
 def scan_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch.new_folder(spark, "products-csv")
-    files.write_csv(driver_tables.products(spark, sf_dir), path)
+    path = csv_copy(spark, sf_dir, "products-csv", lambda: driver_tables.products(spark, sf_dir))
     return files.read_products(spark, path)
 
 
@@ -132,14 +140,18 @@ def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("Currency") == "JPY", F.concat_ws(",", *fields, F.lit("extra")))
         .otherwise(F.concat_ws(",", *fields))
     )
-    path = scratch.new_folder(spark, "sales-lines")
-    raw(spark, sf_dir).select(line.alias(",".join(SALES_COLUMNS))).write.csv(path, header=True, sep="|")
+
+    def write() -> str:
+        path = scratch.new_folder(spark, "sales-lines")
+        raw(spark, sf_dir).select(line.alias(",".join(SALES_COLUMNS))).write.csv(path, header=True, sep="|")
+        return path
+
+    path = once("sales-lines", spark, sf_dir, write)
     return files.malformed_rows(files.read_marked(spark, path, SALES_SCHEMA))
 
 
 def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch.new_folder(spark, "export-csv")
-    files.write_csv(enrichment.export_rows(enriched(spark, sf_dir)), path)
+    path = csv_copy(spark, sf_dir, "export-csv", lambda: enrichment.export_rows(enriched(spark, sf_dir)))
     return spark.read.csv(path, header=True).select(
         "OrderID",
         "ProductID",
@@ -218,7 +230,7 @@ def resolve_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def convert_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaning.accepted(tagged(spark, sf_dir)).select(*KEYS, "SaleAmount", "Currency")
-    converted = enrichment.convert_currency(rows, rates(spark, sf_dir), currencies=SPEC.currencies)
+    converted = enrichment.convert_currency(rows, rates(spark, sf_dir))
     return converted.withColumns(
         {
             "SaleAmount": F.col("SaleAmount").cast("decimal(28,8)"),
@@ -232,7 +244,7 @@ def convert_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaning.accepted(tagged(spark, sf_dir)).select(*KEYS, "SaleAmount", "Currency")
     quotes = driver_tables.rate_quotes(spark, sf_dir)
     to_pounds = enrichment.resolve_rates(quotes, RATES_AS_OF, target="GBP", currencies=SPEC.currencies)
-    converted = enrichment.convert_strict(rows, to_pounds, "GBP", SPEC.currencies)
+    converted = enrichment.convert_strict(rows, to_pounds, "GBP")
     return converted.withColumns({c: F.col(c).cast("decimal(28,8)") for c in ("SaleAmount", "ConvertedAmount")})
 
 

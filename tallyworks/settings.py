@@ -6,29 +6,22 @@ import math
 
 MEGABYTE = 1024 * 1024
 
-# The driver keeps a size per map task and shuffle partition, so neither may grow without
-# end; beyond these counts the partitions grow instead, and spill where they must.
-MAX_SCAN_TASKS = 200_000
-MAX_SHUFFLE_PARTITIONS = 32_768
-
-
 def session_settings(input_bytes: int, cores: int, partition_bytes: int = 128 * MEGABYTE) -> dict[str, str]:
     """Settings under which a shuffle of the whole input makes partitions of about that size.
 
-    For very large inputs the number of partitions is bounded and their size grows.
+    The number of partitions follows the input alone, so their size is the same at any scale.
     Spark merges small partitions at run time and splits skewed ones, so the count only has
     to be high enough. Joins are rebalanced even where this costs another shuffle, since a
     hot key would otherwise stay in one task.
     """
-    partitions = min(MAX_SHUFFLE_PARTITIONS, max(cores, math.ceil(input_bytes / partition_bytes)))
-    scan_bytes = max(partition_bytes, math.ceil(input_bytes / MAX_SCAN_TASKS))
+    partitions = max(cores, math.ceil(input_bytes / partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.session.timeZone": "UTC",
     }

