@@ -73,13 +73,13 @@ def _with_rate(df: DataFrame, rates: DataFrame, target: str) -> DataFrame:
     """``_rate`` and ``_source`` by currency; null where no rate is known.
 
     Any currency with a known rate counts. The rates are brought to one row per currency here, the
-    latest quote where several are given, so no row of the data is repeated. How the
-    join is done is the planner's choice, by the size of that side.
+    latest quote where several are given: no row of the data is repeated, and the broadcast
+    holds at most one row per currency that exists, however many quotes there are.
     """
     latest = F.max_by(F.struct("rate", "source"), F.struct("ts", -F.col("rate")))
     known = rates.filter(F.col("to_currency") == target).groupBy(F.col("from_currency").alias("_from")).agg(latest.alias("_best"))
     known = known.select("_from", F.col("_best.rate").alias("_rate"), F.col("_best.source").alias("_source"))
-    return df.join(known, F.col("Currency") == F.col("_from"), "left").drop("_from")
+    return df.join(F.broadcast(known), F.col("Currency") == F.col("_from"), "left").drop("_from")
 
 
 def convert_currency(

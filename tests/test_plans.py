@@ -7,10 +7,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from tallyworks.operators import clean as C
 from tallyworks.operators import enrich as E
-from tallyworks.plans import registry
+from tallyworks.plans import oracle, registry
 
 from .conftest import RUN_TS
 
@@ -28,14 +27,14 @@ def executed(df):
 
 
 def test_no_query_leaves_the_jvm_or_crosses(spark):
-    for name, query in contract.queries().items():
+    for name, query in registry.queries().items():
         text = plan(query(spark, SF))
         for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert node not in text, (name, node)
 
 
 def test_queries_and_sql_have_the_same_keys():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
 def test_entry(spark):
