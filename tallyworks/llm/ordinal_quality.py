@@ -115,13 +115,14 @@ def learn(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model |
     # Written, so that the tasks' candidates meet in a task and not in the driver.
     chosen = common.written(rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "sample")
     # Bounded by the sample.
-    rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("text", F.col("grade").cast("int"))
+    rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", F.col("grade").cast("int"))
 
     @F.pandas_udf("binary")
     def vector(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t).tobytes() for t in texts])
 
     def fitted(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("doc_id")
         grades = frame["grade"].to_numpy()
         if len(set(grades)) < 2:
             return pd.DataFrame({"weights": [], "thresholds": []})
@@ -131,7 +132,7 @@ def learn(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> Model |
         thresholds = [model.thresholds[int(np.searchsorted(kinds, k)) - 1] if k > kinds[0] else -60.0 for k in range(1, int(kinds[-1]) + 1)]
         return pd.DataFrame({"weights": [model.weights.tolist()], "thresholds": [thresholds]})
 
-    group = rows.select("grade", vector("text").alias("vector"), F.lit(0).alias("one")).orderBy("vector").groupBy("one")
+    group = rows.select("doc_id", "grade", vector("text").alias("vector"), F.lit(0).alias("one")).groupBy("one")
     found = group.applyInPandas(fitted, "weights array<double>, thresholds array<double>").first()
     return Model(np.array(found["weights"]), np.array(found["thresholds"])) if found else None
 
