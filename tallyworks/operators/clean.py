@@ -17,7 +17,7 @@ from tallyworks.functions.casts import exact_amount, safe_double
 from tallyworks.functions.dates import parse_date, timestamp_literal
 from tallyworks.functions.rules import Rule, missing, violated
 from tallyworks.functions.text import joined, number_text
-from tallyworks.schemas import SALES_COLUMNS, TARGET_CURRENCY, UNKNOWN_CUSTOMER, CleaningSpec, ddl
+from tallyworks.schemas import AMOUNT_TYPE, CORRUPT_COLUMN, SALES_COLUMNS, TARGET_CURRENCY, UNKNOWN_CUSTOMER, CleaningSpec, ddl
 
 CHECK = "_check"
 PARSED_DATE = "_date"
@@ -27,6 +27,10 @@ DISCOUNT = "_discount"
 # What ``tag_rows`` returns, for reading it back from files.
 TAGGED_SCHEMA = f"{ddl((c, 'string') for c in SALES_COLUMNS)}, {PARSED_DATE} date, {CHECK} string"
 
+# What ``clean`` returns, likewise.
+_TYPED = {"SaleAmount": AMOUNT_TYPE.simpleString(), "OrderDate": "timestamp_ntz", "Discount": AMOUNT_TYPE.simpleString()}
+CLEANED_SCHEMA = ddl((c, _TYPED.get(c, "string")) for c in SALES_COLUMNS)
+
 
 @dataclass(frozen=True)
 class Check:
@@ -91,11 +95,24 @@ def _range_check(spec: CleaningSpec) -> Check:
     return Check("range", "Invalid Numeric Range", "Numeric Validation", amount | discount, message)
 
 
+def _malformed_check() -> Check:
+    def message() -> Column:
+        return F.concat(F.lit("Wrong number of fields: "), F.col(CORRUPT_COLUMN))
+
+    return Check("malformed", "Malformed Row", "File Ingestion", F.col(CORRUPT_COLUMN).isNotNull(), message)
+
+
 def checks(spec: CleaningSpec = CleaningSpec()) -> list[Check]:
     """The four checks in the order in which they are applied."""
     return [_required_check(spec), _date_check(spec), _enum_check(spec), _range_check(spec)]
 
 
+def _steps(df: DataFrame, spec: CleaningSpec) -> list[Check]:
+    """The checks of a frame: rows that the reader has marked as malformed fail before all others."""
+    marked = [_malformed_check()] if CORRUPT_COLUMN in df.columns else []
+    return marked + checks(spec)
+
+
 def with_numbers(df: DataFrame) -> DataFrame:
     """Adds the double values that the range check looks at."""
     return df.withColumns({AMOUNT: safe_double(F.col("SaleAmount")), DISCOUNT: safe_double(F.col("Discount"))})
@@ -107,11 +124,15 @@ def with_parsed_date(df: DataFrame, spec: CleaningSpec = CleaningSpec()) -> Data
 
 
 def tag_rows(raw: DataFrame, spec: CleaningSpec = CleaningSpec()) -> DataFrame:
-    """Raw columns as text, the parsed date and the code of the first failed check (null if none)."""
-    text = raw.select(*[F.col(c).cast("string").alias(c) for c in SALES_COLUMNS])
+    """Raw columns as text, the parsed date and the code of the first failed check (null if none).
+
+    The line of malformed rows is kept where the reader has marked them.
+    """
+    kept = [c for c in (*SALES_COLUMNS, CORRUPT_COLUMN) if c in raw.columns or c in SALES_COLUMNS]
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in kept])
     df = with_numbers(with_parsed_date(text, spec))
-    first_failed = F.coalesce(*[F.when(check.broken, F.lit(check.code)) for check in checks(spec)])
-    return df.select(*SALES_COLUMNS, PARSED_DATE, first_failed.alias(CHECK))
+    first_failed = F.coalesce(*[F.when(check.broken, F.lit(check.code)) for check in _steps(df, spec)])
+    return df.select(*kept, PARSED_DATE, first_failed.alias(CHECK))
 
 
 def flag_rows(df: DataFrame, check: Check) -> DataFrame:
@@ -150,7 +171,7 @@ def validate_numeric_ranges(df: DataFrame, spec: CleaningSpec = CleaningSpec())
 
 def rejects(tagged: DataFrame, run_ts: datetime, spec: CleaningSpec = CleaningSpec()) -> DataFrame:
     """Rejected rows with the reason and the whole row as JSON."""
-    steps = checks(spec)
+    steps = _steps(tagged, spec)
 
     def per_check(value) -> Column:
         chosen = F.when(F.col(CHECK) == steps[0].code, value(steps[0]))

@@ -12,7 +12,7 @@ from tallyworks.functions.casts import safe_double
 from tallyworks.functions.dates import timestamp_literal
 from tallyworks.operators.clean import CHECK
 from tallyworks.operators.enrich import is_converted
-from tallyworks.schemas import CONVERSION_LOG_TABLE
+from tallyworks.schemas import CONVERSION_LOG_TABLE, CORRUPT_COLUMN
 
 RATE = "decimal(18,4)"
 CHECK_METRICS = {
@@ -45,7 +45,9 @@ def as_lines(one_row: DataFrame, names: Sequence[str], key: str = "Metric", valu
 def data_profile(sales: DataFrame, products: DataFrame, approximate: bool = False) -> DataFrame:
     """Row, null and distinct counts of the inputs.
 
-    A null counts as one distinct value, and an amount that is not a number as a null.
+    A null counts as one distinct value, and an amount that is not a number as a null. A first
+    grouping by the columns whose values are counted shrinks the data, so the distinct
+    counts expand the groups and not the rows.
     """
 
     def distinct(name: str) -> Column:
@@ -53,10 +55,11 @@ def data_profile(sales: DataFrame, products: DataFrame, approximate: bool = Fals
         return counted + F.coalesce(F.max(F.col(name).isNull().cast("bigint")), F.lit(0))
 
     present = {c: safe_double(F.col(c)) if c == "SaleAmount" else F.col(c) for c in PROFILED}
-    nulls = {f"null_{c}": F.count_if(value.isNull()) for c, value in present.items()}
-    uniques = {name: distinct(c) for c, name in DISTINCT.items()}
-    measures = {"sales_records": F.count(F.lit(1)), **nulls, **uniques}
-    profile = sales.agg(*[measure.alias(name) for name, measure in measures.items()])
+    counts = {"sales_records": F.count(F.lit(1))}
+    counts |= {f"null_{c}": F.count_if(value.isNull()) for c, value in present.items()}
+    groups = sales.groupBy(*DISTINCT).agg(*[measure.alias(name) for name, measure in counts.items()])
+    measures = {name: F.coalesce(F.sum(name), F.lit(0)) for name in counts} | {name: distinct(c) for c, name in DISTINCT.items()}
+    profile = groups.agg(*[measure.alias(name) for name, measure in measures.items()])
     product_count = products.agg(F.count(F.lit(1)).alias("product_records"))
     return as_lines(profile, list(measures)).unionByName(as_lines(product_count, ["product_records"]))
 
@@ -65,9 +68,11 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def stage_counts() -> dict[str, Column]:
-    """Aggregates over tagged rows: all, per check and accepted."""
+def stage_counts(columns: Sequence[str] = ()) -> dict[str, Column]:
+    """Aggregates over tagged rows: all, per check and rejected; malformed ones where the reader marks them."""
     counts = {"initial_records": F.count(F.lit(1))}
+    if CORRUPT_COLUMN in columns:
+        counts["malformed_rows"] = F.count_if(F.col(CHECK) == "malformed")
     counts.update({name: F.count_if(F.col(CHECK) == code) for code, name in CHECK_METRICS.items()})
     counts["rejected_records"] = F.count_if(F.col(CHECK).isNotNull())
     return counts
@@ -81,7 +86,7 @@ def clean_metrics(
     valid = F.count_if(F.col(CHECK).isNull())
     final = F.count_distinct(valid_key) if remove_duplicates else valid
     return tagged.agg(
-        *[measure.alias(name) for name, measure in stage_counts().items()],
+        *[measure.alias(name) for name, measure in stage_counts(tagged.columns).items()],
         (valid - final).alias("duplicates_removed"),
         final.alias("final_records"),
         percentage(F.count_if(F.col(CHECK).isNotNull()), F.count(F.lit(1))).alias("rejection_rate"),

@@ -32,6 +32,11 @@ SELECT CAST(l_orderkey AS VARCHAR) AS OrderID,
 FROM lineitem
 JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "misfits": """
+SELECT OrderID, ProductID, CASE WHEN Region = 'east' THEN part
+  ELSE part || ',' || CustomerID || ',' || coalesce(Discount, '') || ',' || Currency || ',extra' END AS RawLine
+FROM (SELECT *, OrderID || ',' || ProductID || ',' || coalesce(SaleAmount, '') || ',' || coalesce(OrderDate, '') || ',' || Region AS part FROM raw)
+WHERE Region = 'east' OR Currency = 'JPY'""",
     "products": "SELECT CAST(p_partkey AS VARCHAR) AS ProductID, p_name AS ProductName, p_type AS Category FROM part",
     "quotes": """
 SELECT CASE user_id % 5 WHEN 0 THEN 'EUR' WHEN 1 THEN 'GBP' WHEN 2 THEN 'USD' WHEN 3 THEN 'EUR' ELSE 'JPY' END AS from_currency,
@@ -127,6 +132,7 @@ GROUP BY ALL""",
 
 # What each view of the chain reads.
 READS = {
+    "misfits": ["raw"],
     "rates": ["quotes"],
     "typed": ["raw"],
     "flagged": ["typed"],
@@ -304,6 +310,7 @@ def _pipeline_metrics() -> str:
         rows.append(f"SELECT 'enrichment', '{switch}', CAST(1 AS DOUBLE)")
     for name in ("ingestion", "cleaning", "enrichment", "loading"):
         rows.append(f"SELECT '{name}', 'success', CAST(1 AS DOUBLE)")
+    rows += stage("pipeline", "sales", {"final_records": "count(*)"})
     rows.append("SELECT 'pipeline', 'overall_success', CAST(1 AS DOUBLE)")
     return statement("\nUNION ALL ".join(rows), "raw", "products", "tagged", "sales", "rejected", "logs")
 
@@ -316,12 +323,12 @@ def _operators() -> dict[str, str]:
     return {
         "scan_sales": statement("SELECT * REPLACE (nullif(CustomerID, '') AS CustomerID) FROM raw", "raw"),
         "scan_products": statement("SELECT * FROM products", "products"),
-        "malformed_rows": statement(
-            """
-SELECT OrderID, CASE WHEN Region = 'east' THEN part ELSE part || ',' || CustomerID || ',' || coalesce(Discount, '') || ',' || Currency || ',extra' END AS RawLine
-FROM (SELECT *, OrderID || ',' || ProductID || ',' || coalesce(SaleAmount, '') || ',' || coalesce(OrderDate, '') || ',' || Region AS part FROM raw)
-WHERE Region = 'east' OR Currency = 'JPY'""",
-            "raw",
+        "malformed_rows": statement("SELECT OrderID, RawLine FROM misfits", "misfits"),
+        "malformed_rejects": statement(
+            f"""
+SELECT OrderID, ProductID, 'Malformed Row' AS ErrorType, 'Wrong number of fields: ' || RawLine AS ErrorMessage,
+  'File Ingestion' AS ProcessingStage, {RUN_TS} AS RejectionTimestamp FROM misfits""",
+            "misfits",
         ),
         "export_rows": statement(
             """

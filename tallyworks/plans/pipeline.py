@@ -18,7 +18,9 @@ from tallyworks.operators import metrics
 from tallyworks.schemas import TARGET_CURRENCY, CleaningSpec
 from tallyworks.sources import files, tables
 
-METRIC_SCHEMA = "stage string, metric string, value double"
+METRIC_SCHEMA = "stage string, metric string, value double, error string"
+# Lines that differ from run to run.
+CLOCK_METRICS = ("duration_seconds", "start_time", "end_time")
 
 
 # --- stages -----------------------------------------------------------------------------
@@ -27,9 +29,12 @@ METRIC_SCHEMA = "stage string, metric string, value double"
 def ingest(
     spark: SparkSession, sales_path: str, products_path: str, on_malformed: str = "keep"
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sales, products, profile) of two CSV files; raises if a column is missing."""
+    """(sales, products, profile) of two CSV files; raises if a column is missing.
+
+    With ``reject`` the malformed sales rows are marked, and cleaning turns them into rejects.
+    """
     sales = files.read_sales(spark, sales_path, on_malformed)
-    products = files.read_products(spark, products_path, on_malformed)
+    products = files.read_products(spark, products_path)
     files.check_inputs(sales, products)
     return sales, products, metrics.data_profile(sales, products)
 
@@ -90,6 +95,7 @@ class Run:
     folder: str
     database: str | None = None
     lines: list[tuple[str, str, float]] = field(default_factory=list)
+    errors: dict[str, str] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -105,10 +111,20 @@ class Run:
         self.lines += [(stage, name, float(value)) for name, value in values.items()]
 
     def timed(self, stage: str, step: Callable[..., dict[str, Any]], *args) -> None:
+        """Run a step and record what it measured; a step that fails is recorded with its error and raises."""
         started = time.monotonic()
-        values = step(*args)
-        self.record(stage, {**values, "success": 1})
-        self.record(stage, {"duration_seconds": time.monotonic() - started})
+        try:
+            values = step(*args)
+        except Exception as error:
+            self.errors[stage] = f"{type(error).__name__}: {error}"
+            self.record(stage, {"success": 0, "duration_seconds": time.monotonic() - started})
+            raise
+        self.record(stage, {**values, "success": 1, "duration_seconds": time.monotonic() - started})
+
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        """The recorded lines; the text of an error stands beside the ``success`` of its stage."""
+        rows = [(s, m, v, self.errors.get(s) if m == "success" else None) for s, m, v in self.lines]
+        return spark.createDataFrame(rows, METRIC_SCHEMA)
 
 
 @dataclass
@@ -120,13 +136,10 @@ class State:
     quotes: DataFrame
     options: Options
     tagged: DataFrame | None = None
+    cleaned: DataFrame | None = None
+    cleaned_rows: int = 0
     loaded: dict[str, DataFrame] = field(default_factory=dict)
     checked: dict[str, int] = field(default_factory=dict)
-    products_repeat: bool = False
-
-
-def _first_row(df: DataFrame) -> dict[str, Any]:
-    return df.first().asDict()
 
 
 def _observed(df: DataFrame, name: str, measures: dict[str, Column]) -> tuple[DataFrame, Observation]:
@@ -138,20 +151,15 @@ def _ingestion(run: Run, state: State) -> dict[str, Any]:
     """Tag the raw rows and write them once; both the rejects and the accepted rows read this."""
     files.check_inputs(state.sales, state.products)
     tagged = cleaning.tag_rows(state.sales, state.options.spec)
-    observed, seen = _observed(tagged, "tagged", metrics.stage_counts())
+    observed, seen = _observed(tagged, "tagged", metrics.stage_counts(tagged.columns))
     state.tagged = files.write_and_read(observed, run.path("staging/tagged"))
     state.checked = dict(seen.get)
     files.write_json_summary(metrics.data_profile(state.tagged, state.products), run.path("raw_data_summary"))
-    per_id = state.products.groupBy("ProductID").agg(F.count(F.lit(1)).alias("n"))
-    counts = _first_row(
-        per_id.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("products"), F.count_if(F.col("n") > 1).alias("repeated"))
-    )
-    state.products_repeat = state.options.lookup_products and counts["repeated"] > 0
-    return {"records_processed": state.checked["initial_records"], "product_records": counts["products"]}
+    return {"records_processed": state.checked["initial_records"], "product_records": state.products.count()}
 
 
 def _cleaning(run: Run, state: State) -> dict[str, Any]:
-    """Write the rejects, then let the rejection rate decide whether the run goes on."""
+    """Write the rejects, let the rejection rate decide whether the run goes on, then write the cleaned rows once."""
     spec, checked = state.options.spec, state.checked
     rejected = cleaning.rejects(state.tagged, state.options.run_ts, spec)
     state.loaded["ErrorLogging"] = run.refresh(tables.error_table(rejected), "ErrorLogging")
@@ -159,8 +167,13 @@ def _cleaning(run: Run, state: State) -> dict[str, Any]:
         rows = state.loaded["ErrorLogging"].withColumnRenamed("ErrorTimestamp", "RejectionTimestamp")
         files.write_csv(rows, run.path("rejected_records_csv"))
     failed, total = checked["rejected_records"], checked["initial_records"]
+    run.record("cleaning", {**checked, "rejection_rate": 100 * failed / total if total else 0})
     metrics.enforce_rejection_rate(failed, total, spec.max_rejection_rate)
-    return {**checked, "rejection_rate": 100 * failed / total if total else 0}
+    cleaned = cleaning.clean(state.tagged, spec)
+    observed, seen = _observed(cleaned, "cleaned", {"final_records": F.count(F.lit(1))})
+    state.cleaned = files.write_and_read(observed, run.path("staging/cleaned"))
+    state.cleaned_rows = seen.get["final_records"]
+    return {"final_records": state.cleaned_rows, "duplicates_removed": total - failed - state.cleaned_rows}
 
 
 def _converted_per_currency(spec: CleaningSpec) -> dict[str, Column]:
@@ -185,14 +198,14 @@ def _conversion_log(rates: DataFrame, converted: dict[str, int], run_ts: datetim
 
 
 def _enrichment(run: Run, state: State) -> dict[str, Any]:
-    """Clean, enrich and write the accepted rows in one pass, counting on the way."""
+    """Enrich and write the cleaned rows in one pass, counting on the way."""
     options, spec = state.options, state.options.spec
     resolved = enrichment.resolve_rates(
         state.quotes, options.as_of or options.run_ts, options.ttl, TARGET_CURRENCY, spec.currencies
     )
     rates = files.write_and_read(resolved, run.path("staging/rates"))
     enriched = enrichment.enrich(
-        cleaning.clean(state.tagged, spec),
+        state.cleaned,
         state.products if options.lookup_products else None,
         rates if options.convert_amounts else None,
         options.run_ts,
@@ -207,14 +220,8 @@ def _enrichment(run: Run, state: State) -> dict[str, Any]:
         _conversion_log(rates, converted, options.run_ts), "CurrencyConversionLog"
     )
 
-    cleaned_rows = counts["final_records"]
-    if state.products_repeat:  # the lookup has repeated rows, so count the keys instead
-        counted = metrics.clean_metrics(state.tagged, spec.duplicate_keys, spec.remove_duplicates)
-        cleaned_rows = _first_row(counted)["final_records"]
-    accepted_rows = state.checked["initial_records"] - state.checked["rejected_records"]
-    run.record("cleaning", {"final_records": cleaned_rows, "duplicates_removed": accepted_rows - cleaned_rows})
     values = {
-        "initial_records": cleaned_rows,
+        "initial_records": state.cleaned_rows,
         **counts,
         "product_enrichment_enabled": options.lookup_products,
         "currency_conversion_enabled": options.convert_amounts,
@@ -251,7 +258,7 @@ def run_pipeline(
     """
     run = Run(folder.rstrip("/"), options.database)
     state = State(sales, products, quotes, options)
-    finished = False
+    finished, started = False, time.time()
     try:
         run.timed("ingestion", _ingestion, run, state)
         run.timed("cleaning", _cleaning, run, state)
@@ -259,15 +266,25 @@ def run_pipeline(
         run.timed("loading", _loading, run, state)
         finished = True
     finally:
+        ended = time.time()
+        if finished:
+            loaded = {(stage, name): value for stage, name, value in run.lines}
+            run.record("pipeline", {"final_records": loaded["loading", "sales_records_loaded"]})
         run.record("pipeline", {"overall_success": finished})
-        lines = sales.sparkSession.createDataFrame(run.lines, METRIC_SCHEMA)
-        files.write_json_summary(lines, run.path("metrics"))
+        run.record("pipeline", {"start_time": started, "end_time": ended, "duration_seconds": ended - started})
+        files.write_json_summary(run.metrics(sales.sparkSession), run.path("metrics"))
     return run
 
 
 def run_files(
-    spark: SparkSession, sales_path: str, products_path: str, quotes: DataFrame, folder: str, options: Options
+    spark: SparkSession,
+    sales_path: str,
+    products_path: str,
+    quotes: DataFrame,
+    folder: str,
+    options: Options,
+    on_malformed: str = "keep",
 ) -> Run:
-    """The same run over two CSV files."""
-    sales, products = files.read_sales(spark, sales_path), files.read_products(spark, products_path)
-    return run_pipeline(sales, products, quotes, folder, options)
+    """The same run over two CSV files; with ``reject`` malformed sales rows become rejects and are counted."""
+    sales = files.read_sales(spark, sales_path, on_malformed)
+    return run_pipeline(sales, files.read_products(spark, products_path), quotes, folder, options)

@@ -80,7 +80,8 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean(tagged(spark, sf_dir), SPEC)
+    """The cleaned rows that the run has written, so that no query removes duplicates again."""
+    return files.read_written(spark, loaded_run(spark, sf_dir).path("staging/cleaned"), cleaning.CLEANED_SCHEMA)
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +133,7 @@ def scan_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_products(spark, path)
 
 
-def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def marked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines, some cut after five fields and some with a field too many, read as CSV."""
     fields = [F.coalesce(c, F.lit("")) for c in SALES_COLUMNS]
     line = (
@@ -146,8 +147,17 @@ def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw(spark, sf_dir).select(line.alias(",".join(SALES_COLUMNS))).write.csv(path, header=True, sep="|")
         return path
 
-    path = once("sales-lines", spark, sf_dir, write)
-    return files.malformed_rows(files.read_marked(spark, path, SALES_SCHEMA))
+    return files.read_sales(spark, once("sales-lines", spark, sf_dir, write), "reject")
+
+
+def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.malformed_rows(marked_lines(spark, sf_dir))
+
+
+def malformed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects that the malformed lines become; other rejects of the lines are those of ``rejects``."""
+    rejected = cleaning.rejects(cleaning.tag_rows(marked_lines(spark, sf_dir), SPEC), RUN_TS, SPEC)
+    return rejected.filter(F.col("ProcessingStage") == "File Ingestion").drop("RawData")
 
 
 def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +312,7 @@ def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the run measured, without its durations."""
     path = loaded_run(spark, sf_dir).path("metrics")
     lines = spark.read.schema(pipeline.METRIC_SCHEMA).json(path)
-    return lines.filter(F.col("metric") != "duration_seconds")
+    return lines.filter(~F.col("metric").isin(*pipeline.CLOCK_METRICS)).drop("error")
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,6 +331,7 @@ def queries() -> dict[str, Query]:
         "scan_sales": scan_sales,
         "scan_products": scan_products,
         "malformed_rows": malformed_rows,
+        "malformed_rejects": malformed_rejects,
         "export_rows": export_rows,
         "safe_cast": safe_cast,
         "check_required": single_check(0),

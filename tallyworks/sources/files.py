@@ -19,13 +19,13 @@ class SchemaMismatch(ValueError):
     """An input lacks expected columns."""
 
 
-def _reader(spark: SparkSession, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrameReader:
+def _reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
     """Header CSV of text columns.
 
     The header must name the columns in order; Spark raises otherwise, where binding by
     position would swap columns silently. A missing path raises as well.
     """
-    return spark.read.schema(schema).option("header", True).option("mode", mode).option("enforceSchema", False)
+    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
 
 
 def read_marked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -39,21 +39,21 @@ def read_marked(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return marked.option("columnPruning", False).csv(path)
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, on_malformed: str) -> DataFrame:
-    """Rows of a wrong length are cut or padded with nulls (``keep``), or left out (``reject``)."""
+def read_sales(spark: SparkSession, path: str, on_malformed: str = "keep") -> DataFrame:
+    """Rows of a wrong length are cut or padded with nulls (``keep``), or marked for rejection (``reject``).
+
+    No row is left out: marked rows carry their line, and tagging turns them into rejects.
+    """
     if on_malformed == "keep":
-        return _reader(spark, schema).csv(path)
+        return _reader(spark, SALES_SCHEMA).csv(path)
     if on_malformed == "reject":
-        return _reader(spark, schema, "DROPMALFORMED").option("columnPruning", False).csv(path)
+        return read_marked(spark, path, SALES_SCHEMA)
     raise ValueError(f"on_malformed must be 'keep' or 'reject', not {on_malformed!r}")
 
 
-def read_sales(spark: SparkSession, path: str, on_malformed: str = "keep") -> DataFrame:
-    return _read(spark, path, SALES_SCHEMA, on_malformed)
-
-
-def read_products(spark: SparkSession, path: str, on_malformed: str = "keep") -> DataFrame:
-    return _read(spark, path, PRODUCT_SCHEMA, on_malformed)
+def read_products(spark: SparkSession, path: str) -> DataFrame:
+    """Product rows; those of a wrong length are cut or padded with nulls."""
+    return _reader(spark, PRODUCT_SCHEMA).csv(path)
 
 
 def malformed_rows(rows: DataFrame) -> DataFrame:

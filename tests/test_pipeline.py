@@ -66,7 +66,9 @@ def test_whole_run(spark, run):
     assert got[("enrichment", "currency_converted_records")] == 3
     assert got[("loading", "sales_records_loaded")] == 6 and got[("loading", "error_records_loaded")] == 3
     assert got[("loading", "conversion_logs_loaded")] == 2 and got[("pipeline", "overall_success")] == 1
-    assert {s for s, m in got if m == "duration_seconds"} == {"ingestion", "cleaning", "enrichment", "loading"}
+    assert {s for s, m in got if m == "duration_seconds"} == {"ingestion", "cleaning", "enrichment", "loading", "pipeline"}
+    assert got[("pipeline", "final_records")] == 6
+    assert got[("pipeline", "start_time")] < got[("pipeline", "end_time")]
 
     sales = spark.read.parquet(result.path("SalesData")).cache()
     rows = {r["OrderID"]: (r["SaleAmount"], r["OriginalSaleAmount"], r["ExchangeRate"], r["ProductName"]) for r in sales.collect()}
@@ -146,8 +148,37 @@ def test_gate_stops_the_run_after_the_rejects_are_written(spark, run, tmp_path):
     out = str(tmp_path / "out")
     assert spark.read.parquet(f"{out}/ErrorLogging").count() == 3
     assert not (tmp_path / "out" / "SalesData").exists()
-    metrics = {(r["stage"], r["metric"]): r["value"] for r in spark.read.json(f"{out}/metrics").collect()}
-    assert metrics[("pipeline", "overall_success")] == 0
+    lines = spark.read.schema(pipeline.METRIC_SCHEMA).json(f"{out}/metrics").collect()
+    metrics = {(r["stage"], r["metric"]): r["value"] for r in lines}
+    assert metrics[("pipeline", "overall_success")] == metrics[("cleaning", "success")] == 0
+    assert metrics[("ingestion", "success")] == 1 and metrics[("cleaning", "rejected_records")] == 3
+    assert metrics[("cleaning", "duration_seconds")] > 0 and ("pipeline", "final_records") not in metrics
+    assert [(r["stage"], r["error"]) for r in lines if r["error"]] == [
+        ("cleaning", "RejectionRateExceeded: rejection rate 30.00% exceeds the limit of 29.00%")
+    ]
+
+
+@pytest.mark.parametrize("on_malformed", ["keep", "reject"])
+def test_malformed_rows_of_a_run(spark, files_in, quotes, on_malformed):
+    """Valid rows, duplicates and rejects add up to the lines read, and the rejects say what was wrong."""
+    short, long = "20,A,5", "21,A,5,08/04/2024,West,C4,0.05,USD,more"
+    sales_path, products_path, out = files_in(LINES + f"{short}\n{long}\n")
+    options = pipeline.Options(RUN_TS, CleaningSpec(max_rejection_rate=0.5))
+    result = pipeline.run_files(spark, sales_path, products_path, quotes(), out, options, on_malformed)
+    got, rejecting = values(result), on_malformed == "reject"
+    assert got[("ingestion", "records_processed")] == 12
+    # Kept rows are padded, and so fail the required check, or cut, and so pass.
+    assert got[("cleaning", "rejected_records")] == (5 if rejecting else 4)
+    assert got.get(("cleaning", "malformed_rows")) == (2 if rejecting else None)
+    assert got[("cleaning", "final_records")] == (6 if rejecting else 7)
+    assert got[("cleaning", "rejection_rate")] == pytest.approx(100 * (5 if rejecting else 4) / 12)
+    errors = spark.read.parquet(result.path("ErrorLogging")).filter("ProcessingStage = 'File Ingestion'")
+    rows = [(r["OrderID"], r["ErrorType"], r["ErrorMessage"]) for r in errors.orderBy("OrderID").collect()]
+    assert rows == (
+        [("20", "Malformed Row", f"Wrong number of fields: {short}"), ("21", "Malformed Row", f"Wrong number of fields: {long}")]
+        if rejecting
+        else []
+    )
 
 
 def test_repeated_products_do_not_change_the_duplicate_count(run):

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from tallyworks.operators import clean as C
 from tallyworks.operators import enrich as E
 from tallyworks.plans import oracle, registry
@@ -61,6 +62,17 @@ def test_duplicates_are_thinned_before_the_shuffle(spark, sales):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
+def test_profile_expands_groups_and_not_rows(spark):
+    text = plan(registry.queries()["data_profile"](spark, SF))
+    below = text[text.index("Expand") :]
+    assert text.count("Expand") == 1 and below.index("HashAggregate") < below.index("Scan parquet")
+
+
+def test_no_query_over_the_loaded_rows_removes_duplicates_again(spark):
+    for name in ("sales_table", "finalize", "export_rows", "conversion_log", "enrich_metrics"):
+        assert "Window" not in plan(registry.queries()[name](spark, SF)), name
+
+
 def test_small_sides_are_broadcast_and_large_ones_are_not(spark):
     text = plan(registry.sales(spark, SF))
     assert text.count("BroadcastHashJoin") == 2

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tallyworks.schemas import SALES_COLUMNS, SALES_SCHEMA
+from tallyworks.schemas import CORRUPT_COLUMN, SALES_COLUMNS
 from tallyworks.settings import session_settings
 from tallyworks.sources import files, scratch, tables
 
@@ -47,11 +47,12 @@ def test_malformed_rows_are_kept_or_rejected(spark, csv):
     kept = files.read_sales(spark, path)
     assert [(r["OrderID"], r["Currency"]) for r in kept.orderBy("OrderID").collect()] == [("1", "USD"), ("2", None), ("3", "USD")]
     rejecting = files.read_sales(spark, path, "reject")
-    # The same rows are left out whichever columns a query needs.
+    assert rejecting.count() == 3
+    # The same rows are marked whichever columns a query needs.
     for wanted in (["OrderID"], ["OrderID", "Currency"], list(SALES_COLUMNS)):
-        assert [r["OrderID"] for r in rejecting.select(*wanted).collect()] == ["1"]
-    assert rejecting.count() == 1
-    marked = files.malformed_rows(files.read_marked(spark, path, SALES_SCHEMA))
+        sound = rejecting.filter(F.col(CORRUPT_COLUMN).isNull()).select(*wanted)
+        assert [r["OrderID"] for r in sound.collect()] == ["1"]
+    marked = files.malformed_rows(rejecting)
     assert sorted(r["RawLine"] for r in marked.collect()) == lines[1:]
     with pytest.raises(ValueError):
         files.read_sales(spark, path, "ignore")
