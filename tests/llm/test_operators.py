@@ -1,5 +1,6 @@
 """The operators against brute force, and their odd cases: nulls, empty and long texts, ties, repeated rows, empty tables."""
 
+import math
 import random
 import re
 import zlib
@@ -208,6 +209,11 @@ def test_toxicity(spark, empty):
     assert got[900] >= 0.5 and got[902] >= 0.5 and got[903] >= 0.5 and 0 < got[901] < 0.5
     lexicon, prior = toxicity.learn(empty.select("doc_id", "text"), labels, toxicity.letter_model(empty))
     assert (lexicon, prior) == ({}, 0.0)
+    # Of more labels than the sample holds, those with the smallest hash are learned from.
+    told = {toxicity.learn(docs, labels.repartition(n, "doc_id"), model, sample=30)[1] for n in (1, 5)}
+    ids = spark.range(60).orderBy(F.xxhash64("id")).limit(30).toPandas()["id"]
+    toxic = sum(i % 4 == 0 for i in ids)
+    assert told == {math.log((toxic + 1) / (30 - toxic + 1))}
 
 
 def test_ordinal_quality(spark, empty):
