@@ -1,4 +1,4 @@
-"""What the operators of this subpackage share: input, learning folds, written tables, size checks."""
+"""What the operators of this subpackage share: input, learning folds, written tables."""
 
 from __future__ import annotations
 
@@ -55,12 +55,3 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch.new_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, max_rows: int) -> DataFrame:
-    """A side to broadcast if it has at most that many rows; beyond that, Spark joins by shuffle.
-
-    The caller passes a written or otherwise cheap table: its rows are counted up to the bound.
-    """
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df

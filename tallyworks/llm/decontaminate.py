@@ -25,7 +25,7 @@ from tallyworks.llm import common
 MASKS = ("11101011", "11001111")
 STRETCH = 13
 SHARE = 0.8
-# Hashes of test items are broadcast up to so many rows (24 bytes each); beyond, Spark joins by shuffle.
+# Hashes of test items are broadcast up to so many rows (24 bytes each); beyond, places are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -52,6 +52,22 @@ def _seeds(rows: DataFrame, *carried: str) -> DataFrame:
     return found.select(*carried, "seed", F.expr(f"n div {count}").cast("int").alias("place"))
 
 
+def _hits(words: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(key, h, place, item_id, item_size, item_place): windows of documents with the hash of a window of an item.
+
+    Beside broadcast seeds the words of a text ride along, as the rows never leave their task. Where the
+    join shuffles, that would move each text once for each of its windows: there only places are
+    joined, and the words are fetched for the texts that were hit.
+    """
+    if seeds.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return _seeds(words, "key", "h").join(F.broadcast(seeds), "seed")
+    words = words.withColumn("text_hash", F.xxhash64("h"))
+    places = _seeds(words, "key", "text_hash").join(seeds, "seed").distinct()
+    places = places.select(F.col("key").alias("hit_key"), F.col("text_hash").alias("hit_hash"), "place", "item_id", "item_size", "item_place")
+    same = (F.col("text_hash") == F.col("hit_hash")) & F.col("key").eqNullSafe(F.col("hit_key"))
+    return places.join(words, same).drop("hit_key", "hit_hash", "text_hash")
+
+
 def overlaps(docs: DataFrame, tests: DataFrame) -> DataFrame:
     """(doc_id, item_id, doc_word, item_word, agreeing, compared): verified overlaps, one for each pair and alignment.
 
@@ -61,8 +77,7 @@ def overlaps(docs: DataFrame, tests: DataFrame) -> DataFrame:
     items = common.written(_hashed(tests, "item_id").withColumnRenamed("key", "item_id").distinct(), "items")
     sized = items.withColumn("item_size", F.size("h"))
     seeds = common.written(_seeds(sized, "item_id", "item_size").withColumnRenamed("place", "item_place").distinct(), "seeds")
-    words = _hashed(docs, "doc_id")
-    hits = _seeds(words, "key", "h").join(common.small_side(seeds, BROADCAST_ROWS), "seed")
+    hits = _hits(_hashed(docs, "doc_id"), seeds)
     start = F.col("place") - F.col("item_place")
     first, skipped = F.greatest(start, F.lit(0)), F.greatest(-start, F.lit(0))
     length = F.least(F.size("h") - first, F.col("item_size") - skipped)

@@ -235,7 +235,9 @@ def test_masks_tolerate_two_exchanged_words():
         assert any(all(not (0 <= c - at < span and m[c - at] == "1") for c in changed) for m in decontaminate.MASKS for at in starts)
 
 
-def test_decontamination(spark, docs, empty):
+@pytest.mark.parametrize("broadcast_rows", [decontaminate.BROADCAST_ROWS, 0])
+def test_decontamination(spark, docs, empty, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast_rows)
     item = some_text(500, 30)
     changed = item.split()
     changed[5] = changed[14] = changed[23] = "other"
