@@ -20,6 +20,11 @@ def number_text(value: Column) -> Column:
     )
 
 
+def decimal_text(value: Column) -> Column:
+    """All digits of a decimal with places, without trailing zeros beyond the first place and without an exponent."""
+    return F.regexp_replace(F.rtrim(value.cast("string"), F.lit("0")), r"\.$", ".0")
+
+
 def joined(parts: list[Column], separator: str) -> Column:
     """The non-null parts joined by the separator."""
     return F.concat_ws(separator, *parts)

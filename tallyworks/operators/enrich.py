@@ -7,9 +7,11 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyworks.functions.dates import timestamp_literal
-from tallyworks.schemas import EXPORT_COLUMNS, RATE_TYPE, TARGET_CURRENCY
+from tallyworks.functions.text import decimal_text
+from tallyworks.schemas import EXPORT_COLUMNS, RATE_TYPE, SALES_AMOUNT_LIMIT, TARGET_CURRENCY
 
 # Where a rate may come from, best first.
 RATE_SOURCES = ("cache", "API", "fallback")
@@ -120,6 +122,13 @@ def convert_strict(
     return df.withColumn("ConvertedAmount", F.col("SaleAmount") * rate).drop("_rate", "_source")
 
 
+def check_amounts_fit(rates: DataFrame, amount_bound: float) -> None:
+    """Raise if an amount within the bound could leave the amount column of SalesData at the highest rate."""
+    highest = rates.agg(F.max("rate")).first()[0]
+    if highest is not None and amount_bound * float(highest) >= SALES_AMOUNT_LIMIT:
+        raise ValueError(f"amounts up to {amount_bound:g} at rate {highest} do not fit the amount column of SalesData")
+
+
 def is_converted() -> Column:
     """True for rows whose amount was given in another currency."""
     return F.coalesce((F.col("OriginalCurrency") != F.col("Currency")) & F.col("SaleAmount").isNotNull(), F.lit(False))
@@ -152,11 +161,16 @@ def finalize(df: DataFrame, for_csv: bool = False) -> DataFrame:
 
 
 def export_rows(df: DataFrame) -> DataFrame:
-    """Enriched rows as they are written to CSV: numbers as plain doubles, dates as text."""
+    """Enriched rows as they are written to CSV: numbers as text with all their digits, dates as text."""
     final = finalize(df, for_csv=True)
     numbers = ("SaleAmount", "OriginalSaleAmount", "ExchangeRate", "Discount")
     present = [c for c in EXPORT_COLUMNS if c in final.columns]
-    return final.select(*[F.col(c).cast("double").alias(c) if c in numbers else F.col(c) for c in present])
+
+    def text(name: str) -> Column:
+        exact = isinstance(final.schema[name].dataType, T.DecimalType) and final.schema[name].dataType.scale > 0
+        return (decimal_text(F.col(name)) if exact else F.col(name).cast("double").cast("string")).alias(name)
+
+    return final.select(*[text(c) if c in numbers else F.col(c) for c in present])
 
 
 def enrich(

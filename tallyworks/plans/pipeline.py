@@ -204,6 +204,8 @@ def _enrichment(run: Run, state: State) -> dict[str, Any]:
         state.quotes, options.as_of or options.run_ts, options.ttl, TARGET_CURRENCY, spec.currencies
     )
     rates = files.write_and_read(resolved, run.path("staging/rates"))
+    if options.convert_amounts:
+        enrichment.check_amounts_fit(rates, max(abs(spec.amount_min), abs(spec.amount_max)))
     enriched = enrichment.enrich(
         state.cleaned,
         state.products if options.lookup_products else None,

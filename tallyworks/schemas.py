@@ -24,6 +24,8 @@ CORRUPT_COLUMN = "_corrupt_record"
 AMOUNT_TYPE = T.DecimalType(27, 12)
 RATE_TYPE = T.DecimalType(10, 6)
 AMOUNT_LIMIT = 1e15
+# Amounts in SalesData have sixteen digits before the point.
+SALES_AMOUNT_LIMIT = 1e16
 
 
 def string_schema(columns) -> T.StructType:
@@ -33,7 +35,7 @@ def string_schema(columns) -> T.StructType:
 SALES_SCHEMA = string_schema(SALES_COLUMNS)
 PRODUCT_SCHEMA = string_schema(PRODUCT_COLUMNS)
 
-# Target tables, in column order.
+# The target tables, in column order.
 SALES_TABLE = (
     ("OrderID", "string"),
     ("ProductID", "string"),
@@ -69,13 +71,12 @@ CONVERSION_LOG_TABLE = (
 )
 
 
-
 def ddl(layout) -> str:
     """The columns of a table as schema text."""
     return ", ".join(f"`{name}` {kind}" for name, kind in layout)
 
 
-# Column order of the enriched CSV export.
+# Column order of the enriched CSV export.
 EXPORT_COLUMNS = SALES_COLUMNS + (
     "ProductName",
     "Category",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,14 +62,49 @@ def load_table(df: DataFrame, name: str, if_exists: str = "append") -> None:
     df.write.format("parquet").mode(WRITE_MODES[if_exists]).saveAsTable(name)
 
 
-def load_jdbc(df: DataFrame, url: str, name: str, if_exists: str = "append", batch_rows: int = 1000) -> None:
-    """Write a frame to an external database in batches, straight from the executors."""
-    df.write.format("jdbc").options(url=url, dbtable=name, batchsize=batch_rows).mode(WRITE_MODES[if_exists]).save()
+@dataclass(frozen=True)
+class Split:
+    """How a read from a database is dealt to tasks: a number, date or timestamp column, its bounds, the connections.
 
+    The bounds only place the cuts; rows outside of them, or without a value, are read as well.
+    """
 
-def read_jdbc(spark: SparkSession, url: str, query: str) -> DataFrame:
-    """Result of a query that the external database runs."""
-    return spark.read.format("jdbc").options(url=url, query=query).load()
+    column: str
+    lower: str
+    upper: str
+    connections: int
+
+
+def jdbc_write_options(url: str, name: str, batch_rows: int, connections: int) -> dict[str, str]:
+    return {"url": url, "dbtable": name, "batchsize": str(batch_rows), "numPartitions": str(connections)}
+
+
+def load_jdbc(
+    df: DataFrame, url: str, name: str, if_exists: str = "append", batch_rows: int = 1000, connections: int = 16
+) -> None:
+    """Write a frame to an external database in batches, from the executors, over at most ``connections`` connections."""
+    options = jdbc_write_options(url, name, batch_rows, connections)
+    df.write.format("jdbc").options(**options).mode(WRITE_MODES[if_exists]).save()
+
+
+def jdbc_read_options(url: str, query: str, split: Split | None = None, one_task: bool = False) -> dict[str, str]:
+    """Options of a read; one that is not split must be asked for, as a single task reads the whole result."""
+    source = {"url": url, "dbtable": f"({query}) q"}
+    if split is None:
+        if not one_task:
+            raise ValueError("name a column to split the read by, or ask for one task")
+        return source
+    return source | {
+        "partitionColumn": split.column,
+        "lowerBound": split.lower,
+        "upperBound": split.upper,
+        "numPartitions": str(split.connections),
+    }
+
+
+def read_jdbc(spark: SparkSession, url: str, query: str, split: Split | None = None, one_task: bool = False) -> DataFrame:
+    """Result of a query that the external database runs, once for each part of the split."""
+    return spark.read.format("jdbc").options(**jdbc_read_options(url, query, split, one_task)).load()
 
 
 def run_sql(spark: SparkSession, sql: str, params: Mapping[str, Any] | None = None, **tables: DataFrame) -> DataFrame:

@@ -126,11 +126,25 @@ def test_finalize_is_idempotent_and_formats_dates(sales, products, rates):
     once = E.finalize(enriched)
     assert sorted(E.finalize(once).collect()) == sorted(once.collect())
     row = E.export_rows(enriched).orderBy("OrderID").collect()
-    assert (row[0]["SaleAmount"], row[0]["OriginalSaleAmount"], row[0]["ExchangeRate"]) == (0.0, 0.0, 1.1)
-    assert (row[1]["SaleAmount"], row[1]["OriginalSaleAmount"]) == (8.9, 8.888)
+    assert (row[0]["SaleAmount"], row[0]["OriginalSaleAmount"], row[0]["ExchangeRate"]) == ("0.0", "0.0", "1.1")
+    assert (row[1]["SaleAmount"], row[1]["OriginalSaleAmount"]) == ("8.9", "8.888")
     assert (row[0]["OrderDate"], row[0]["ProcessingTimestamp"]) == ("2023-05-01", "2024-01-01")
 
 
+def test_export_keeps_all_digits(sales, products, rates):
+    df = cleaned(sales({"SaleAmount": "1"}))
+    large = df.withColumn("SaleAmount", F.lit("123456789012345.67").cast(df.schema["SaleAmount"].dataType))
+    row = E.export_rows(E.enrich(large, products(("A", "Ant", "x")), rates(*API), RUN_TS)).first()
+    assert (row["SaleAmount"], row["OriginalSaleAmount"], row["ExchangeRate"]) == ("123456789012345.7", "123456789012345.67", "1.0")
+
+
+def test_amounts_that_could_leave_the_table_are_refused(rates):
+    E.check_amounts_fit(rates(*API), 1e15 - 1)
+    E.check_amounts_fit(rates(), 1e15 - 1)
+    with pytest.raises(ValueError, match="do not fit"):
+        E.check_amounts_fit(rates(("EUR", "USD", "50", "API", datetime(2024, 1, 1))), 9.9e14)
+
+
 def test_finalize_doubles_replaces_nan(spark):
     df = spark.createDataFrame([(float("nan"),), (None,), (-1.25,)], "SaleAmount double")
     assert [r[0] for r in E.finalize(df).collect()] == [0.0, 0.0, 1.3]

@@ -114,6 +114,18 @@ def test_catalog_tables(spark, sales):
     tables.drop_table(spark, "load_modes")
 
 
+def test_database_reads_are_split_and_writes_bounded():
+    """The options alone: no database is started here."""
+    split = tables.Split("id", "1", "1000", 8)
+    options = tables.jdbc_read_options("jdbc:x", "SELECT id FROM t", split)
+    assert options["dbtable"] == "(SELECT id FROM t) q" and "query" not in options
+    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", "1", "1000", "8")
+    with pytest.raises(ValueError, match="one task"):
+        tables.jdbc_read_options("jdbc:x", "SELECT 1")
+    assert "numPartitions" not in tables.jdbc_read_options("jdbc:x", "SELECT 1", one_task=True)
+    assert tables.jdbc_write_options("jdbc:x", "t", 500, 4) == {"url": "jdbc:x", "dbtable": "t", "batchsize": "500", "numPartitions": "4"}
+
+
 def test_parameterised_sql(spark, sales):
     df = sales({"OrderID": "1"}, {"OrderID": "2", "Region": "West"})
     got = tables.run_sql(spark, "SELECT OrderID FROM {orders} WHERE Region = :region", {"region": "West"}, orders=df)
