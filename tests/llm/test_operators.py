@@ -16,6 +16,7 @@ from tallyworks.llm import (
     cutting_stock,
     decontaminate,
     lang_id,
+    near_copies,
     ordinal_quality,
     packing,
     quality_rules,
@@ -94,6 +95,34 @@ def test_simhash_splits_crowded_lists(spark, monkeypatch):
     assert classes([tuple(x) for x in simhash.links(table).collect()]) == want
 
 
+def changed_words(seed, n, changes):
+    words = some_text(seed, n).split()
+    for i in range(changes):
+        words[(i + 1) * n // (changes + 1)] = f"other{i}"
+    return " ".join(words)
+
+
+def test_near_copies_are_verified(spark, docs, empty):
+    # Three changed words of 150 leave a similarity of 0.81, five one of 0.71.
+    rows = [(seed * 10 + k, changed_words(seed, 150, c)) for seed in range(20) for k, c in enumerate((0, 3, 5))]
+    # The second is similar to the first and the third, which stays since it is not similar to the first.
+    chain = some_text(900, 200).split()
+    rows += [(900 + k, " ".join(chain[k * 12 :] + [f"end{i}" for i in range(k * 12)])) for k in range(3)]
+    # A clash of doc_id: the copy goes, the other text stays; equal rows leave one.
+    rows += [(950, rows[0][1]), (950, some_text(950)), (951, some_text(951)), (951, some_text(951)), (None, rows[0][1]), (952, None), (953, " ")]
+    sets = [set(near_copies.shingles((t or "").encode()).tolist()) for _, t in rows]
+    want, order = [], sorted((i for i, r in enumerate(rows) if r[0] is not None), key=lambda i: rows[i][0])
+    for i in order:
+        if not any(5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in want):
+            want.append(i)
+    got = near_copies.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(map(tuple, got), key=key) == sorted([rows[i] for i in want] + [(None, rows[0][1])], key=key)
+    left = {r["doc_id"] for r in got}
+    assert {900, 902, 950, 951, 952} <= left and {1, 901, 953}.isdisjoint(left) and 2 in left
+    assert near_copies.deduplicate(empty).count() == 0
+
+
 def test_quality_rules(docs, empty):
     got = quality_rules.judge(docs.unionByName(docs.filter("doc_id = 7").withColumns({"text": F.lit("x y z a b c d e " * 6)}))).collect()
     for row in got:
