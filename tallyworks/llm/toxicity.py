@@ -48,14 +48,18 @@ FLUSH = 300_000
 # Letters that a sign may stand for, and what each reading costs in log-probability.
 SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "+": "t", "|": "il", "*": "aeiou"}
 SIGN_COST, BREAK_COST = -1.0, -6.0
+# What a sign that is also punctuation costs as such, at either end of a token.
+EDGE_COST, EDGE = -2.0, "!*+|$"
+_SINGLE = r"(?<![^\W_])(?:[^\W\d_]|[01345789@$!+|*])(?![^\W_])"
+# Three or more single letters or signs, parted by spaces or punctuation; or a sign beside a letter; or a letter three times.
 SUSPICIOUS = re.compile(
-    r"[^\W\d_][0-9@$!+|*]+[^\W\d_]"
-    r"|([^\W\d_])\1\1"
-    r"|(?<!\S)[0-9@$!+|][^\W\d_]"
-    r"|(?<!\S)[^\W\d_](?:[ ._~*-][^\W\d_]){3,}(?!\S)"
+    rf"(?P<apart>{_SINGLE}(?:(?:[^\w@$!+]|_){{1,3}}{_SINGLE}){{2,}})"
+    r"|[^\W\d_][01345789@$!+|*]"
+    r"|[01345789@$!+|*][^\W\d_]"
+    r"|([^\W\d_])\2\2"
     r"|[^\W\d_](?:[._~*-][^\W\d_]){2,}"
 )
-APART = re.compile(r"[ ._~*-]")
+APART = re.compile(r"(?:[^\w@$!+]|_)+")
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -107,21 +111,25 @@ def letter_model(docs: DataFrame) -> np.ndarray:
     return np.log(probability).astype(np.float32)
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """What each part of a token may stand for, with costs. Signs between single letters may stand for nothing."""
-    apart = len(APART.split(token)) > 3 and all(len(x) <= 1 for x in APART.split(token))
+def lattice(token: str, apart: bool = False) -> list[list[tuple[str, float]]]:
+    """What each part of a token may stand for, with costs. What parts single letters (``apart``) may stand for nothing."""
     parts, at = [], 0
+    inner = [i for i, c in enumerate(token) if c.isalpha() or c in SIGNS and c not in EDGE]
     while at < len(token):
+        parting = APART.match(token, at) if apart else None
+        if parting:
+            parts.append([("", 0.0), (" ", BREAK_COST)])
+            at = parting.end()
+            continue
         c, run = token[at], at
         while run < len(token) and token[run] == c:
             run += 1
         if c.isalpha():
             count = run - at
             parts += [[(c, 0.0)]] * count if count < 3 else [[(c, 0.0), (c + c, 0.0)]]
-        elif apart and APART.match(c):
-            parts.append([("", 0.0), (" ", BREAK_COST)])
         elif c in SIGNS:
-            readings = [(x, SIGN_COST) for x in SIGNS[c]] + [(" ", BREAK_COST)]
+            outside = c in EDGE and inner and not inner[0] < at < inner[-1]
+            readings = [(x, SIGN_COST) for x in SIGNS[c]] + [(" ", EDGE_COST if outside else BREAK_COST)]
             parts += [readings] * (run - at)
         elif c in "._~-":
             parts.append([("", SIGN_COST), (" ", 0.0)])
@@ -131,10 +139,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return parts
 
 
-def decode(token: str, model: np.ndarray) -> str:
+def decode(token: str, model: np.ndarray, apart: bool = False) -> str:
     """The best path through a token's lattice; a state is the last three symbols."""
     slots, best = _slots(), {(0, 0, 0): (0.0, None)}
-    for part in lattice(token):
+    for part in lattice(token, apart):
         after: dict[tuple, tuple[float, tuple | None]] = {}
         for state, (score, path) in best.items():
             for reading, cost in part:
@@ -160,20 +168,24 @@ class Restorer:
     """Restores the suspicious tokens of texts; equal tokens are decoded once."""
 
     def __init__(self, model: np.ndarray, remembered: int = 100_000) -> None:
-        self.decode = lru_cache(maxsize=remembered)(lambda token: decode(token, model))
+        self.decode = lru_cache(maxsize=remembered)(lambda token, apart: decode(token, model, apart))
 
     def __call__(self, text: str | None) -> str:
         text = (text or "").lower()
         parts, done = [], 0
-        for hit in SUSPICIOUS.finditer(text):
+        while hit := SUSPICIOUS.search(text, done):
             start, stop = hit.span()
-            if start < done:
+            apart = hit["apart"] is not None
+            if apart and sum(map(str.isalpha, hit["apart"])) < 2:
+                # Numbers in a row.
+                parts.append(text[done:stop])
+                done = stop
                 continue
-            while start > done and not text[start - 1].isspace():
+            while not apart and start > done and not text[start - 1].isspace():
                 start -= 1
-            while stop < len(text) and not text[stop].isspace():
+            while not apart and stop < len(text) and not text[stop].isspace():
                 stop += 1
-            parts += [text[done:start], self.decode(text[start:stop])]
+            parts += [text[done:start], self.decode(text[start:stop], apart)]
             done = stop
         return "".join([*parts, text[done:]])
 
@@ -201,7 +213,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = S
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = set(WORD.findall(restore(text)))
-                for f in {f for w in words if len(w) > 3 for f in features(w)} | {""}:
+                for f in {f for w in words for f in features(w)} | {""}:
                     found.setdefault(f, [0, 0])[toxic] += 1
             if len(found) > FLUSH:
                 yield rows()
@@ -236,7 +248,7 @@ def score(docs: DataFrame, model: np.ndarray, lexicon: dict[str, float], prior:
         for texts in batches:
             out = []
             for text in texts:
-                found = [weights(w) for w in set(WORD.findall(restore(text))) if len(w) > 3]
+                found = [weights(w) for w in set(WORD.findall(restore(text)))]
                 total = prior + sum(sorted(found)[-STRONGEST:])
                 out.append(1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, total)))))
             yield pd.Series(out, dtype="float64")

@@ -245,6 +245,20 @@ def test_toxicity(spark, empty):
     assert told == {math.log((toxic + 1) / (30 - toxic + 1))}
 
 
+def test_toxicity_takes_common_disguises(spark):
+    bad = ("you stupid idiot friend", "you scum friend", "you hate friend", "you asshole friend", "you fag friend")
+    rows = [(i, some_text(i) + " " + (bad[i // 3 % 5] if i % 3 == 0 else "you friend")) for i in range(180)]
+    forms = ["(5tupid)", '"1diot"', "@$$hole", "*diot", "hat3", "i d 1 o t", "s c u m.", "i d i o t", "i d i o t, go", "(i.d.i.o.t)", "s-c-u-m!", "i  d  i  o  t", "1d10t!!", "5tup1d!", "f a g", "f@g"]
+    plain = ["friend!", "*friend*", "a+ friend", "you (and a b) 3 4 5 7", "alpha3 beta5!"]
+    rows += [(1000 + i, "well " + t) for i, t in enumerate(forms)] + [(2000 + i, t) for i, t in enumerate(plain)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.letter_model(docs)
+    lexicon, prior = toxicity.learn(docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(180)], "doc_id long, toxic int"), model)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model, lexicon, prior).collect()}
+    assert [t for i, t in enumerate(forms) if got[1000 + i] < 0.5] == []
+    assert [t for i, t in enumerate(plain) if got[2000 + i] >= 0.5] == []
+
+
 def test_ordinal_quality(spark, empty):
     rows = [(i, some_text(i) if i % 3 else "%%% ### " * 20 + some_text(i, 5)) for i in range(90)]
     docs = spark.createDataFrame([*rows, (900, None), (901, "")], "doc_id long, text string")
