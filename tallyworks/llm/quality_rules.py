@@ -10,8 +10,8 @@ The estimate is the deterministic one: it starts from medians and absolute devia
 each concentration step takes mean and covariance of the three quarters of the group that lie nearest
 to the estimate before. Every step is a grouped aggregation, combined before its shuffle, so a
 group of any size is never in one task. The covariance gets a fixed floor on its diagonal, since
-most texts have no symbol and no repeated line at all. Groups under ``MIN_GROUP`` documents are pooled by
-language; a pool that is still smaller gives no verdict, and its documents are kept if they pass the base rules.
+most texts have no symbol and no repeated line at all. A group under ``MIN_GROUP`` documents is
+held against all documents of its language that pass the base rules, large groups included, and where these are too few, against all that pass.
 
 Nulls and odd cases: a null text counts as empty and fails the base rules; a null language or source
 is a group of its own; repeated rows are measured and returned each. An empty table gives no rows.
@@ -162,11 +162,18 @@ def judge(docs: DataFrame) -> DataFrame:
     sound = rows.filter(~F.col("base_failed"))
     sizes = sound.groupBy("own", "pool").agg(F.count(F.lit(1)).alias("n"))
     small = F.col("n") < MIN_GROUP
-    pools = sizes.filter(small).groupBy("pool").agg(F.sum("n").alias("pooled"))
-    group = F.when(~small, F.concat(F.lit("own "), "own"))
-    group = group.when(F.col("pooled") >= MIN_GROUP, F.concat(F.lit("pool "), "pool"))
-    groups = common.written(sizes.join(pools, "pool", "left").select("own", group.alias("group")), "groups")
-    members = sound.join(groups.filter("group is not null"), "own").select("group", *FEATURES)
+    pools = sizes.groupBy("pool").agg(F.sum("n").alias("pooled"), F.max(small).alias("wanted"))
+    own, pool, every = F.concat(F.lit("own "), "own"), F.concat(F.lit("pool "), "pool"), F.lit("all")
+    enough = F.col("pooled") >= MIN_GROUP
+    group = F.when(~small, own).when(enough, pool).otherwise(every)
+    # The estimates that a group's documents enter: its own, and those that some small group needs.
+    enters = [F.when(~small, own), F.when(F.col("wanted") & enough, pool)]
+    if not pools.filter("wanted").filter(~enough).isEmpty():
+        enters.append(every)
+    groups = sizes.join(pools, "pool").select("own", group.alias("group"), F.array_compact(F.array(*enters)).alias("enters"))
+    groups = common.written(groups, "groups")
+    members = sound.join(groups.drop("group"), "own").select(F.explode("enters").alias("group"), *FEATURES)
+    groups = groups.drop("enters")
     estimates = groups.join(_estimates(common.written(members, "members")), "group").drop("group")
     judged = rows.join(estimates, "own", "left")
     distance = F.when(~F.col("base_failed"), _distance())

@@ -138,6 +138,15 @@ def test_quality_rules_reject_outliers(spark):
     assert [i for i, kept in got.items() if not kept] == [99]
 
 
+def test_quality_rules_judge_small_groups(spark):
+    junk = "###%%% " * 3 + " ".join(f"w{i}$$$&&&" for i in range(60))
+    rows = [(i, some_text(i, 40 + i), "en", "s", 1) for i in range(80)]
+    for k, lang in enumerate(["en", "xx", None], 1):
+        rows += [(100 * k + i, some_text(100 * k + i, 60), lang, None, 1) for i in range(9)] + [(100 * k + 99, junk, lang, None, 1)]
+    got = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [i for i, r in got.items() if not r["kept"]] == [199, 299, 399] and all(r["distance"] is not None for r in got.values())
+
+
 def test_packing_places_every_token_once(spark, docs, empty):
     vocabulary = tokens.public()
     got = packing.pack(docs, vocabulary).collect()
