@@ -9,13 +9,18 @@ item is laid along the document, word by word, and counts as found if some stret
 Words are lower-cased, and ASCII punctuation counts as space. Hits carry the hashed words of the stretch they
 claim, so that no text is read or moved again.
 
-Nulls and odd cases: a null or empty text has no words; items and documents with fewer words than a
-mask spans give no hit; documents that share a doc_id, or items that share an item_id, count
+Items shorter than a stretch are hashed whole, under masks of their own length that leave one untouched by every
+exchange that ``SHARE`` allows; documents are hashed for such a length only if some item has it.
+
+Nulls and odd cases: a null or empty text has no words and gives no hit; documents that share a doc_id, or items that share an item_id, count
 as one; a null id is kept as null. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,19 +35,31 @@ BROADCAST_ROWS = 1_000_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def masks_for(length: int) -> tuple[str, ...]:
+    """The masks for items of so many words, of which each allowed pattern of exchanged words leaves one untouched."""
+    if length >= STRETCH:
+        return MASKS
+    allowed = length - math.ceil(SHARE * length)
+    # Of allowed + 2 blocks of words, each mask ignores as many as words may be exchanged.
+    blocks = allowed + 2
+    block = [i * blocks // length for i in range(length)]
+    return tuple("".join("0" if b in ignored else "1" for b in block) for ignored in combinations(range(blocks), allowed))
+
+
 def _hashed(rows: DataFrame, key: str) -> DataFrame:
     """(key, h): the hashes of the words of each text."""
     plain = F.translate(F.lower(F.coalesce("text", F.lit(""))), PUNCTUATION, " " * len(PUNCTUATION))
     hashes = F.transform(common.words(plain), lambda w: F.xxhash64(w))
-    return rows.select(F.col(key).alias("key"), hashes.alias("h")).filter(F.size("h") >= len(MASKS[0]))
+    return rows.select(F.col(key).alias("key"), hashes.alias("h")).filter(F.size("h") > 0)
 
 
-def _seeds(rows: DataFrame, *carried: str) -> DataFrame:
+def _seeds(rows: DataFrame, masks: tuple[str, ...], *carried: str) -> DataFrame:
     """One row for each window and mask: its hash and its place, beside the carried columns."""
-    span, count = len(MASKS[0]), len(MASKS)
+    span, count = len(masks[0]), len(masks)
+    rows = rows.filter(F.size("h") >= span)
 
     def seed(i: Column, number: int) -> Column:
-        chosen = [F.get("h", i + j) for j, bit in enumerate(MASKS[number]) if bit == "1"]
+        chosen = [F.get("h", i + j) for j, bit in enumerate(masks[number]) if bit == "1"]
         return F.xxhash64(F.lit(number), *chosen)
 
     windows = F.sequence(F.lit(0), F.size("h") - span)
@@ -52,7 +69,7 @@ def _seeds(rows: DataFrame, *carried: str) -> DataFrame:
     return found.select(*carried, "seed", F.expr(f"n div {count}").cast("int").alias("place"))
 
 
-def _hits(words: DataFrame, seeds: DataFrame) -> DataFrame:
+def _hits(words: DataFrame, seeds: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     """(key, h, place, item_id, item_size, item_place): windows of documents with the hash of a window of an item.
 
     Beside broadcast seeds the words of a text ride along, as the rows never leave their task. Where the
@@ -60,9 +77,9 @@ def _hits(words: DataFrame, seeds: DataFrame) -> DataFrame:
     joined, and the words are fetched for the texts that were hit.
     """
     if seeds.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return _seeds(words, "key", "h").join(F.broadcast(seeds), "seed")
+        return _seeds(words, masks, "key", "h").join(F.broadcast(seeds), "seed")
     words = words.withColumn("text_hash", F.xxhash64("h"))
-    places = _seeds(words, "key", "text_hash").join(seeds, "seed").distinct()
+    places = _seeds(words, masks, "key", "text_hash").join(seeds, "seed").distinct()
     places = places.select(F.col("key").alias("hit_key"), F.col("text_hash").alias("hit_hash"), "place", "item_id", "item_size", "item_place")
     same = (F.col("text_hash") == F.col("hit_hash")) & F.col("key").eqNullSafe(F.col("hit_key"))
     return places.join(words, same).drop("hit_key", "hit_hash", "text_hash")
@@ -76,8 +93,15 @@ def overlaps(docs: DataFrame, tests: DataFrame) -> DataFrame:
     """
     items = common.written(_hashed(tests, "item_id").withColumnRenamed("key", "item_id").distinct(), "items")
     sized = items.withColumn("item_size", F.size("h"))
-    seeds = common.written(_seeds(sized, "item_id", "item_size").withColumnRenamed("place", "item_place").distinct(), "seeds")
-    hits = _hits(_hashed(docs, "doc_id"), seeds)
+    hits = None
+    # At most as many rows as a stretch has words.
+    lengths = {r["length"] for r in sized.select(F.least(F.lit(STRETCH), "item_size").alias("length")).distinct().collect()}
+    for length in sorted(lengths | {STRETCH}):
+        masks = masks_for(length)
+        some = sized.filter(F.least(F.lit(STRETCH), "item_size") == length)
+        seeds = common.written(_seeds(some, masks, "item_id", "item_size").withColumnRenamed("place", "item_place").distinct(), "seeds")
+        found = _hits(_hashed(docs, "doc_id"), seeds, masks)
+        hits = hits.unionByName(found) if hits else found
     start = F.col("place") - F.col("item_place")
     first, skipped = F.greatest(start, F.lit(0)), F.greatest(-start, F.lit(0))
     length = F.least(F.size("h") - first, F.col("item_size") - skipped)

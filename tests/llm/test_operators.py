@@ -287,6 +287,28 @@ def test_masks_tolerate_two_exchanged_words():
         assert any(all(not (0 <= c - at < span and m[c - at] == "1") for c in changed) for m in decontaminate.MASKS for at in starts)
 
 
+@pytest.mark.parametrize("length", range(1, decontaminate.STRETCH))
+def test_short_masks_tolerate_all_allowed_exchanges(length):
+    allowed = length - math.ceil(decontaminate.SHARE * length)
+    masks = decontaminate.masks_for(length)
+    for changed in combinations(range(length), allowed):
+        assert any(all(m[c] == "0" for c in changed) for m in masks) and {len(m) for m in masks} == {length}
+
+
+def test_short_items_are_found(spark):
+    items, rows = [], []
+    for n in range(3, 15):
+        words = some_text(700 + n, n).split()
+        items.append((n, " ".join(words)))
+        allowed = n - math.ceil(decontaminate.SHARE * n) if n < 14 else 2
+        for k, changed in enumerate([(), *combinations(range(n), allowed)]):
+            rows.append((1000 * n + k, "some words before " + " ".join("x" if i in changed else w for i, w in enumerate(words)) + " and after"))
+    docs = spark.createDataFrame([*rows, (1, "some words before and after")], "doc_id long, text string")
+    got = decontaminate.overlaps(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = {(r["doc_id"], r["item_id"]) for r in got}
+    assert [i for i, _ in rows if i < 14000 and (i, i // 1000) not in found] == [] and 1 not in {d for d, _ in found}
+
+
 @pytest.mark.parametrize("broadcast_rows", [decontaminate.BROADCAST_ROWS, 0])
 def test_decontamination(spark, docs, empty, monkeypatch, broadcast_rows):
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast_rows)
