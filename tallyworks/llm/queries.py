@@ -17,6 +17,7 @@ from tallyworks.llm import (
     quality_rules,
     secret_ledger,
     simhash,
+    spelling,
     token_shards,
     tokens,
     toxicity,
@@ -120,6 +121,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
+def op11_pivotal_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word forms of all documents, after one run in 199 has lost a letter at a place its hash names."""
+    runs = spelling.letter_runs(common.documents(spark, sf_dir))
+    hashed = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    at = (F.col("h") % F.char_length("run")).cast("int")
+    shorter = F.concat(F.substr("run", F.lit(1), at), F.substr("run", at + 2))
+    word = F.when(F.col("h") % 199 == 0, shorter).otherwise(F.col("run"))
+    return spelling.group_variants(spelling.count_words(runs.withColumn("h", hashed), word))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_tools": op1_chat_tools,
@@ -132,6 +143,7 @@ def queries() -> dict[str, Query]:
         "op8_spaced_seeds": op8_spaced_seeds,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_quality_rules": op10_quality_rules,
+        "op11_pivotal_spelling": op11_pivotal_spelling,
     }
 
 
@@ -187,5 +199,44 @@ FROM docs d LEFT JOIN lines USING (doc_id)
 """
 
 
+# The checksum takes four bits at a time, the lower ones of a byte first. Its 16 table entries.
+SPELLING_SQL = """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{C0}-\\x{FF}]+')) AS r FROM documents) GROUP BY ALL),
+coded AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS code FROM runs),
+summed AS (
+  SELECT run, times, xor(list_reduce(
+    list_transform(range(0, length(code)), lambda k: CAST(strpos('0123456789ABCDEF', substr(code, xor(k, 1) + 1, 1)) - 1 AS BIGINT)),
+    lambda c, x: xor(list_extract(CAST([0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+      3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108] AS BIGINT[]), (xor(c, x) & 15) + 1), c >> 4),
+    4294967295::BIGINT), 4294967295::BIGINT) AS h
+  FROM coded),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n
+  FROM (SELECT times, CASE WHEN h % 199 = 0
+      THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word FROM summed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+cuts AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, CAST(unnest(range(0, length(word))) AS INT) AS i FROM words)),
+near AS (
+  SELECT DISTINCT * FROM (
+    SELECT a.word AS a, b.word AS b, b.n AS b_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word != b.word
+    UNION ALL SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+    UNION ALL SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word)),
+best AS (SELECT a, count(*) AS n_near, min({'order': -b_n, 'form': b}) AS best FROM near GROUP BY a),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -best['order'] >= 5 * n THEN best['form'] END AS form, CASE WHEN -best['order'] >= 5 * n THEN -best['order'] END AS form_n
+  FROM words LEFT JOIN best ON a = word),
+paths AS (
+  SELECT word, coalesce(form, word) AS root FROM forms
+  UNION SELECT p.word, f.form FROM paths p JOIN forms f ON f.word = p.root WHERE f.form IS NOT NULL),
+ends AS (SELECT p.word, p.root FROM paths p JOIN forms f ON f.word = p.root WHERE f.form IS NULL)
+SELECT word, n, n_near, form, CAST(form_n AS BIGINT) AS form_n, root FROM forms JOIN ends USING (word)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_tools": CHAT_SQL, "op6_secret_ledger": secrets_sql()}
+    return {"op1_chat_tools": CHAT_SQL, "op6_secret_ledger": secrets_sql(), "op11_pivotal_spelling": SPELLING_SQL}
