@@ -11,6 +11,7 @@ from tallyworks.llm import (
     chat_tools,
     common,
     decontaminate,
+    hard_negatives,
     lang_id,
     ordinal_quality,
     packing,
@@ -21,6 +22,7 @@ from tallyworks.llm import (
     token_shards,
     tokens,
     toxicity,
+    word_bpe,
 )
 from tallyworks.sources import scratch
 
@@ -131,6 +133,34 @@ def op11_pivotal_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(runs.withColumn("h", hashed), word))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One label in seven is moved on, so that near rows of another label exist; components become whole numbers."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter(hard_negatives.is_finite(F.col("embedding")))
+    label = F.col("label").cast("long")
+    whole = F.transform("embedding", lambda x: hard_negatives.whole(x.cast("double") * 256))
+    vectors = rows.select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        whole.alias("components"),
+        (F.col("vec_id") % 100 == 0).alias("anchor"),
+    )
+    return hard_negatives.mine(vectors)
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = word_bpe.encode(common.documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    return word_bpe.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_chat_tools": op1_chat_tools,
@@ -144,6 +174,8 @@ def queries() -> dict[str, Query]:
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_quality_rules": op10_quality_rules,
         "op11_pivotal_spelling": op11_pivotal_spelling,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_word_bpe": op13_word_bpe,
     }
 
 
@@ -238,5 +270,33 @@ SELECT word, n, n_near, form, CAST(form_n AS BIGINT) AS form_n, root FROM forms
 """
 
 
+NEGATIVES_SQL = """
+WITH vectors AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND length(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scores AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r AS other, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.r != b.r),
+positives AS (
+  SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id, other) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other_id, n.other) AS INTEGER) AS rank,
+  n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_tools": CHAT_SQL, "op6_secret_ledger": secrets_sql(), "op11_pivotal_spelling": SPELLING_SQL}
+    return {
+        "op1_chat_tools": CHAT_SQL,
+        "op6_secret_ledger": secrets_sql(),
+        "op11_pivotal_spelling": SPELLING_SQL,
+        "op12_hard_negatives": NEGATIVES_SQL,
+    }
