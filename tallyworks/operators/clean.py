@@ -17,7 +17,7 @@ from tallyworks.functions.casts import exact_amount, safe_double
 from tallyworks.functions.dates import parse_date, timestamp_literal
 from tallyworks.functions.rules import Rule, missing, violated
 from tallyworks.functions.text import joined, number_text
-from tallyworks.schemas import AMOUNT_TYPE, CORRUPT_COLUMN, SALES_COLUMNS, TARGET_CURRENCY, UNKNOWN_CUSTOMER, CleaningSpec, ddl
+from tallyworks.schemas import AMOUNT_TYPE, CORRUPT_COLUMN, PRODUCT_COLUMNS, SALES_COLUMNS, TARGET_CURRENCY, UNKNOWN_CUSTOMER, CleaningSpec, ddl
 
 CHECK = "_check"
 PARSED_DATE = "_date"
@@ -169,8 +169,10 @@ def validate_numeric_ranges(df: DataFrame, spec: CleaningSpec = CleaningSpec())
     return valid.drop(AMOUNT, DISCOUNT), invalid.drop(AMOUNT, DISCOUNT)
 
 
-def rejects(tagged: DataFrame, run_ts: datetime, spec: CleaningSpec = CleaningSpec()) -> DataFrame:
-    """Rejected rows with the reason and the whole row as JSON."""
+def rejects(
+    tagged: DataFrame, run_ts: datetime, spec: CleaningSpec = CleaningSpec(), keep: Sequence[str] = ()
+) -> DataFrame:
+    """Rejected rows with the reason and the whole row as JSON; ``keep`` names further columns to hand on."""
     steps = _steps(tagged, spec)
 
     def per_check(value) -> Column:
@@ -189,9 +191,33 @@ def rejects(tagged: DataFrame, run_ts: datetime, spec: CleaningSpec = CleaningSp
         per_check(lambda check: F.lit(check.stage)).alias("ProcessingStage"),
         timestamp_literal(run_ts).alias("RejectionTimestamp"),
         F.to_json(F.struct(*row), {"ignoreNullFields": "false"}).alias("RawData"),
+        *keep,
+    )
+
+
+def product_rejects(products: DataFrame, run_ts: datetime, keep: Sequence[str] = ()) -> DataFrame:
+    """Product lines that the reader has marked as malformed, in the layout of ``rejects``; they belong to no order."""
+    check = _malformed_check()
+    row = F.struct(*PRODUCT_COLUMNS)
+    return products.filter(check.broken).select(
+        F.lit(None).cast("string").alias("OrderID"),
+        "ProductID",
+        F.lit(check.error_type).alias("ErrorType"),
+        check.message().alias("ErrorMessage"),
+        F.lit(check.stage).alias("ProcessingStage"),
+        timestamp_literal(run_ts).alias("RejectionTimestamp"),
+        F.to_json(row, {"ignoreNullFields": "false"}).alias("RawData"),
+        *keep,
     )
 
 
+def sound_products(products: DataFrame) -> DataFrame:
+    """The product rows without those that the reader has marked as malformed."""
+    if CORRUPT_COLUMN not in products.columns:
+        return products
+    return products.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+
+
 def accepted(tagged: DataFrame) -> DataFrame:
     """Rows that passed every check, with typed amount, date and discount."""
     typed = {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,42 @@ def product_lookup(sales: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+# Widths of a quote packed into one number: source, time in microseconds, rate, each in decimal digits.
+TIME_DIGITS, RATE_DIGITS = 18, 10
+_BEFORE_1970 = 719162  # days from the first day of year 1
+
+
+def pack_quote(rank: Column, ts: Column, rate: Column) -> Column:
+    """A quote as one decimal number that is greater the better it is: by rank, then later, then of a lower rate.
+
+    A quote without a time comes before all others of its rank. Such a number has a fixed width, so a
+    greatest one per pair is kept by hashing, where a struct would be sorted.
+    """
+    seconds = (F.hour(ts) * 60 + F.minute(ts)) * 60
+    micros = (F.extract(F.lit("SECOND"), ts).cast("decimal(8,6)") * F.lit(1_000_000)).cast("bigint")
+    moment = (F.unix_date(ts.cast("date")) + F.lit(_BEFORE_1970)).cast("bigint") * 86_400_000_000 + seconds.cast("bigint") * 1_000_000 + micros
+    unscaled = (rate.cast(RATE_TYPE) * F.lit(Decimal(1_000_000))).cast("bigint")
+    parts = [
+        (rank.cast("decimal(1,0)"), TIME_DIGITS + RATE_DIGITS),
+        (F.coalesce(moment + 1, F.lit(0)).cast(f"decimal({TIME_DIGITS},0)"), RATE_DIGITS),
+        ((F.lit(10**RATE_DIGITS - 1) - unscaled).cast(f"decimal({RATE_DIGITS},0)"), 0),
+    ]
+    return sum((value * F.lit(Decimal(10**digits)) for value, digits in parts[:-1]), parts[-1][0]).cast("decimal(38,0)")
+
+
+def unpack_quote(packed: Column) -> tuple[Column, Column, Column]:
+    """(rank, time, rate) of a packed quote."""
+    text = F.lpad(packed.cast("string"), 1 + TIME_DIGITS + RATE_DIGITS, "0")
+    moment = F.substring(text, 2, TIME_DIGITS).cast("bigint") - 1
+    rest = F.pmod(moment, F.lit(86_400_000_000))
+    days = (moment - rest) / F.lit(86_400_000_000)
+    clock = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (rest.cast("decimal(18,0)") * F.lit(Decimal("0.000001"))).cast("decimal(18,6)"))
+    ts = F.date_from_unix_date((days - _BEFORE_1970).cast("int")).cast("timestamp_ntz") + clock
+    unscaled = F.lit(10**RATE_DIGITS - 1) - F.substring(text, 2 + TIME_DIGITS, RATE_DIGITS).cast("bigint")
+    rate = (unscaled.cast(f"decimal({RATE_DIGITS},0)") * F.lit(Decimal("0.000001"))).cast(RATE_TYPE)
+    return F.substring(text, 1, 1).cast("int"), F.when(moment >= 0, ts), rate
+
+
 def resolve_rates(
     quotes: DataFrame,
     as_of: datetime,
@@ -58,16 +95,16 @@ def resolve_rates(
         known = known.filter(F.col("to_currency") == target)
     if currencies is not None:
         known = known.filter(F.col("from_currency").isin(*currencies))
-    rank = F.lit(0)
-    for position, source in enumerate(reversed(RATE_SOURCES)):
-        rank = F.when(F.col("source") == source, F.lit(position)).otherwise(rank)
-    best = F.max_by(F.struct("rate", "source", "ts"), F.struct(rank, F.col("ts"), -F.col("rate")))
-    return known.groupBy("from_currency", "to_currency").agg(best.alias("best")).select(
+    best_first = F.array(*[F.lit(source) for source in RATE_SOURCES])
+    rank = F.lit(len(RATE_SOURCES)) - F.array_position(best_first, F.col("source"))
+    packed = F.max(pack_quote(rank, F.col("ts").cast("timestamp_ntz"), F.col("rate")))
+    rank, ts, rate = unpack_quote(F.col("best"))
+    return known.groupBy("from_currency", "to_currency").agg(packed.alias("best")).select(
         "from_currency",
         "to_currency",
-        F.col("best.rate").cast(RATE_TYPE).alias("rate"),
-        F.col("best.source").alias("source"),
-        F.col("best.ts").alias("ts"),
+        rate.alias("rate"),
+        F.element_at(best_first, len(RATE_SOURCES) - rank).alias("source"),
+        ts.cast(quotes.schema["ts"].dataType).alias("ts"),
     )
 
 

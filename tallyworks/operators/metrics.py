@@ -42,26 +42,36 @@ def as_lines(one_row: DataFrame, names: Sequence[str], key: str = "Metric", valu
     return one_row.select(F.inline(F.array(*lines)))
 
 
-def data_profile(sales: DataFrame, products: DataFrame, approximate: bool = False) -> DataFrame:
-    """Row, null and distinct counts of the inputs.
+def _null_counts(*columns: str) -> dict[str, Column]:
+    """An amount that is not a number counts as a null."""
+    values = {c: safe_double(F.col(c)) if c == "SaleAmount" else F.col(c) for c in columns}
+    return {f"null_{c}": F.count_if(value.isNull()) for c, value in values.items()}
 
-    A null counts as one distinct value, and an amount that is not a number as a null. A first
-    grouping by the columns whose values are counted shrinks the data, so the distinct
-    counts expand the groups and not the rows.
-    """
 
-    def distinct(name: str) -> Column:
-        counted = F.approx_count_distinct(name) if approximate else F.count_distinct(name)
-        return counted + F.coalesce(F.max(F.col(name).isNull().cast("bigint")), F.lit(0))
+def data_profile(sales: DataFrame, products: DataFrame, approximate: bool = False) -> DataFrame:
+    """Row, null and distinct counts of the inputs; a null counts as one distinct value.
 
-    present = {c: safe_double(F.col(c)) if c == "SaleAmount" else F.col(c) for c in PROFILED}
-    counts = {"sales_records": F.count(F.lit(1))}
-    counts |= {f"null_{c}": F.count_if(value.isNull()) for c, value in present.items()}
-    groups = sales.groupBy(*DISTINCT).agg(*[measure.alias(name) for name, measure in counts.items()])
-    measures = {name: F.coalesce(F.sum(name), F.lit(0)) for name in counts} | {name: distinct(c) for c, name in DISTINCT.items()}
-    profile = groups.agg(*[measure.alias(name) for name, measure in measures.items()])
+    Each column whose values are counted has an aggregate of its own, over that column and those
+    whose nulls it counts: every column is read once, groups are counted where they meet, and no
+    row is repeated for another column.
+    """
+    plain = [c for c in PROFILED if c not in DISTINCT]
+    total = F.coalesce(F.sum("sales_records"), F.lit(0)).alias("sales_records")
     product_count = products.agg(F.count(F.lit(1)).alias("product_records"))
-    return as_lines(profile, list(measures)).unionByName(as_lines(product_count, ["product_records"]))
+    lines = as_lines(product_count, ["product_records"])
+    for position, (column, name) in enumerate(DISTINCT.items()):
+        first = position == 0
+        counts = {"sales_records": F.count(F.lit(1))} if first else {}
+        counts |= _null_counts(*(plain if first else []), column)
+        if approximate:
+            distinct = F.approx_count_distinct(column) + F.coalesce(F.max(F.col(column).isNull().cast("bigint")), F.lit(0))
+            profile = sales.agg(*[m.alias(c) for c, m in counts.items()], distinct.alias(name))
+        else:
+            groups = sales.groupBy(column).agg(*[m.alias(c) for c, m in counts.items()])
+            sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts if c != "sales_records"]
+            profile = groups.agg(*([total] if first else []), *sums, F.count(F.lit(1)).alias(name))
+        lines = lines.unionByName(as_lines(profile, [*counts, name]))
+    return lines
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

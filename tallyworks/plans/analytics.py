@@ -12,9 +12,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.functions.dates import timestamp_literal
 from tallyworks.operators.metrics import as_lines
 from tallyworks.schemas import TARGET_CURRENCY, UNKNOWN_CUSTOMER
+from tallyworks.sources.targets import since
 
 TOTAL = "decimal(38,2)"
 REPORT_VALUE = "decimal(22,2)"
@@ -205,8 +205,8 @@ def conversions(logs: DataFrame) -> DataFrame:
     )
 
 
-def _activity(df: DataFrame, label: str, moment: str, since: Column, total: Column) -> DataFrame:
-    recent = df.filter(F.col(moment) >= since)
+def _activity(df: DataFrame, label: str, moment: str, start: datetime, total: Column) -> DataFrame:
+    recent = since(df, moment, start)
     return recent.agg(F.lit(label).alias("ActivityType"), F.count(F.lit(1)).alias("Count"), total.alias("TotalValue"))
 
 
@@ -238,12 +238,12 @@ def validation_summary(sales: DataFrame, errors: DataFrame, logs: DataFrame) ->
 def recent_activity(
     sales: DataFrame, errors: DataFrame, logs: DataFrame, as_of: datetime, days: int = 7
 ) -> DataFrame:
-    """Q13: sales, errors and conversions of the last days before ``as_of``."""
-    since = timestamp_literal(as_of - timedelta(days=days))
+    """Q13: sales, errors and conversions of the last days before ``as_of``; older months are not read."""
+    start = as_of - timedelta(days=days)
     nothing = F.lit(0).cast(TOTAL)
-    sold = _activity(sales, "Recent Sales", "OrderDate", since, F.sum("SaleAmount").cast(TOTAL))
-    failed = _activity(errors, "Recent Errors", "ErrorTimestamp", since, nothing)
-    converted = _activity(logs, "Recent Conversions", "ConversionTimestamp", since, nothing)
+    sold = _activity(sales, "Recent Sales", "OrderDate", start, F.sum("SaleAmount").cast(TOTAL))
+    failed = _activity(errors, "Recent Errors", "ErrorTimestamp", start, nothing)
+    converted = _activity(logs, "Recent Conversions", "ConversionTimestamp", start, nothing)
     return sold.unionByName(failed).unionByName(converted)
 
 

@@ -1,22 +1,33 @@
-"""The stages as lazy steps, and the whole run with each wide result written once."""
+"""The stages as lazy steps, and the whole run with each wide result written once.
+
+A run replaces the target tables, or loads them as a named batch: the batch takes the place of what it loaded before,
+rows that other batches have loaded are left out, and all other rows stay. A run that failed can be
+taken up again: stages that are finished with the same inputs and options are not repeated.
+"""
 
 from __future__ import annotations
 
+import json
 import time
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyworks.functions.dates import timestamp_literal
 from tallyworks.operators import clean as cleaning
 from tallyworks.operators import enrich as enrichment
-from tallyworks.operators import metrics
-from tallyworks.schemas import TARGET_CURRENCY, CleaningSpec
+from tallyworks.operators import ids, metrics
+from tallyworks.operators.rate_cache import RateCache
+from tallyworks.plans.manifest import Manifest, chained, inputs_state
+from tallyworks.schemas import BATCH_COLUMN, CORRUPT_COLUMN, ID_COLUMNS, TARGET_CURRENCY, CleaningSpec
 from tallyworks.sources import files, tables
+from tallyworks.sources.loaded_keys import LoadedKeys
+from tallyworks.sources.targets import FULL, CatalogTarget, FolderTarget, last_id, other_batches
 
 METRIC_SCHEMA = "stage string, metric string, value double, error string"
 # Lines that differ from run to run.
@@ -31,10 +42,11 @@ def ingest(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sales, products, profile) of two CSV files; raises if a column is missing.
 
-    With ``reject`` the malformed sales rows are marked, and cleaning turns them into rejects.
+    With ``reject`` malformed rows are marked: cleaning turns those of the sales into rejects, and those of
+    the products go to ``cleaning.product_rejects``.
     """
     sales = files.read_sales(spark, sales_path, on_malformed)
-    products = files.read_products(spark, products_path)
+    products = files.read_products(spark, products_path, on_malformed)
     files.check_inputs(sales, products)
     return sales, products, metrics.data_profile(sales, products)
 
@@ -76,7 +88,12 @@ def load_all(
 
 @dataclass(frozen=True)
 class Options:
-    """Parameters of a run; ``run_ts`` stands for the present time everywhere."""
+    """Parameters of a run; ``run_ts`` stands for the present time everywhere.
+
+    The target tables lie in the folder ``tables`` (by default the run's own) or in the catalog's ``database``.
+    Without ``batch`` they are refreshed in full; with it, the run loads that batch. ``rate_cache`` is a folder of
+    rates that runs share. With ``resume`` finished stages are not repeated.
+    """
 
     run_ts: datetime
     spec: CleaningSpec = CleaningSpec()
@@ -86,6 +103,10 @@ class Options:
     convert_amounts: bool = True
     export_csv: bool = True
     database: str | None = None
+    tables: str | None = None
+    batch: str | None = None
+    rate_cache: str | None = None
+    resume: bool = False
 
 
 @dataclass
@@ -94,18 +115,25 @@ class Run:
 
     folder: str
     database: str | None = None
+    tables: str | None = None
+    batch: str | None = None
     lines: list[tuple[str, str, float]] = field(default_factory=list)
     errors: dict[str, str] = field(default_factory=dict)
 
+    @property
+    def target(self) -> FolderTarget:
+        return CatalogTarget(self.database) if self.database else FolderTarget(self.tables or self.folder)
+
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        """A target table, all batches."""
+        return self.target.read(spark, name)
+
     def refresh(self, df: DataFrame, name: str) -> DataFrame:
-        """Full refresh of a target table, in the catalog or as parquet in the run's folder."""
-        if self.database:
-            tables.load_table(df, f"{self.database}.{name}", "replace")
-            return df.sparkSession.table(f"{self.database}.{name}")
-        return files.write_and_read(df, self.path(name))
+        """Load a target table, in full or as the run's batch."""
+        return self.target.load(df, name, self.batch).table
 
     def record(self, stage: str, values: dict[str, Any]) -> None:
         self.lines += [(stage, name, float(value)) for name, value in values.items()]
@@ -129,7 +157,7 @@ class Run:
 
 @dataclass
 class State:
-    """Frames and counts handed from stage to stage."""
+    """Frames and counts handed from stage to stage; ``saved`` is what the next run needs to go on from here."""
 
     sales: DataFrame
     products: DataFrame
@@ -137,9 +165,12 @@ class State:
     options: Options
     tagged: DataFrame | None = None
     cleaned: DataFrame | None = None
-    cleaned_rows: int = 0
     loaded: dict[str, DataFrame] = field(default_factory=dict)
-    checked: dict[str, int] = field(default_factory=dict)
+    saved: dict[str, Any] = field(default_factory=dict)
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.sales.sparkSession
 
 
 def _observed(df: DataFrame, name: str, measures: dict[str, Column]) -> tuple[DataFrame, Observation]:
@@ -148,45 +179,144 @@ def _observed(df: DataFrame, name: str, measures: dict[str, Column]) -> tuple[Da
 
 
 def _ingestion(run: Run, state: State) -> dict[str, Any]:
-    """Tag the raw rows and write them once; both the rejects and the accepted rows read this."""
+    """Tag the raw rows and write them once; both the rejects and the accepted rows read this.
+
+    Product lines that are marked where they are malformed are written as well, marks included.
+    """
     files.check_inputs(state.sales, state.products)
+    if CORRUPT_COLUMN in state.products.columns:
+        state.products = files.write_and_read(state.products, run.path(MARKED_PRODUCTS))
+        state.saved["products"] = state.products.schema.json()
     tagged = cleaning.tag_rows(state.sales, state.options.spec)
     observed, seen = _observed(tagged, "tagged", metrics.stage_counts(tagged.columns))
     state.tagged = files.write_and_read(observed, run.path("staging/tagged"))
-    state.checked = dict(seen.get)
-    files.write_json_summary(metrics.data_profile(state.tagged, state.products), run.path("raw_data_summary"))
-    return {"records_processed": state.checked["initial_records"], "product_records": state.products.count()}
+    checked = dict(seen.get)
+    profile = metrics.data_profile(state.tagged, cleaning.sound_products(state.products))
+    lines = {row["Metric"]: row["Value"] for row in profile.collect()}
+    summary = state.spark.createDataFrame(list(lines.items()), profile.schema)
+    files.write_json_summary(summary, run.path("raw_data_summary"))
+    state.saved |= {"checked": checked, "tagged": state.tagged.schema.json()}
+    return {"records_processed": checked["initial_records"], "product_records": lines["product_records"]}
+
+
+MARKED_PRODUCTS = "staging/products"
+
+
+def _after_ingestion(run: Run, state: State) -> None:
+    def written(name: str, place: str) -> DataFrame:
+        return files.read_written(state.spark, run.path(place), T.StructType.fromJson(json.loads(state.saved[name])))
+
+    state.tagged = written("tagged", "staging/tagged")
+    if "products" in state.saved:
+        state.products = written("products", MARKED_PRODUCTS)
+
+
+ROW = "_row"
+# Numbers of product lines, after those of all sales rows.
+_PRODUCTS_AFTER = 1 << 62
+
+
+def _rejected(run: Run, state: State) -> tuple[DataFrame, dict[str, int]]:
+    """Error rows with their identifiers, and how many product lines are among them.
+
+    The refused rows are written on their own first: their numbers within a task then have no gaps.
+    """
+    options = state.options
+    refused = state.tagged.filter(F.col(cleaning.CHECK).isNotNull()).withColumn(ROW, ids.row_number_of_write())
+    refused = files.write_and_read(refused, run.path("staging/refused"))
+    rows, counts = cleaning.rejects(refused, options.run_ts, options.spec, [ROW]), {}
+    if CORRUPT_COLUMN in state.products.columns:
+        late = (ids.row_number_of_write() + F.lit(_PRODUCTS_AFTER)).alias(ROW)
+        lines, seen = _observed(cleaning.product_rejects(state.products, options.run_ts, [late]), "products", {"n": F.count(F.lit(1))})
+        rows = rows.unionByName(files.write_and_read(lines, run.path("staging/refused_products")))
+        counts["malformed_products"] = seen.get["n"]
+    name = ID_COLUMNS["ErrorLogging"]
+    numbered = ids.with_ids(rows, name, ROW, _last_id(run, state, "ErrorLogging"))
+    return numbered.withColumnRenamed("RejectionTimestamp", "ErrorTimestamp"), counts
+
+
+def _last_id(run: Run, state: State, name: str) -> int:
+    """The greatest identifier that other batches hold; a full refresh counts from the start."""
+    if run.batch is None or not run.target.exists(state.spark, name):
+        return 0
+    return last_id(other_batches(run.table(state.spark, name), run.batch), name)
 
 
 def _cleaning(run: Run, state: State) -> dict[str, Any]:
     """Write the rejects, let the rejection rate decide whether the run goes on, then write the cleaned rows once."""
-    spec, checked = state.options.spec, state.checked
-    rejected = cleaning.rejects(state.tagged, state.options.run_ts, spec)
-    state.loaded["ErrorLogging"] = run.refresh(tables.error_table(rejected), "ErrorLogging")
+    spec, checked = state.options.spec, state.saved["checked"]
+    rejected, counts = _rejected(run, state)
+    state.loaded["ErrorLogging"] = run.refresh(rejected, "ErrorLogging")
     if state.options.export_csv:
-        rows = state.loaded["ErrorLogging"].withColumnRenamed("ErrorTimestamp", "RejectionTimestamp")
-        files.write_csv(rows, run.path("rejected_records_csv"))
+        rows = _of_batch(run, state.loaded["ErrorLogging"]).withColumnRenamed("ErrorTimestamp", "RejectionTimestamp")
+        files.write_csv(tables.rejection_rows(rows), run.path("rejected_records_csv"))
     failed, total = checked["rejected_records"], checked["initial_records"]
-    run.record("cleaning", {**checked, "rejection_rate": 100 * failed / total if total else 0})
+    run.record("cleaning", {**checked, **counts, "rejection_rate": 100 * failed / total if total else 0})
     metrics.enforce_rejection_rate(failed, total, spec.max_rejection_rate)
     cleaned = cleaning.clean(state.tagged, spec)
     observed, seen = _observed(cleaned, "cleaned", {"final_records": F.count(F.lit(1))})
     state.cleaned = files.write_and_read(observed, run.path("staging/cleaned"))
-    state.cleaned_rows = seen.get["final_records"]
-    return {"final_records": state.cleaned_rows, "duplicates_removed": total - failed - state.cleaned_rows}
+    final = seen.get["final_records"]
+    values = {"final_records": final, "duplicates_removed": total - failed - final}
+    if run.batch:
+        new = LoadedKeys(state.spark, _keys_folder(run, state.spark), spec.duplicate_keys).new_rows(state.cleaned, run.batch)
+        observed, seen = _observed(new, "new", {"n": F.count(F.lit(1))})
+        state.cleaned = files.write_and_read(observed, run.path("staging/new"))
+        values["already_loaded"] = final - seen.get["n"]
+    state.saved["cleaned_rows"] = final - values.get("already_loaded", 0)
+    return values
+
 
+def _after_cleaning(run: Run, state: State) -> None:
+    state.loaded["ErrorLogging"] = run.table(state.spark, "ErrorLogging")
+    name = "staging/new" if run.batch else "staging/cleaned"
+    state.cleaned = files.read_written(state.spark, run.path(name), cleaning.CLEANED_SCHEMA)
 
-def _converted_per_currency(spec: CleaningSpec) -> dict[str, Column]:
-    """Converted rows per accepted currency, rate known: a closed set, so a fixed list of counts."""
-    known = enrichment.is_converted() & F.col("RateSource").isNotNull()
-    return {c: F.count_if(known & (F.col("OriginalCurrency") == c)) for c in spec.currencies if c != TARGET_CURRENCY}
 
+def _of_batch(run: Run, table: DataFrame) -> DataFrame:
+    """What this run has loaded."""
+    return table.filter(F.col(BATCH_COLUMN) == (run.batch or FULL))
 
-def _conversion_log(rates: DataFrame, converted: dict[str, int], run_ts: datetime) -> DataFrame:
-    """One line per currency that was converted; at most one per accepted currency."""
-    rows = [(currency, n) for currency, n in converted.items() if n]
-    counts = rates.sparkSession.createDataFrame(rows, "FromCurrency string, RecordCount bigint")
-    log = rates.join(F.broadcast(counts), rates["from_currency"] == counts["FromCurrency"]).select(
+
+def _keys_folder(run: Run, spark: SparkSession) -> str:
+    """Beside SalesData, wherever that lies."""
+    run.target.prepare(spark, "SalesData", False)
+    return f"{run.target.place(spark, 'SalesData')}_keys"
+
+
+# Flags that the enriched rows carry to the tasks which write them, to be counted there.
+_WITH_PRODUCT, _CONVERTED, _LOGGED = "_with_product", "_converted", "_logged"
+
+
+def _flags(columns: Sequence[str]) -> dict[str, Column]:
+    """What is counted of a row: before final formatting, as that hides missing amounts."""
+    flags = {}
+    if "ProductName" in columns:
+        flags[_WITH_PRODUCT] = F.col("ProductName").isNotNull()
+    if "OriginalCurrency" in columns:
+        flags[_CONVERTED] = enrichment.is_converted()
+        flags[_LOGGED] = F.when(enrichment.is_converted() & F.col("RateSource").isNotNull(), F.col("OriginalCurrency"))
+    return flags
+
+
+def _counts(flags: Iterable[str], spec: CleaningSpec) -> dict[str, Column]:
+    """Aggregates over the flags; converted rows per accepted currency, a closed set."""
+    counts = {"final_records": F.count(F.lit(1))}
+    if _WITH_PRODUCT in flags:
+        counts["product_enriched_records"] = F.count_if(F.col(_WITH_PRODUCT))
+    if _CONVERTED in flags:
+        counts["currency_converted_records"] = F.count_if(F.col(_CONVERTED))
+        counts |= {f"in_{c}": F.count_if(F.col(_LOGGED) == c) for c in spec.currencies if c != TARGET_CURRENCY}
+    return counts
+
+
+def _conversion_log(rates: DataFrame, converted: dict[str, int], run_ts: datetime, start: int) -> DataFrame:
+    """One line per currency that was converted, with its identifier; at most one per accepted currency."""
+    rows = [(start + i, currency, n) for i, (currency, n) in enumerate(((c, n) for c, n in sorted(converted.items()) if n), 1)]
+    name = ID_COLUMNS["CurrencyConversionLog"]
+    counts = rates.sparkSession.createDataFrame(rows, f"{name} bigint, FromCurrency string, RecordCount bigint")
+    return rates.join(F.broadcast(counts), rates["from_currency"] == counts["FromCurrency"]).select(
+        name,
         "FromCurrency",
         F.col("to_currency").alias("ToCurrency"),
         F.col("rate").alias("ExchangeRate"),
@@ -194,50 +324,65 @@ def _conversion_log(rates: DataFrame, converted: dict[str, int], run_ts: datetim
         "RecordCount",
         timestamp_literal(run_ts).alias("ConversionTimestamp"),
     )
-    return metrics.conversion_log_table(log)
+
+
+def _rates(run: Run, state: State) -> DataFrame:
+    """The rates of this run, written once; what came from the API is remembered for the next one."""
+    options, quotes = state.options, state.quotes
+    as_of = options.as_of or options.run_ts
+    cache = RateCache(state.spark, options.rate_cache) if options.rate_cache else None
+    if cache:
+        quotes = quotes.unionByName(cache.quotes())
+    resolved = enrichment.resolve_rates(quotes, as_of, options.ttl, TARGET_CURRENCY, options.spec.currencies)
+    rates = files.write_and_read(resolved, run.path("staging/rates"))
+    if cache:
+        cache.merge(rates, as_of, options.ttl)
+    return rates
 
 
 def _enrichment(run: Run, state: State) -> dict[str, Any]:
     """Enrich and write the cleaned rows in one pass, counting on the way."""
     options, spec = state.options, state.options.spec
-    resolved = enrichment.resolve_rates(
-        state.quotes, options.as_of or options.run_ts, options.ttl, TARGET_CURRENCY, spec.currencies
-    )
-    rates = files.write_and_read(resolved, run.path("staging/rates"))
+    rates = _rates(run, state)
     if options.convert_amounts:
         enrichment.check_amounts_fit(rates, max(abs(spec.amount_min), abs(spec.amount_max)))
     enriched = enrichment.enrich(
         state.cleaned,
-        state.products if options.lookup_products else None,
+        cleaning.sound_products(state.products) if options.lookup_products else None,
         rates if options.convert_amounts else None,
         options.run_ts,
     )
-    per_currency = _converted_per_currency(spec) if options.convert_amounts else {}
-    wanted = {**metrics.enrich_counts(enriched.columns), **{f"in_{c}": m for c, m in per_currency.items()}}
-    observed, seen = _observed(enriched, "enriched", wanted)
-    state.loaded["SalesData"] = run.refresh(tables.sales_table(enrichment.finalize(observed)), "SalesData")
-    counts = dict(seen.get)
-    converted = {c: counts.pop(f"in_{c}") for c in per_currency}
-    state.loaded["CurrencyConversionLog"] = run.refresh(
-        _conversion_log(rates, converted, options.run_ts), "CurrencyConversionLog"
-    )
+    flags = _flags(enriched.columns)
+    final = enrichment.finalize(enriched.withColumns(flags))
+    sales = run.target.load(final, "SalesData", run.batch, _counts(flags, spec))
+    state.loaded["SalesData"] = sales.table
+    counts = sales.measured
+    converted = {c.removeprefix("in_"): counts.pop(c) for c in list(counts) if c.startswith("in_")}
+    log = _conversion_log(rates, converted, options.run_ts, _last_id(run, state, "CurrencyConversionLog"))
+    state.loaded["CurrencyConversionLog"] = run.refresh(log, "CurrencyConversionLog")
+    if run.batch:
+        keys = LoadedKeys(state.spark, _keys_folder(run, state.spark), spec.duplicate_keys)
+        keys.add(_of_batch(run, sales.table), run.batch)
 
     values = {
-        "initial_records": state.cleaned_rows,
+        "initial_records": state.saved["cleaned_rows"],
         **counts,
         "product_enrichment_enabled": options.lookup_products,
         "currency_conversion_enabled": options.convert_amounts,
     }
-    summary = state.sales.sparkSession.createDataFrame(
-        [(name, float(value)) for name, value in values.items()], "metric string, value double"
-    )
+    summary = state.spark.createDataFrame([(name, float(value)) for name, value in values.items()], "metric string, value double")
     files.write_json_summary(summary, run.path("enrichment_summary"))
     return values
 
 
+def _after_enrichment(run: Run, state: State) -> None:
+    for name in ("SalesData", "CurrencyConversionLog"):
+        state.loaded[name] = run.table(state.spark, name)
+
+
 def _loading(run: Run, state: State) -> dict[str, Any]:
-    """Export the enriched rows and count what the tables hold."""
-    loaded = state.loaded
+    """Export the enriched rows of this run and count what the tables hold of it."""
+    loaded = {name: _of_batch(run, table) for name, table in state.loaded.items()}
     if state.options.export_csv:
         files.write_csv(enrichment.export_rows(loaded["SalesData"]), run.path("cleaned_sales_csv"))
     summary = tables.loading_summary(loaded["SalesData"], loaded["ErrorLogging"], loaded["CurrencyConversionLog"])
@@ -249,6 +394,31 @@ def _loading(run: Run, state: State) -> dict[str, Any]:
     }
 
 
+# Each stage, and how a later run takes up what it left.
+STAGES = (
+    ("ingestion", _ingestion, _after_ingestion),
+    ("cleaning", _cleaning, _after_cleaning),
+    ("enrichment", _enrichment, _after_enrichment),
+    ("loading", _loading, lambda run, state: None),
+)
+
+
+def _resumable(stage: str, step, take_up, run: Run, state: State, manifest: Manifest, fingerprint: str) -> dict[str, Any]:
+    """A stage of a run that may be taken up again: not repeated if it is finished with this fingerprint."""
+    found = manifest.saved(stage, fingerprint) if state.options.resume else None
+    if found is not None:
+        run.record(stage, found["recorded"])
+        state.saved |= found["state"]
+        take_up(run, state)
+        return {**found["values"], "resumed": 1}
+    manifest.begin(stage)
+    known = len(run.lines)
+    values = step(run, state)
+    recorded = {name: value for s, name, value in run.lines[known:] if s == stage}
+    manifest.finish(stage, fingerprint, {"values": values, "recorded": recorded, "state": state.saved})
+    return values
+
+
 def run_pipeline(
     sales: DataFrame, products: DataFrame, quotes: DataFrame, folder: str, options: Options
 ) -> Run:
@@ -256,16 +426,25 @@ def run_pipeline(
 
     The counts come from observations on the final stage of a write, where a repeated
     task is counted once, so nothing is computed twice for its metrics. Any failed step
-    raises, after the metrics so far have been written.
+    raises, after the metrics so far have been written. A run that is to be taken up again needs inputs that
+    come from files, so that it can be told whether they are the same.
     """
-    run = Run(folder.rstrip("/"), options.database)
+    run = Run(folder.rstrip("/"), options.database, options.tables, options.batch)
     state = State(sales, products, quotes, options)
+    manifest, fingerprint = Manifest(sales.sparkSession, run.folder), None
+    if options.resume:
+        inputs = inputs_state(sales, products, quotes)
+        fingerprint = inputs and chained(inputs, replace(options, resume=False))
+    if fingerprint is None:
+        manifest.clear()
     finished, started = False, time.time()
     try:
-        run.timed("ingestion", _ingestion, run, state)
-        run.timed("cleaning", _cleaning, run, state)
-        run.timed("enrichment", _enrichment, run, state)
-        run.timed("loading", _loading, run, state)
+        for stage, step, take_up in STAGES:
+            if fingerprint is None:
+                run.timed(stage, step, run, state)
+            else:
+                fingerprint = chained(fingerprint, stage)
+                run.timed(stage, _resumable, stage, step, take_up, run, state, manifest, fingerprint)
         finished = True
     finally:
         ended = time.time()
@@ -287,6 +466,6 @@ def run_files(
     options: Options,
     on_malformed: str = "keep",
 ) -> Run:
-    """The same run over two CSV files; with ``reject`` malformed sales rows become rejects and are counted."""
+    """The same run over two CSV files; with ``reject`` malformed rows of both become rejects and are counted."""
     sales = files.read_sales(spark, sales_path, on_malformed)
-    return run_pipeline(sales, files.read_products(spark, products_path), quotes, folder, options)
+    return run_pipeline(sales, files.read_products(spark, products_path, on_malformed), quotes, folder, options)

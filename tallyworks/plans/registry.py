@@ -16,8 +16,8 @@ from tallyworks.operators import clean as cleaning
 from tallyworks.operators import enrich as enrichment
 from tallyworks.operators import metrics
 from tallyworks.plans import analytics, pipeline
-from tallyworks.schemas import PRODUCT_COLUMNS, SALES_COLUMNS, SALES_SCHEMA, CleaningSpec, ddl
-from tallyworks.sources import driver_tables, files, scratch, tables
+from tallyworks.schemas import PRODUCT_COLUMNS, SALES_COLUMNS, SALES_SCHEMA, CleaningSpec
+from tallyworks.sources import driver_tables, files, hadoop, scratch, tables
 
 T = TypeVar("T")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,17 +31,18 @@ SPEC = CleaningSpec(amount_max=100000.0, max_rejection_rate=0.5)
 CATEGORIES = ("ECONOMY", "LARGE", "PROMO")
 KEYS = ("OrderID", "ProductID")
 
-_built: dict[tuple[str, str, str], Any] = {}
+_built: dict[tuple[str, str, str], tuple[str, Any]] = {}
 _lock = threading.RLock()
 
 
 def once(what: str, spark: SparkSession, sf_dir: str, build: Callable[[], T]) -> T:
-    """Build something once per session and table folder."""
+    """Build something once per session and state of the tables in a folder; changed tables have it built again."""
     key = (what, spark.sparkContext.applicationId, sf_dir)
     with _lock:
-        if key not in _built:
-            _built[key] = build()
-        return _built[key]
+        state = hadoop.state_of_tables(spark, [f"{sf_dir}/{name}.parquet" for name in driver_tables.TABLES])
+        if key not in _built or _built[key][0] != state:
+            _built[key] = state, build()
+        return _built[key][1]
 
 
 # --- inputs and stages as lazy frames ---------------------------------------------------
@@ -102,7 +103,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loaded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return files.read_written(spark, loaded_run(spark, sf_dir).path(name), ddl(tables.LAYOUTS[name]))
+    return loaded_run(spark, sf_dir).table(spark, name)
 
 
 def report(build: Callable[..., DataFrame], *names: str) -> Query:
@@ -316,7 +317,8 @@ def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.preview(loaded(spark, sf_dir, "SalesData"), KEYS)
+    columns = [name for name, _ in tables.LAYOUTS["SalesData"]]
+    return tables.preview(loaded(spark, sf_dir, "SalesData").select(*columns), KEYS)
 
 
 def recent_activity(sales: DataFrame, errors: DataFrame, logs: DataFrame) -> DataFrame:

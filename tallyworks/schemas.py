@@ -70,10 +70,23 @@ CONVERSION_LOG_TABLE = (
     ("RecordCount", "bigint"),
 )
 
-
-def ddl(layout) -> str:
-    """The columns of a table as schema text."""
-    return ", ".join(f"`{name}` {kind}" for name, kind in layout)
+# Identifiers that the tables give their rows, and defaults of columns that a load may leave out.
+ID_COLUMNS = {"ErrorLogging": "ErrorID", "CurrencyConversionLog": "LogID"}
+DEFAULTS = {"ErrorLogging": {"ErrorTimestamp": "localtimestamp()"}}
+
+# How the stored tables are laid out: by the batch that loaded a row, then by the month of its date.
+BATCH_COLUMN = "BatchID"
+MONTHS = {
+    "SalesData": ("OrderMonth", "OrderDate"),
+    "ErrorLogging": ("ErrorMonth", "ErrorTimestamp"),
+    "CurrencyConversionLog": ("ConversionMonth", "ConversionTimestamp"),
+}
+
+
+def ddl(layout, defaults=None) -> str:
+    """The columns of a table as schema text, with their defaults where a table is created."""
+    defaults = defaults or {}
+    return ", ".join(f"`{name}` {kind}" + (f" DEFAULT {defaults[name]}" if name in defaults else "") for name, kind in layout)
 
 
 # Column order of the enriched CSV export.

@@ -44,16 +44,20 @@ def read_sales(spark: SparkSession, path: str, on_malformed: str = "keep") -> Da
 
     No row is left out: marked rows carry their line, and tagging turns them into rejects.
     """
+    return _read(spark, path, SALES_SCHEMA, on_malformed)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, on_malformed: str) -> DataFrame:
     if on_malformed == "keep":
-        return _reader(spark, SALES_SCHEMA).csv(path)
+        return _reader(spark, schema).csv(path)
     if on_malformed == "reject":
-        return read_marked(spark, path, SALES_SCHEMA)
+        return read_marked(spark, path, schema)
     raise ValueError(f"on_malformed must be 'keep' or 'reject', not {on_malformed!r}")
 
 
-def read_products(spark: SparkSession, path: str) -> DataFrame:
-    """Product rows; those of a wrong length are cut or padded with nulls."""
-    return _reader(spark, PRODUCT_SCHEMA).csv(path)
+def read_products(spark: SparkSession, path: str, on_malformed: str = "keep") -> DataFrame:
+    """Product rows; those of a wrong length are cut or padded with nulls, or marked for rejection (``reject``)."""
+    return _read(spark, path, PRODUCT_SCHEMA, on_malformed)
 
 
 def malformed_rows(rows: DataFrame) -> DataFrame:

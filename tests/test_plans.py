@@ -11,6 +11,7 @@ import __spark_entry__ as contract
 from tallyworks.operators import clean as C
 from tallyworks.operators import enrich as E
 from tallyworks.plans import oracle, registry
+from tallyworks.schemas import SALES_COLUMNS
 
 from .conftest import RUN_TS
 
@@ -62,10 +63,24 @@ def test_duplicates_are_thinned_before_the_shuffle(spark, sales):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-def test_profile_expands_groups_and_not_rows(spark):
+def test_profile_repeats_no_row_and_reads_a_column_once(spark):
     text = plan(registry.queries()["data_profile"](spark, SF))
-    below = text[text.index("Expand") :]
-    assert text.count("Expand") == 1 and below.index("HashAggregate") < below.index("Scan parquet")
+    assert "Expand" not in text and "SortAggregate" not in text
+    read = [set(re.findall(r"\w+(?=:string)", s)) & set(SALES_COLUMNS) for s in re.findall(r"ReadSchema: (\S+)", text)]
+    assert sorted(len(r) for r in read) == [0, 1, 1, 4]
+    assert sum(map(len, read)) == len(set().union(*read)) == 6
+
+
+def test_rates_are_aggregated_by_hash(spark):
+    text = plan(registry.queries()["resolve_rates"](spark, SF))
+    assert text.count("HashAggregate") == 2 and "Sort" not in text
+
+
+def test_recent_activity_reads_recent_months_only(spark):
+    text = plan(registry.queries()["q13_recent"](spark, SF))
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", text)
+    assert len(filters) == 3 and all("Month" in f for f in filters)
+    assert any("OrderMonth" in f and ">= 2001-07-01" in f for f in filters)
 
 
 def test_no_query_over_the_loaded_rows_removes_duplicates_again(spark):
