@@ -151,9 +151,9 @@ def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = word_bpe.encode(common.documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    texts = word_bpe.round_trip(common.documents(spark, sf_dir), path, public_tokenizers.PATTERN)
     joined = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
-    return word_bpe.decode(encoded, path).select(
+    return texts.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined, 256).alias("ids_sha256"),

@@ -2,20 +2,21 @@
 
 Texts are split into words by the vocabulary's pattern. Consecutive documents form blocks of about ``BLOCK`` words;
 within a block a word becomes a number, and the texts become runs of numbers: the positions. The
-distinct words of all blocks are shuffled by word, so that equal words meet in one task, side by side, and are encoded
+distinct words of all blocks are shuffled by word, so that equal words meet in one task and are encoded
 once. Their ids go back to the blocks that asked for them, where every text is put together by position.
-Going by blocks is the addition before the shuffle: a word crosses it once a block, not once an occurrence, so
-that the most frequent word is no more than one row a block.
+Going by blocks is the addition before the shuffle: a word crosses it once a block, not once an occurrence, however
+frequent it is. Words are dealt to shares by hash, and those of one block and share travel in one row.
 
-Decoding takes ids apart into (text, position, id), joins the table of token bytes, which is as long as the vocabulary and
-is broadcast, and puts the bytes of a text together in the same task; their order is checked.
+Decoding joins the table of token bytes, which is as long as the vocabulary and is broadcast. It does so once for
+every id of some texts, not for each occurrence: a task puts those ids in front of the texts, the join gives them
+their bytes, and the next step of the same task puts the bytes of every text together by position.
 
-Blocks are formed twice, for the words and for the numbers. A block's key is a digest of its contents, so blocks
-that differed would be found out, and raise; the documents have to come in the same order each time, as those of a
-table do.
+Words and texts of a block carry its digest. Should a lost task form its blocks anew and otherwise, this is found out, and
+raises; the documents have to come in the same order each time, as those of a table do.
 
-The pattern is run by the JVM. Where its letters or digits are of an older Unicode than those of the reference
-library, the missing ones are added to the pattern, found by asking both for all code points.
+Letters and digits are those of the reference library, found by asking it for all code points. Texts of ASCII alone
+are split by a pattern for those; texts with a character that the ``regex`` library classes otherwise by one that
+lists the characters; all others by ``regex``.
 
 Odd cases: a null or empty text has no ids and decodes to no bytes; repeated rows and doc_ids, also null ones, each keep a
 row; very long texts are blocks of their own; an empty table gives an empty result; columns of other names are ignored.
@@ -27,30 +28,34 @@ import base64
 import hashlib
 import heapq
 import re
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm import common
 
-# Words in a block; rows of token bytes put together at a time.
-BLOCK = 1 << 22
-JOINED = 1 << 20
+# Words in a block; ids whose bytes are asked for at a time; texts put together at a time.
+BLOCK = 1 << 21
+JOINED = 1 << 21
+TEXTS = 1000
+# A block is named by its task and its number in the task, which takes so many bits.
+BLOCK_BITS = 16
 # Words of more bytes than this are merged with a heap.
 SHORT = 64
 NEVER = 1 << 62
 # The classes of characters in patterns.
 CLASSES = ("\\p{L}", "\\p{N}", "\\s")
 
-WORDS_SCHEMA = "block long, total int, place int, word string"
-IDS_SCHEMA = "block long, total int, place int, ids array<int>"
-CODES_SCHEMA = "block long, total int, rows array<long>, doc_ids array<long>, lengths array<int>, n_codes long, codes binary"
+ENTRY_SCHEMA = "key long, block long, proof long, total long, a binary, b binary, c binary, rows array<long>, doc_ids array<long>, lengths array<int>"
 ENCODED_SCHEMA = "row long, doc_id long, ids array<int>"
+ASKED_SCHEMA = "row long, doc_id long, id int, ids array<int>"
 DECODED_SCHEMA = "row long, doc_id long, ids array<int>, data binary"
 
 
@@ -121,8 +126,6 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 # --- the pattern ------------------------------------------------------------------------
 
-_patterns: dict[tuple[str, str], str] = {}
-
 
 def _known_to_library(kind: str, text: str) -> set[str]:
     """The characters of a class as the reference library has it: all others yield no token."""
@@ -133,192 +136,233 @@ def _known_to_library(kind: str, text: str) -> set[str]:
     return set(bytes(found).decode())
 
 
-def _ranges(characters: set[str]) -> str:
+def _ranges(characters: Iterable[str]) -> str:
     points, spans = sorted(map(ord, characters)), []
     for p in points:
         if spans and spans[-1][1] == p - 1:
             spans[-1][1] = p
         else:
             spans.append([p, p])
-    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans)
-
-
-def jvm_pattern(spark: SparkSession, pattern: str) -> str:
-    """The pattern with letters and digits as the reference library knows them; found once per application."""
-    key = (spark.sparkContext.applicationId, pattern)
-    if key not in _patterns:
-        text = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
-        each = [F.regexp_extract_all("text", F.lit(f"(?U){kind}"), F.lit(0)) for kind in CLASSES]
-        found = spark.createDataFrame([(text,)], "text string").select(*each).first()
-        added = {}
-        for kind, jvm in zip(CLASSES, map(set, found)):
-            library = _known_to_library(kind, text)
-            if jvm - library:
-                raise ValueError(f"the JVM has characters in {kind} that the library has not")
-            added[kind] = kind + _ranges(library - jvm)
-        _patterns[key] = "(?U)" + _with_classes(pattern, added)
-    return _patterns[key]
-
-
-def _with_classes(pattern: str, classes: dict[str, str]) -> str:
-    """The pattern with longer classes: as they are within brackets, and in brackets of their own elsewhere."""
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans)
+
+
+def _spelled_out(pattern: str, classes: dict[str, str]) -> str:
+    """The pattern with its classes as ranges: as they are within brackets, and in brackets of their own elsewhere."""
     out, within = [], False
     for part in re.findall(r"\\p\{\w+\}|\\.|.", pattern, re.DOTALL):
         within = part == "[" or within and part != "]"
-        longer = classes.get(part, part)
-        out.append(longer if within or longer == part else f"[{longer}]")
+        if part == "\\S":
+            out.append(f"[^{classes[CLASSES[2]]}]")
+        elif part in classes:
+            out.append(classes[part] if within else f"[{classes[part]}]")
+        else:
+            out.append(part)
     return "".join(out)
 
 
-# --- blocks -----------------------------------------------------------------------------
-
-
-class Block:
-    """Consecutive documents: their distinct words, and their texts as numbers of words."""
-
-    def __init__(self, rows: pa.Array, doc_ids: pa.Array, lengths: np.ndarray, words: pa.Array) -> None:
-        coded = words.dictionary_encode()
-        self.rows, self.doc_ids, self.lengths = rows, doc_ids, lengths
-        self.codes, self.words = coded.indices.to_numpy().astype("<u4"), coded.dictionary
-        digest = hashlib.blake2b(rows.to_numpy().tobytes(), digest_size=8)
-        digest.update(pc.binary_length(self.words).to_numpy(zero_copy_only=False).tobytes())
-        digest.update("".join(self.words.to_pylist()).encode())
-        self.key = int.from_bytes(digest.digest(), "little", signed=True)
+@lru_cache(maxsize=2)
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """Splits a text into the matches of a pattern, as the reference library does."""
+    import regex
 
+    text = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
+    known = {kind: _known_to_library(kind, text) for kind in CLASSES}
+    fast = regex.compile(pattern)
+    exact = re.compile(_spelled_out(pattern, {kind: _ranges(c) for kind, c in known.items()}))
+    ascii_only = re.compile(_spelled_out(pattern, {kind: _ranges(x for x in c if x < "\x80") for kind, c in known.items()}))
+    differing = set().union(*(known[kind] ^ set(regex.findall(kind, text)) for kind in CLASSES))
+    doubtful = re.compile(f"[{_ranges(differing)}]").search if differing else lambda _: None
 
-def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
-    """Documents (row, doc_id, words) cut into blocks; a document is never divided."""
-    waiting: list[tuple[pa.Array, pa.Array, np.ndarray, pa.Array]] = []
-    held = 0
+    def split(text: str) -> list[str]:
+        if text.isascii():
+            return ascii_only.findall(text)
+        return (exact if doubtful(text) else fast).findall(text)
 
-    def block() -> Block:
-        rows, doc_ids, lengths, words = zip(*waiting)
-        joined = pa.concat_arrays([w.cast(pa.large_string()) for w in words])
-        return Block(pa.concat_arrays(rows), pa.concat_arrays(doc_ids), np.concatenate(lengths), joined)
+    return split
 
-    for batch in batches:
-        lengths = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int32)
-        words, ends, first = batch.column(2).flatten(), np.cumsum(lengths, dtype=np.int64), 0
-        while first < batch.num_rows:
-            done = int(ends[first - 1]) if first else 0
-            # As many documents as fit into the block, one at least.
-            stop = max(first + 1 if not held else first, int(np.searchsorted(ends, done + BLOCK - held, "right")))
-            if stop > first:
-                upto = int(ends[stop - 1])
-                piece = slice(first, stop)
-                waiting.append((batch.column(0)[piece], batch.column(1)[piece], lengths[piece], words[done:upto]))
-                held += upto - done
-                first = stop
-            if first < batch.num_rows or held >= BLOCK:
-                yield block()
-                waiting, held = [], 0
-    if waiting:
-        yield block()
 
+# --- blocks -----------------------------------------------------------------------------
 
-def _planes(codes: np.ndarray) -> bytes:
-    """Numbers with their first bytes together, then their second ones, and so on, compressed."""
-    return pa.compress(np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
 
+class Block:
+    """Consecutive documents: their distinct words in order of appearance, and their texts as numbers of words."""
+
+    def __init__(self, key: int) -> None:
+        self.key = key
+        self.words: dict[str, int] = {}
+        self.rows: list[int] = []
+        self.doc_ids: list[int | None] = []
+        self.lengths: list[int] = []
+        self.codes: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, row: int, doc_id: int | None, words: list[str]) -> None:
+        known = self.words
+        for w in dict.fromkeys(words):
+            if w not in known:
+                known[w] = len(known)
+        self.codes.append(np.fromiter(map(known.__getitem__, words), "<u4", len(words)))
+        self.rows.append(row)
+        self.doc_ids.append(doc_id)
+        self.lengths.append(len(words))
+        self.held += len(words)
+
+    def proof(self) -> int:
+        """A digest of the texts and their words."""
+        digest = hashlib.blake2b(np.array(self.rows + self.lengths, "<i8").tobytes(), digest_size=8)
+        digest.update("\0".join(self.words).encode())
+        return int.from_bytes(digest.digest(), "little", signed=True)
+
+    def entries(self, shares: int) -> Iterator[dict]:
+        """A row with the texts, and one for each share of the words."""
+        proof, words = self.proof(), list(self.words)
+        texts = {"rows": self.rows, "doc_ids": self.doc_ids, "lengths": self.lengths}
+        yield {"key": self.key, "block": self.key, "proof": proof, "total": len(words), "a": packed(np.concatenate(self.codes)), **texts}
+        encoded = [w.encode() for w in words]
+        share = np.fromiter((zlib.crc32(w) % shares for w in encoded), np.int64, len(encoded))
+        order = np.argsort(share, kind="stable")
+        cuts = np.flatnonzero(np.r_[True, np.diff(share[order]) != 0, True]) if len(order) else np.zeros(1, np.int64)
+        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            places = order[start:stop]
+            own = [encoded[i] for i in places.tolist()]
+            lengths = np.fromiter(map(len, own), "<u4", len(own))
+            # The shares have keys below zero, so that they are dealt apart from the blocks.
+            key = -1 - int(share[places[0]])
+            yield {"key": key, "block": self.key, "proof": proof, "a": packed(places), "b": packed(lengths), "c": pa.compress(b"".join(own), codec="zstd", asbytes=True)}
+
+
+def _entries(pattern: str, shares: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Documents (row, doc_id, text) cut into blocks; a document is never divided."""
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, first, count = splitter(pattern), TaskContext.get().partitionId() << BLOCK_BITS, 0
+
+        def sent(block: Block) -> Iterator[pa.RecordBatch]:
+            for entry in block.entries(shares):
+                yield pa.RecordBatch.from_pylist([entry], ENTRY_ARROW)
+
+        block = Block(first)
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                for row, doc_id, text in zip(*(c.to_pylist() for c in batch.slice(at, TEXTS).columns)):
+                    block.add(row, doc_id, split(text))
+                    if block.held >= BLOCK:
+                        yield from sent(block)
+                        count += 1
+                        if count >= 1 << BLOCK_BITS:
+                            raise ValueError("a task has too many blocks: read the documents in smaller parts")
+                        block = Block(first + count)
+        if block.rows:
+            yield from sent(block)
 
-def _unplaned(data: bytes, count: int) -> np.ndarray:
-    planes = pa.decompress(data, decompressed_size=4 * count, codec="zstd", asbytes=True) if count else b""
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, count).T).view("<u4").reshape(-1)
+    return entries
 
 
-def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["block", "total", "place", "word"]
-    for block in _blocks(batches):
-        total = len(block.words)
-        key, size = np.full(total, block.key), np.full(total, total, np.int32)
-        table = pa.table([key, size, np.arange(total, dtype=np.int32), block.words], names=names)
-        yield from table.cast(pa.schema(list(zip(names, [pa.int64(), pa.int32(), pa.int32(), pa.string()])))).to_batches(1 << 16)
+ENTRY_ARROW = pa.schema(
+    [(name, pa.int64()) for name in ("key", "block", "proof", "total")]
+    + [(name, pa.binary()) for name in "abc"]
+    + [("rows", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32()))]
+)
 
 
-def _codes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in _blocks(batches):
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([block.key]),
-                pa.array([len(block.words)], pa.int32()),
-                _one_list(block.rows),
-                _one_list(block.doc_ids),
-                _one_list(pa.array(block.lengths)),
-                pa.array([len(block.codes)], pa.int64()),
-                pa.array([_planes(block.codes)], pa.binary()),
-            ],
-            names=["block", "total", "rows", "doc_ids", "lengths", "n_codes", "codes"],
-        )
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2 ** 32 with their first bytes together, then their second ones, and so on, compressed."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(numbers).to_bytes(8, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
 
 
-def _one_list(values: pa.Array) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+def unpacked(data: bytes) -> np.ndarray:
+    count = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], decompressed_size=4 * count, codec="zstd", asbytes=True) if count else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, count).T).view("<u4").reshape(-1)
 
 
 # --- encoding ---------------------------------------------------------------------------
 
 
 def _encoder(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Encodes words that come sorted: equal ones stand side by side, also across batches."""
+    """Encodes the words of shares, which come one share after the other; every word of a share once."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, last, last_ids = read_ranks(path), None, []
+        ranks, share, known = read_ranks(path), None, {}
         for batch in batches:
-            runs = pc.run_end_encode(batch.column(3))
-            ids = []
-            for word in runs.values.to_pylist():
-                if word != last:
-                    last, last_ids = word, merge(word.encode(), ranks)
-                ids.append(last_ids)
-            offsets = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(i) for i in ids], out=offsets[1:])
-            flat = np.fromiter((x for i in ids for x in i), np.int32, offsets[-1])
-            each = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            repeats = np.diff(np.r_[0, runs.run_ends.to_numpy()])
-            lists = each.take(pa.array(np.repeat(np.arange(len(ids)), repeats)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["block", "total", "place", "ids"])
+            keys = batch.column("key").to_numpy()
+            for i in np.flatnonzero(keys < 0).tolist():
+                if keys[i] != share:
+                    share, known = keys[i], {}
+                entry = batch.slice(i, 1).to_pylist()[0]
+                lengths = unpacked(entry["b"])
+                text = pa.decompress(entry["c"], decompressed_size=int(lengths.sum()), codec="zstd", asbytes=True)
+                ends = np.cumsum(lengths).tolist()
+                found = []
+                for start, stop in zip([0, *ends], ends):
+                    word = text[start:stop]
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = merge(word, ranks)
+                    found.append(ids)
+                counts = np.fromiter(map(len, found), "<u4", len(found))
+                flat = np.fromiter((x for ids in found for x in ids), "<u4", int(counts.sum()))
+                own = {"key": entry["block"], "block": entry["block"], "proof": entry["proof"], "a": entry["a"], "b": packed(counts), "c": packed(flat)}
+                yield pa.RecordBatch.from_pylist([own], ENTRY_ARROW)
 
     return encode
 
 
-def _put_together(words: pa.Table, codes: pa.Table) -> pa.Table:
+def _put_together(words: pa.Table, texts: pa.Table) -> pa.Table:
     """The ids of a block's texts, from the ids of its words and the numbers at each position."""
-    rows = codes.to_pylist()
-    totals = {r["total"] for r in rows}
-    place = words.column("place").to_numpy()
-    order = np.argsort(place, kind="stable")
-    if len(rows) != 1 or totals != {len(place)} or (place[order] != np.arange(len(place))).any():
+    rows, shares = texts.to_pylist(), words.to_pylist()
+    if rows and rows[0]["key"] < 0:
+        # The words of a share, not a block.
+        return ENCODED_ARROW.empty_table()
+    places = [unpacked(s["a"]) for s in shares]
+    order = np.concatenate(places) if places else np.zeros(0, "<u4")
+    same = len(rows) == 1 and len(order) == rows[0]["total"] and {s["proof"] for s in shares} <= {rows[0]["proof"]}
+    if not same:
         raise RuntimeError("the words of a block are not those of its texts: the documents came in another order")
-    row = rows[0]
-    lists = words.column("ids").combine_chunks().take(pa.array(order))
-    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    starts, flat = np.cumsum(sizes) - sizes, lists.flatten().to_numpy()
-    numbers = _unplaned(row["codes"], row["n_codes"])
-    counts = sizes[numbers]
-    ends = np.cumsum(counts)
-    total = int(ends[-1]) if len(ends) else 0
-    ids = flat[np.repeat(starts[numbers] - (ends - counts), counts) + np.arange(total)] if total else np.zeros(0, np.int32)
-    text_ends = np.r_[0, np.cumsum(np.array(row["lengths"], np.int64))]
-    offsets = np.r_[0, ends][text_ends]
-    # Split so that the offsets of a column stay within 32 bits and batches small.
-    parts = []
-    for at in range(0, len(row["rows"]), 1000):
-        upto = min(at + 1000, len(row["rows"]))
-        own = pa.ListArray.from_arrays(pa.array((offsets[at : upto + 1] - offsets[at]).astype(np.int32)), pa.array(ids[offsets[at] : offsets[upto]].astype(np.int32)))
-        parts.append(pa.table([pa.array(row["rows"][at:upto], pa.int64()), pa.array(row["doc_ids"][at:upto], pa.int64()), own], names=["row", "doc_id", "ids"]))
+    row, total = rows[0], len(order)
+    counts = np.concatenate([unpacked(s["b"]) for s in shares]).astype(np.int64) if shares else np.zeros(0, np.int64)
+    flat = np.concatenate([unpacked(s["c"]) for s in shares]).astype(np.int32) if shares else np.zeros(0, np.int32)
+    starts, sizes = np.zeros(total, np.int64), np.zeros(total, np.int64)
+    starts[order], sizes[order] = np.cumsum(counts) - counts, counts
+    numbers = unpacked(row["a"])
+    ends = np.cumsum(row["lengths"], dtype=np.int64)
+    parts, done = [], 0
+    for at in range(0, len(ends), TEXTS):
+        some = slice(at, at + TEXTS)
+        own = numbers[done : ends[some][-1]]
+        each = sizes[own]
+        upto = np.cumsum(each)
+        ids = flat[np.repeat(starts[own] - (upto - each), each) + np.arange(int(upto[-1]) if len(upto) else 0)]
+        offsets = np.r_[0, upto][np.r_[0, ends[some] - done]]
+        column = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
+        parts.append(pa.table([pa.array(row["rows"][some], pa.int64()), pa.array(row["doc_ids"][some], pa.int64()), column], ENCODED_ARROW))
+        done = ends[some][-1]
     return pa.concat_tables(parts)
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(row, doc_id, ids): the ids of every whole text by the ranks in a file; ``row`` numbers the rows of the table."""
+ENCODED_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+
+
+def _encode(docs: DataFrame, path: str, pattern: str, finish: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Blocks of encoded texts, as ``finish`` makes them of the words and texts of a block.
+
+    Texts and words leave the first step by one shuffle, texts to their block and words to their share; the
+    encoded words follow to the blocks by a second one. There are as many shares as the session makes shuffle partitions.
+    """
     spark = docs.sparkSession
     common.ship(spark)
-    split = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(jvm_pattern(spark, pattern)), F.lit(0))
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), split.alias("words"))
-    words = texts.mapInArrow(_words_of, WORDS_SCHEMA).repartition("word").sortWithinPartitions("word")
-    encoded = words.mapInArrow(_encoder(path), IDS_SCHEMA)
-    codes = texts.mapInArrow(_codes_of, CODES_SCHEMA)
-    return encoded.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(_put_together, ENCODED_SCHEMA)
+    row = F.monotonically_increasing_id().alias("row")
+    texts = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = texts.mapInArrow(_entries(pattern, shares), ENTRY_SCHEMA).repartition("key")
+    encoded = dealt.sortWithinPartitions("key").mapInArrow(_encoder(path), ENTRY_SCHEMA)
+    return encoded.groupBy("key").cogroup(dealt.groupBy("key")).applyInArrow(finish, schema)
+
+
+def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(row, doc_id, ids): the ids of every whole text by the ranks in a file; ``row`` numbers the rows of the table."""
+    return _encode(docs, path, pattern, _put_together, ENCODED_SCHEMA)
 
 
 # --- decoding ---------------------------------------------------------------------------
@@ -329,61 +373,105 @@ def token_bytes(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(rank, bytearray(token)) for token, rank in read_ranks(path).items()], "id int, data binary")
 
 
-def _joined(tokens: pa.Table) -> pa.RecordBatch:
-    """Whole texts from their tokens in order."""
-    rows, doc_ids, places, ids, data = [tokens.column(c).combine_chunks() for c in ("row", "doc_id", "place", "id", "data")]
-    number = rows.to_numpy()
-    starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
-    sizes = np.diff(np.r_[starts, len(number)])
-    there = ids.is_valid().to_numpy(zero_copy_only=False)
-    expected = np.arange(len(number)) - np.repeat(starts, sizes)
-    if (pc.fill_null(places, 0).to_numpy() != expected).any():
-        raise RuntimeError("the tokens of a text did not come in order")
-    if (there & ~data.is_valid().to_numpy(zero_copy_only=False)).any():
-        raise ValueError("an id is not in the vocabulary")
-    counted = np.r_[0, np.cumsum(there)]
-    sized = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(data), 0).to_numpy(), dtype=np.int64)]
-    ends = np.r_[starts, len(number)]
-    joined = pc.binary_join(_one_list(pc.fill_null(data, b"")), b"")[0].as_buffer()
-    cuts = sized[ends]
-    return pa.RecordBatch.from_arrays(
-        [
-            rows.take(pa.array(starts)),
-            doc_ids.take(pa.array(starts)),
-            pa.ListArray.from_arrays(pa.array(counted[ends].astype(np.int32)), ids.drop_null()),
-            pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), joined]),
-        ],
-        names=["row", "doc_id", "ids", "data"],
-    )
-
-
-def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts whose tokens come one after another, a text's perhaps over several batches."""
-    waiting: list[pa.RecordBatch] = []
-    held = 0
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some texts at a time, and in front of them a row for each id in them."""
+    names = ["row", "doc_id", "id", "ids"]
+    lists = pa.list_(pa.int32())
+
+    def asked(waiting: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = pc.unique(pa.concat_arrays([b.column(2).flatten() for b in waiting]))
+        none = [pa.nulls(len(ids), pa.int64())] * 2
+        yield pa.RecordBatch.from_arrays([*none, ids, pa.nulls(len(ids), lists)], names=names)
+        for b in waiting:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.nulls(b.num_rows, pa.int32()), b.column(2).cast(lists)], names=names)
+
+    waiting, held = [], 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
         waiting.append(batch)
-        held += batch.num_rows
-        newest, oldest = batch.column(0)[-1].as_py(), waiting[0].column(0)[0].as_py()
-        if held < JOINED or newest == oldest:
-            continue
-        table = pa.Table.from_batches(waiting)
-        last = int(np.flatnonzero(table.column("row").to_numpy() != newest)[-1]) + 1
-        yield _joined(table.slice(0, last))
-        waiting = table.slice(last).to_batches()
-        held = table.num_rows - last
+        held += len(batch.column(2).flatten())
+        if held >= JOINED:
+            yield from asked(waiting)
+            waiting, held = [], 0
     if waiting:
-        yield _joined(pa.Table.from_batches(waiting))
+        yield from asked(waiting)
+
+
+class _Tokens:
+    """The bytes of the ids that the texts which follow have asked for."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[pa.Array, pa.Array]] = []
+        self.keys: np.ndarray | None = None
+
+    def add(self, ids: pa.Array, data: pa.Array) -> None:
+        if self.keys is not None:
+            self.parts, self.keys = [], None
+        if data.null_count:
+            raise ValueError("an id is not in the vocabulary")
+        self.parts.append((ids, data))
+
+    def of(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids."""
+        if self.keys is None:
+            ids = np.concatenate([a.to_numpy() for a, _ in self.parts]) if self.parts else np.zeros(0, np.int32)
+            # As long as the vocabulary: where the bytes of an id stand, or one past the end.
+            self.keys = np.full(int(ids.max(initial=-1)) + 2, len(ids), np.int32)
+            self.keys[ids] = np.arange(len(ids))
+            self.data = pa.concat_arrays([b for _, b in self.parts]) if self.parts else pa.array([], pa.binary())
+        flat = lists.flatten().to_numpy()
+        at = self.keys[np.minimum(flat, len(self.keys) - 1)]
+        if len(at) and at.max() >= len(self.data):
+            raise RuntimeError("texts did not follow the ids they asked for")
+        pieces = self.data.take(pa.array(at))
+        lengths = pc.binary_length(pieces).to_numpy(zero_copy_only=False)
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        cuts = np.r_[0, np.cumsum(lengths, dtype=np.int64)][np.r_[0, np.cumsum(counts, dtype=np.int64)]]
+        # The pieces lie one after another in one buffer already.
+        start = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset] if len(pieces) else 0
+        content = pieces.buffers()[2] if len(pieces) else pa.py_buffer(b"")
+        return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer((cuts + start).astype(np.int32).tobytes()), content])
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts with their bytes; rows with an id come before the texts that hold it."""
+    tokens = _Tokens()
+    for batch in batches:
+        asks = batch.column("id").is_valid().to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(np.r_[True, asks[1:] != asks[:-1]]) if len(asks) else []
+        for start, stop in zip(edges, [*edges[1:], len(asks)]):
+            run = batch.slice(start, stop - start)
+            if asks[start]:
+                tokens.add(run.column("id"), run.column("data"))
+                continue
+            for at in range(0, run.num_rows, TEXTS):
+                some = run.slice(at, TEXTS)
+                lists = pa.concat_arrays([some.column("ids")])
+                yield pa.RecordBatch.from_arrays([some.column("row"), some.column("doc_id"), lists, tokens.of(lists)], names=["row", "doc_id", "ids", "data"])
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(row, doc_id, ids, data): the bytes that ids stand for; ``row`` tells the texts apart.
 
-    Ids are taken apart, joined with the tokens' bytes and put together within a task, so nothing is shuffled.
+    The ids of some texts are joined with the tokens' bytes ahead of these texts and in the same task, so nothing is shuffled.
     """
     common.ship(encoded.sparkSession)
-    apart = encoded.select("row", "doc_id", F.posexplode_outer("ids").alias("place", "id"))
-    tokens = F.broadcast(token_bytes(encoded.sparkSession, path))
-    return apart.join(tokens, "id", "left").select("row", "doc_id", "place", "id", "data").mapInArrow(_reassemble, DECODED_SCHEMA)
+    return _decoded(encoded.select("row", "doc_id", "ids").mapInArrow(_ask, ASKED_SCHEMA), path)
+
+
+def _block_that_asks(words: pa.Table, texts: pa.Table) -> pa.Table:
+    """A block put together, with the ids it holds in front of its texts."""
+    rows = list(_ask(iter(_put_together(words, texts).to_batches())))
+    return pa.Table.from_batches(rows, ASKED_ARROW)
+
+
+ASKED_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("id", pa.int32()), ("ids", pa.list_(pa.int32()))])
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``decode(encode(docs))`` with one Python step less: the step that puts texts together also asks for their tokens."""
+    return _decoded(_encode(docs, path, pattern, _block_that_asks, ASKED_SCHEMA), path)
+
+
+def _decoded(asked: DataFrame, path: str) -> DataFrame:
+    tokens = F.broadcast(token_bytes(asked.sparkSession, path))
+    return asked.join(tokens, "id", "left").select("row", "doc_id", "id", "ids", "data").mapInArrow(_answer, DECODED_SCHEMA)
