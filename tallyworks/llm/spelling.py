@@ -42,11 +42,11 @@ PREFIX = GRAM * EDITS + 1
 LEAST = PREFIX + GRAM - 1
 CLASSES = 1 << 16
 # Lists of more words than this are split; there can be at most MAX_HOT of them.
-LIST = 20_000
+LIST = 2_000
 MAX_HOT = 50_000
 
 GRAMS = "array<struct<gram:string,place:int>>"
-KEYS_SCHEMA = f"word string, n long, last_count long, last_gram string, prefix {GRAMS}, pivots {GRAMS}"
+KEYS_SCHEMA = f"word string, n long, letters long, last_count long, last_gram string, prefix {GRAMS}, pivots {GRAMS}"
 
 
 def letter_runs(docs: DataFrame) -> DataFrame:
@@ -102,6 +102,14 @@ def word_keys(word: str, counts: dict[int, int]) -> tuple[tuple[int, str], list,
     return last, prefix, choose_pivots(prefix)
 
 
+def letter_bits(word: str) -> int:
+    """The set of a word's characters in 63 bits: one edit takes at most one bit away and adds at most one."""
+    bits = 0
+    for c in word:
+        bits |= 1 << ord(c) % 63
+    return bits
+
+
 def keyed(words: DataFrame, counts: dict[int, int]) -> DataFrame:
     """Every word with its prefix, the last bigram of it in the order, and its pivots."""
     common.ship(words.sparkSession)
@@ -114,16 +122,16 @@ def keyed(words: DataFrame, counts: dict[int, int]) -> DataFrame:
                     raise ValueError(f"words need {LEAST} characters, not {word!r}")
                 last, prefix, pivots = word_keys(word, counts)
                 lists = [[{"gram": g, "place": place} for _, g, place in part] for part in (prefix, pivots)]
-                out.append((word, n, *last, *lists))
-            columns = list(zip(*out)) if out else [()] * 6
+                out.append((word, n, letter_bits(word), *last, *lists))
+            columns = list(zip(*out)) if out else [()] * len(NAMES)
             gram = pa.list_(pa.struct([("gram", pa.string()), ("place", pa.int32())]))
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), gram, gram]
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), gram, gram]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=NAMES)
 
     return words.select("word", "n").mapInArrow(rows, KEYS_SCHEMA)
 
 
-NAMES = ["word", "n", "last_count", "last_gram", "prefix", "pivots"]
+NAMES = ["word", "n", "letters", "last_count", "last_gram", "prefix", "pivots"]
 KEY = ["gram", "place", "size"]
 
 
@@ -131,11 +139,12 @@ def _lookups(keys: DataFrame) -> DataFrame:
     """The pivots, each at the places and lengths that one edit can leave it."""
     # Shift of the place and of the length for a replaced, deleted or inserted character.
     ways = [(0, 0), (0, -1), (-1, -1), (0, 1), (1, 1)]
-    each = keys.select("word", "n", "last_count", "last_gram", F.explode("pivots").alias("pivot"))
+    each = keys.select("word", "n", "letters", "last_count", "last_gram", F.explode("pivots").alias("pivot"))
     left = F.explode(F.array(*[F.struct(F.lit(p).alias("place"), F.lit(s).alias("size")) for p, s in ways])).alias("way")
     return each.select("*", left).select(
         F.col("word").alias("a"),
         F.col("n").alias("a_n"),
+        F.col("letters").alias("a_letters"),
         F.struct("last_count", "last_gram").alias("a_last"),
         F.col("pivot.gram").alias("gram"),
         (F.col("pivot.place") + F.col("way.place")).alias("place"),
@@ -145,9 +154,10 @@ def _lookups(keys: DataFrame) -> DataFrame:
 
 def _index(keys: DataFrame) -> DataFrame:
     entry = F.explode("prefix").alias("entry")
-    return keys.select("word", "n", "last_count", "last_gram", entry).select(
+    return keys.select("word", "n", "letters", "last_count", "last_gram", entry).select(
         F.col("word").alias("b"),
         F.col("n").alias("b_n"),
+        F.col("letters").alias("b_letters"),
         F.struct("last_count", "last_gram").alias("b_last"),
         F.col("entry.gram").alias("gram"),
         F.col("entry.place").alias("place"),
@@ -176,12 +186,13 @@ def near_pairs(words: DataFrame) -> DataFrame:
     lookups = lookups.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
     meet = [lookups[k] == entries[k] for k in (*KEY, "part")]
     first = F.col("a_last") <= F.col("b_last")
+    letters = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2 * EDITS
     alike = F.levenshtein(F.col("a"), F.col("b"), EDITS) == 1
     ends = [(F.col(x), F.col(f"{x}_n")) for x in ("a", "b")]
     low = [F.when(F.col("a") < F.col("b"), x).otherwise(y) for x, y in zip(*ends)]
     high = [F.when(F.col("a") < F.col("b"), y).otherwise(x) for x, y in zip(*ends)]
     names = ("a", "a_n", "b", "b_n")
-    found = lookups.join(entries, [*meet, first, alike]).select(*[c.alias(n) for c, n in zip((*low, *high), names)]).distinct()
+    found = lookups.join(entries, [*meet, first & letters & alike]).select(*[c.alias(n) for c, n in zip((*low, *high), names)]).distinct()
     # A pair goes out both ways from its one row, so the join runs once.
     both = F.array(F.struct("a", "a_n", "b", "b_n"), F.struct(F.col("b").alias("a"), F.col("b_n").alias("a_n"), F.col("a").alias("b"), F.col("a_n").alias("b_n")))
     return found.select(F.inline(both))
