@@ -11,10 +11,12 @@ import json
 import os
 import statistics
 import time
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.plans import registry
+from tallyworks.settings import MEGABYTE, session_settings
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "4")
@@ -22,12 +24,15 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def session() -> SparkSession:
+    """A session with the settings that fit the tables, in parts of which each core has one at least."""
+    cores = int(CPUS)
+    size = sum(file.stat().st_size for file in Path(SF_DIR).rglob("*.parquet") if file.is_file())
+    fitting = session_settings(size, cores, max(MEGABYTE, size // cores))
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("tallyworks-bench")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=fitting)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

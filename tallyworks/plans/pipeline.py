@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyworks import settings
 from tallyworks.functions.dates import timestamp_literal
 from tallyworks.operators import clean as cleaning
 from tallyworks.operators import enrich as enrichment
@@ -25,7 +26,7 @@ from tallyworks.operators import ids, metrics
 from tallyworks.operators.rate_cache import RateCache
 from tallyworks.plans.manifest import Manifest, chained, inputs_state
 from tallyworks.schemas import BATCH_COLUMN, CORRUPT_COLUMN, ID_COLUMNS, TARGET_CURRENCY, CleaningSpec
-from tallyworks.sources import files, tables
+from tallyworks.sources import files, hadoop, tables
 from tallyworks.sources.loaded_keys import LoadedKeys
 from tallyworks.sources.targets import FULL, CatalogTarget, FolderTarget, last_id, other_batches
 
@@ -465,7 +466,16 @@ def run_files(
     folder: str,
     options: Options,
     on_malformed: str = "keep",
+    tuned: bool = True,
 ) -> Run:
-    """The same run over two CSV files; with ``reject`` malformed rows of both become rejects and are counted."""
+    """The same run over two CSV files; with ``reject`` malformed rows of both become rejects and are counted.
+
+    While it runs, the session has the settings that fit the size of the sales file, unless ``tuned`` is off.
+    """
     sales = files.read_sales(spark, sales_path, on_malformed)
-    return run_pipeline(sales, files.read_products(spark, products_path, on_malformed), quotes, folder, options)
+    products = files.read_products(spark, products_path, on_malformed)
+    if not tuned:
+        return run_pipeline(sales, products, quotes, folder, options)
+    fitting = settings.session_settings(hadoop.size(spark, sales_path), spark.sparkContext.defaultParallelism)
+    with settings.applied(spark, fitting):
+        return run_pipeline(sales, products, quotes, folder, options)

@@ -3,9 +3,27 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
+from pyspark.sql import SparkSession
 
 MEGABYTE = 1024 * 1024
 
+
+@contextmanager
+def applied(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """The settings hold within the block; what the session had before holds again after it."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def session_settings(input_bytes: int, cores: int, partition_bytes: int = 128 * MEGABYTE) -> dict[str, str]:
     """Settings under which a shuffle of the whole input makes partitions of about that size.
 

@@ -31,6 +31,12 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    system, place = _located(spark, path)
+    return system.getContentSummary(place).getLength()
+
+
 def state_of_tables(spark: SparkSession, paths: Iterable[str]) -> str:
     """A digest of the names, sizes and times of the files right below each path: changed tables give another one."""
     known = hashlib.sha256()
