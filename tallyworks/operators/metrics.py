@@ -119,11 +119,16 @@ def rate_exceeded(failed: Column, total: Column, max_rejection_rate: float) -> C
     return rate > max_rejection_rate * 100
 
 
+def within_limit(failed: int, total: int, max_rejection_rate: float) -> bool:
+    """Whether the rejected share is at most the limit."""
+    return (failed / total * 100 if total else 0.0) <= max_rejection_rate * 100
+
+
 def enforce_rejection_rate(failed: int, total: int, max_rejection_rate: float) -> None:
     """Raise when the rejected share lies above the limit; exactly at the limit passes."""
     rate = failed / total * 100 if total else 0.0
     limit = max_rejection_rate * 100
-    if rate > limit:
+    if not within_limit(failed, total, max_rejection_rate):
         raise RejectionRateExceeded(f"rejection rate {rate:.2f}% exceeds the limit of {limit:.2f}%")
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 from typing import Any
@@ -243,31 +244,50 @@ def _last_id(run: Run, state: State, name: str) -> int:
     return last_id(other_batches(run.table(state.spark, name), run.batch), name)
 
 
-def _cleaning(run: Run, state: State) -> dict[str, Any]:
-    """Write the rejects, let the rejection rate decide whether the run goes on, then write the cleaned rows once."""
-    spec, checked = state.options.spec, state.saved["checked"]
+def _together(*steps: Callable[[], Any]) -> list[Any]:
+    """Results of steps that do not need each other: their jobs share the cores, so that small ones fill the gaps."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]
+
+
+def _write_rejects(run: Run, state: State) -> dict[str, int]:
     rejected, counts = _rejected(run, state)
     state.loaded["ErrorLogging"] = run.refresh(rejected, "ErrorLogging")
     if state.options.export_csv:
         rows = _of_batch(run, state.loaded["ErrorLogging"]).withColumnRenamed("ErrorTimestamp", "RejectionTimestamp")
         files.write_csv(tables.rejection_rows(rows), run.path("rejected_records_csv"))
-    failed, total = checked["rejected_records"], checked["initial_records"]
-    run.record("cleaning", {**checked, **counts, "rejection_rate": 100 * failed / total if total else 0})
-    metrics.enforce_rejection_rate(failed, total, spec.max_rejection_rate)
-    cleaned = cleaning.clean(state.tagged, spec)
-    observed, seen = _observed(cleaned, "cleaned", {"final_records": F.count(F.lit(1))})
+    return counts
+
+
+def _write_cleaned(run: Run, state: State) -> dict[str, int]:
+    """The cleaned rows, for a batch without those that other batches have loaded."""
+    spec = state.options.spec
+    observed, seen = _observed(cleaning.clean(state.tagged, spec), "cleaned", {"final_records": F.count(F.lit(1))})
     state.cleaned = files.write_and_read(observed, run.path("staging/cleaned"))
-    final = seen.get["final_records"]
-    values = {"final_records": final, "duplicates_removed": total - failed - final}
+    values = {"final_records": seen.get["final_records"]}
     if run.batch:
         new = LoadedKeys(state.spark, _keys_folder(run, state.spark), spec.duplicate_keys).new_rows(state.cleaned, run.batch)
         observed, seen = _observed(new, "new", {"n": F.count(F.lit(1))})
         state.cleaned = files.write_and_read(observed, run.path("staging/new"))
-        values["already_loaded"] = final - seen.get["n"]
-    state.saved["cleaned_rows"] = final - values.get("already_loaded", 0)
+        values["already_loaded"] = values["final_records"] - seen.get["n"]
     return values
 
 
+def _cleaning(run: Run, state: State) -> dict[str, Any]:
+    """Write the rejects, and the cleaned rows unless the rejection rate stops the run after the rejects are written."""
+    checked, limit = state.saved["checked"], state.options.spec.max_rejection_rate
+    failed, total = checked["rejected_records"], checked["initial_records"]
+    steps = [lambda: _write_rejects(run, state)]
+    if metrics.within_limit(failed, total, limit):
+        steps.append(lambda: _write_cleaned(run, state))
+    counts, *cleaned = _together(*steps)
+    run.record("cleaning", {**checked, **counts, "rejection_rate": 100 * failed / total if total else 0})
+    metrics.enforce_rejection_rate(failed, total, limit)
+    values = cleaned[0]
+    state.saved["cleaned_rows"] = values["final_records"] - values.get("already_loaded", 0)
+    return {**values, "duplicates_removed": total - failed - values["final_records"]}
+
+
 def _after_cleaning(run: Run, state: State) -> None:
     state.loaded["ErrorLogging"] = run.table(state.spark, "ErrorLogging")
     name = "staging/new" if run.batch else "staging/cleaned"
@@ -384,10 +404,14 @@ def _after_enrichment(run: Run, state: State) -> None:
 def _loading(run: Run, state: State) -> dict[str, Any]:
     """Export the enriched rows of this run and count what the tables hold of it."""
     loaded = {name: _of_batch(run, table) for name, table in state.loaded.items()}
-    if state.options.export_csv:
-        files.write_csv(enrichment.export_rows(loaded["SalesData"]), run.path("cleaned_sales_csv"))
     summary = tables.loading_summary(loaded["SalesData"], loaded["ErrorLogging"], loaded["CurrencyConversionLog"])
-    counts = {row["TableName"]: row["RowCount"] for row in summary.collect()}
+
+    def export() -> None:
+        if state.options.export_csv:
+            files.write_csv(enrichment.export_rows(loaded["SalesData"]), run.path("cleaned_sales_csv"))
+
+    lines, _ = _together(summary.collect, export)
+    counts = {row["TableName"]: row["RowCount"] for row in lines}
     return {
         "sales_records_loaded": counts["SalesData"],
         "error_records_loaded": counts["ErrorLogging"],
