@@ -30,6 +30,8 @@ from tallyworks.llm import common
 MASKS = ("11101011", "11001111")
 STRETCH = 13
 SHARE = 0.8
+# So many words of an item tell that a document holds it.
+EVIDENCE = 5
 # Hashes of test items are broadcast up to so many rows (24 bytes each); beyond, places are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -129,6 +131,10 @@ def overlaps(docs: DataFrame, tests: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, tests: DataFrame) -> DataFrame:
-    """The documents without those that overlap with a test item. Rows without a doc_id stay."""
-    found = common.written(overlaps(docs, tests).select("doc_id").distinct(), "contaminated")
+    """The documents without those that overlap with a test item in ``EVIDENCE`` words or more. Rows without a doc_id stay.
+
+    Items of fewer words are common words or phrases: ``overlaps`` reports where they stand, but no document goes for them.
+    """
+    found = overlaps(docs, tests).filter(F.col("compared") >= EVIDENCE)
+    found = common.written(found.select("doc_id").distinct(), "contaminated")
     return docs.join(found, "doc_id", "left_anti").select(docs.columns)

@@ -203,7 +203,7 @@ def secrets_sql() -> str:
         (0, "assign", r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
         (1, "access", "AKIA[A-Z0-9]+", 0, 18),
         (2, "hex", "[0-9a-f]+", 0, 16),
-        (3, "pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+        (3, "pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?s:.*?)-----END [A-Z ]*PRIVATE KEY-----|(?:\s+[A-Za-z0-9+/=]{16,})*)", 0, 1),
         (4, "jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 1),
     ]
     branch = (
