@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from itertools import combinations
 
@@ -123,6 +124,36 @@ def test_near_copies_are_verified(spark, docs, empty):
     assert near_copies.deduplicate(empty).count() == 0
 
 
+def test_texts_that_share_a_long_passage_only_make_few_pairs(spark, monkeypatch):
+    """500 texts of which three quarters are one passage: none goes, and their pairs are not compared one by one."""
+    passage = some_text(1, 90)
+    rows = [(i, f"{passage} {some_text(1000 + i, 30)}") for i in range(500)] + [(600, f"{passage} {some_text(1000, 30)} more")]
+    compared, similar = [], near_copies._similar
+    monkeypatch.setattr(near_copies, "_similar", lambda pairs, sets: compared.append(pairs.count()) or similar(pairs, sets))
+    got = near_copies.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(500))
+    assert sum(compared) < 20 * 500
+
+
+def test_prefixes_lose_no_similar_pair():
+    r = random.Random(8)
+    counts = np.array([r.randrange(1, 50) for _ in range(near_copies.CLASSES)])
+    for _ in range(300):
+        one = {r.getrandbits(62) for _ in range(r.randrange(1, 60))}
+        other = set(r.sample(sorted(one), r.randrange(1, len(one) + 1))) | {r.getrandbits(62) for _ in range(r.randrange(4))}
+        if 5 * len(one & other) >= 4 * len(one | other):
+            a, b = [near_copies.prefix(np.array(sorted(s)), counts).tolist() for s in (one, other)]
+            met = [min(len(one) - a.index(h), len(other) - b.index(h)) for h in set(a) & set(b)]
+            assert met and 9 * max(met) >= 4 * (len(one) + len(other))
+
+
+def test_near_copies_keep_columns_of_any_name(spark):
+    rows = [(1, some_text(1), "x", "y"), (2, some_text(1), "z", "w"), (3, some_text(3), None, "v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_hash string, text_digest string")
+    got = near_copies.deduplicate(docs.withColumns({c: F.lit(1) for c in ("n", "a", "lead", "hashes", "set_id", "bands", "key")}))
+    assert sorted((r["doc_id"], r["text_hash"], r["text_digest"], r["key"]) for r in got.collect()) == [(1, "x", "y", 1), (3, None, "v", 1)]
+
+
 def test_quality_rules(docs, empty):
     got = quality_rules.judge(docs.unionByName(docs.filter("doc_id = 7").withColumns({"text": F.lit("x y z a b c d e " * 6)}))).collect()
     for row in got:
@@ -226,6 +257,44 @@ def test_secret_ledger_scans_only_what_is_new(spark, tmp_path):
     assert clean == {1: ('x [secret]" 😀 password:short [secret]', 37), 2: ("clean", 5)}
 
 
+def test_whole_private_keys_go(spark, tmp_path):
+    body = "MIIEpAIBAAKCAQEA7bq\nQ2Zx+abcDEFghiJKLmno/pqrSTUv=="
+    key = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    texts = {1: f"before {key} between {key} after", 2: f"cut {key[:70]}", 3: "-----BEGIN PRIVATE KEY----- is how a key starts", 4: "x" * 50_000}
+    want = {1: "before [secret] between [secret] after", 2: "cut [secret]", 3: "[secret] is how a key starts", 4: texts[4]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    ledger = secret_ledger.Ledger(spark, str(tmp_path))
+    ledger.scan(docs.select(F.col("doc_id").alias("path"), F.col("text").alias("content")))
+    assert {r["doc_id"]: r["text"] for r in ledger.redacted(docs).collect()} == want
+    nothing = secret_ledger.Ledger(spark, str(tmp_path / "empty"))
+    nothing.scan(docs.limit(0).select(F.col("doc_id").alias("path"), F.col("text").alias("content")))
+    assert nothing.scanned().count() == 0 and nothing.redacted(docs.limit(0)).count() == 0
+
+
+def test_work_grows_with_the_matches(spark, tmp_path):
+    """Four times the matches take at most five times as long, found and replaced."""
+    took = {}
+    for n in (500, 4000, 16000):
+        text = "é ".join(f"{i:020x}" for i in range(n))
+        docs = spark.createDataFrame([(1, text, 1)], "doc_id long, text string, spans int")
+        ledger = secret_ledger.Ledger(spark, str(tmp_path / str(n)))
+        started = time.monotonic()
+        ledger.scan(docs.select(F.col("doc_id").alias("path"), F.col("text").alias("content")))
+        row = ledger.redacted(docs).first()
+        took[n] = time.monotonic() - started
+        assert row["text"] == "é ".join(["[secret]"] * n) and row["spans"] == 1
+        spans = ledger.report(docs.select("doc_id", F.col("text").alias("content"))).first()["spans"]
+        assert [(s["start"], s["stop"]) for s in spans] == [(22 * i, 22 * i + 20) for i in range(n)]
+    assert took[16000] <= 5 * took[4000]
+
+
+def test_no_document_goes_for_a_common_word(spark):
+    items = spark.createDataFrame([(1, "Yes."), (2, "in the end"), (3, "one two three four five")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "yes, in the end"), (2, "so one two three four five go")], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs, items).collect()} == {(1, 1), (1, 2), (2, 3)}
+    assert [r["doc_id"] for r in decontaminate.decontaminate(docs, items).collect()] == [1]
+
+
 def test_language_id(spark, empty):
     rows = [(i, t, lang) for i in range(20) for lang, t in (("en", f"the cat and the dog went there {i}"), ("de", f"der hund und die katze gingen {i}"))]
     learned = lang_id.prototypes(spark.createDataFrame([*rows, (None, "x", None)], "doc_id long, text string, lang string"))
