@@ -52,5 +52,5 @@ class Manifest:
         hadoop.delete(self.spark, f"{self.folder}/{stage}")
 
     def finish(self, stage: str, fingerprint: str, saved: dict[str, Any]) -> None:
-        line = self.spark.createDataFrame([(fingerprint, json.dumps(saved))], SCHEMA)
+        line = files.few_rows(self.spark, [(fingerprint, json.dumps(saved))], SCHEMA)
         files.write_json_summary(line, f"{self.folder}/{stage}")

@@ -154,7 +154,7 @@ class Run:
     def metrics(self, spark: SparkSession) -> DataFrame:
         """The recorded lines; the text of an error stands beside the ``success`` of its stage."""
         rows = [(s, m, v, self.errors.get(s) if m == "success" else None) for s, m, v in self.lines]
-        return spark.createDataFrame(rows, METRIC_SCHEMA)
+        return files.few_rows(spark, rows, METRIC_SCHEMA)
 
 
 @dataclass
@@ -195,7 +195,7 @@ def _ingestion(run: Run, state: State) -> dict[str, Any]:
     checked = dict(seen.get)
     profile = metrics.data_profile(state.tagged, cleaning.sound_products(state.products))
     lines = {row["Metric"]: row["Value"] for row in profile.collect()}
-    summary = state.spark.createDataFrame(list(lines.items()), profile.schema)
+    summary = files.few_rows(state.spark, list(lines.items()), "Metric string, Value bigint")
     files.write_json_summary(summary, run.path("raw_data_summary"))
     state.saved |= {"checked": checked, "tagged": state.tagged.schema.json()}
     return {"records_processed": checked["initial_records"], "product_records": lines["product_records"]}
@@ -335,7 +335,7 @@ def _conversion_log(rates: DataFrame, converted: dict[str, int], run_ts: datetim
     """One line per currency that was converted, with its identifier; at most one per accepted currency."""
     rows = [(start + i, currency, n) for i, (currency, n) in enumerate(((c, n) for c, n in sorted(converted.items()) if n), 1)]
     name = ID_COLUMNS["CurrencyConversionLog"]
-    counts = rates.sparkSession.createDataFrame(rows, f"{name} bigint, FromCurrency string, RecordCount bigint")
+    counts = files.few_rows(rates.sparkSession, rows, f"{name} bigint, FromCurrency string, RecordCount bigint")
     return rates.join(F.broadcast(counts), rates["from_currency"] == counts["FromCurrency"]).select(
         name,
         "FromCurrency",
@@ -391,7 +391,7 @@ def _enrichment(run: Run, state: State) -> dict[str, Any]:
         "product_enrichment_enabled": options.lookup_products,
         "currency_conversion_enabled": options.convert_amounts,
     }
-    summary = state.spark.createDataFrame([(name, float(value)) for name, value in values.items()], "metric string, value double")
+    summary = files.few_rows(state.spark, [(name, float(value)) for name, value in values.items()], "metric string, value double")
     files.write_json_summary(summary, run.path("enrichment_summary"))
     return values
 

@@ -24,8 +24,10 @@ def applied(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def session_settings(input_bytes: int, cores: int, partition_bytes: int = 128 * MEGABYTE) -> dict[str, str]:
-    """Settings under which a shuffle of the whole input makes partitions of about that size.
+def session_settings(
+    input_bytes: int, cores: int, partition_bytes: int = 128 * MEGABYTE, scan_bytes: int = 128 * MEGABYTE
+) -> dict[str, str]:
+    """Settings under which a shuffle of the whole input makes partitions of about that size, and scans tasks of ``scan_bytes``.
 
     The number of partitions follows the input alone, so their size is the same at any scale.
     Spark merges small partitions at run time and splits skewed ones, so the count only has
@@ -39,7 +41,7 @@ def session_settings(input_bytes: int, cores: int, partition_bytes: int = 128 *
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.session.timeZone": "UTC",
     }

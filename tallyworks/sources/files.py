@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyworks.schemas import (
     CORRUPT_COLUMN,
@@ -96,6 +98,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.csv(path, header=True, mode="overwrite")
 
 
+def few_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of some rows that the driver holds, handed over as they are, so that reading it starts no Python worker."""
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    arrow = to_arrow_schema(fields)
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, fields)
+
+
 def write_json_summary(metrics: DataFrame, path: str) -> None:
     """A few metric lines as one JSON file."""
     metrics.coalesce(1).write.json(path, mode="overwrite")
