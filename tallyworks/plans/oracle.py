@@ -8,6 +8,7 @@ from __future__ import annotations
 
 RUN_TS = "TIMESTAMP '2024-02-01 06:30:00'"
 RATES_AS_OF = "TIMESTAMP '2024-01-30 12:00:00'"
+CACHED_AS_OF = "TIMESTAMP '2024-01-30 12:30:00'"
 ACTIVITY_AS_OF = "TIMESTAMP '2001-07-20 00:00:00'"
 
 CHAIN = {
@@ -315,6 +316,15 @@ def _pipeline_metrics() -> str:
     return statement("\nUNION ALL ".join(rows), "raw", "products", "tagged", "sales", "rejected", "logs")
 
 
+def _cached_rates() -> str:
+    """The rates as of half an hour later, with those that came from the API at first as quotes of the cache."""
+    later = CHAIN["rates"].replace(RATES_AS_OF, CACHED_AS_OF).replace("FROM quotes", "FROM known")
+    body = f"""
+SELECT * FROM ({later.strip()})"""
+    known = f"SELECT * FROM quotes UNION ALL SELECT from_currency, to_currency, rate, 'cache', {RATES_AS_OF} FROM rates WHERE source = 'API'"
+    return statement(body, "rates").replace("\nSELECT * FROM (", f", known AS ({known})\nSELECT * FROM (", 1)
+
+
 def _operators() -> dict[str, str]:
     def check(column: str, *names: str) -> str:
         shown = ", ".join(("OrderID", "ProductID") + names)
@@ -399,6 +409,21 @@ SELECT OrderID, ProductID, SaleAmount, OriginalSaleAmount, strftime(OrderDate, '
         "data_profile": statement(
             lines("typed", PROFILE) + "\nUNION ALL " + lines("products", {"product_records": "count(*)"}), "typed", "products"
         ),
+        "merged_profile": statement(
+            lines("typed", PROFILE) + "\nUNION ALL " + lines("products", {"product_records": "count(*)"}), "typed", "products"
+        ),
+        "sales_batches": statement(
+            """
+SELECT CASE WHEN OrderDate < TIMESTAMP '1996-01-01 00:00:00' THEN 'early' ELSE 'late' END AS BatchID, count(*) AS Orders,
+  CAST(sum(SaleAmount) AS DECIMAL(38,2)) AS TotalSales, CAST(date_trunc('month', min(OrderDate)) AS DATE) AS FirstMonth,
+  CAST(date_trunc('month', max(OrderDate)) AS DATE) AS LastMonth
+FROM sales GROUP BY 1""",
+            "sales",
+        ),
+        "error_ids": statement(
+            "SELECT count(*) AS Errors, CAST(1 AS BIGINT) AS FirstID, count(*) AS LastID, count(*) AS DistinctIDs FROM rejected", "rejected"
+        ),
+        "cached_rates": _cached_rates(),
         "distinct_currencies": statement("SELECT DISTINCT Currency FROM raw", "raw"),
         "clean_metrics": statement(
             "SELECT "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from typing import Any, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +14,12 @@ from tallyworks.functions import rules
 from tallyworks.functions.casts import safe_double
 from tallyworks.operators import clean as cleaning
 from tallyworks.operators import enrich as enrichment
-from tallyworks.operators import metrics
+from tallyworks.operators import metrics, profile
+from tallyworks.operators.rate_cache import RateCache
 from tallyworks.plans import analytics, pipeline
 from tallyworks.schemas import PRODUCT_COLUMNS, SALES_COLUMNS, SALES_SCHEMA, CleaningSpec
-from tallyworks.sources import driver_tables, files, hadoop, scratch, tables
+from tallyworks.sources import driver_tables, files, hadoop, scratch, tables, targets
+from tallyworks.sources.loaded_keys import LoadedKeys
 
 T = TypeVar("T")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +32,8 @@ ACTIVITY_AS_OF = datetime(2001, 7, 20)
 SPEC = CleaningSpec(amount_max=100000.0, max_rejection_rate=0.5)
 CATEGORIES = ("ECONOMY", "LARGE", "PROMO")
 KEYS = ("OrderID", "ProductID")
+BATCHES_PART = datetime(1996, 1, 1)
+CACHE_TTL = timedelta(hours=1)
 
 _built: dict[tuple[str, str, str], tuple[str, Any]] = {}
 _lock = threading.RLock()
@@ -285,6 +289,52 @@ def data_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.data_profile(raw(spark, sf_dir), driver_tables.products(spark, sf_dir))
 
 
+def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same profile from the parts of two batches that share most of their values; the second is added twice."""
+    rows, goods = raw(spark, sf_dir), driver_tables.products(spark, sf_dir)
+    late = F.pmod(F.xxhash64("OrderID"), F.lit(2)) == 1
+    store = profile.ProfileStore(spark, scratch.new_folder(spark, "profile"))
+    for batch, sales_part, products in (("first", ~late, goods), ("second", late, goods.limit(0)), ("second", late, goods.limit(0))):
+        part = rows.filter(sales_part)
+        lines = metrics.data_profile(part, products).filter(~F.col("Metric").isin(*metrics.DISTINCT.values()))
+        store.add(batch, lines, profile.column_values(part, metrics.DISTINCT))
+    return store.profile(["first", "second"])
+
+
+def sales_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and sales of two batches: the second brings all rows, so it adds what the first has not; both are loaded twice."""
+    folder = scratch.new_folder(spark, "batches")
+    rows = files.write_and_read(sales(spark, sf_dir), f"{folder}/rows")
+    target, keys = targets.FolderTarget(f"{folder}/tables"), LoadedKeys(spark, f"{folder}/keys", buckets=8)
+    batches = {"early": rows.filter(F.col("OrderDate") < F.lit(BATCHES_PART)), "late": rows}
+    for batch, part in [*batches.items(), *batches.items()]:
+        table = target.load(keys.new_rows(part, batch), "SalesData", batch).table
+        keys.add(table.filter(F.col("BatchID") == batch), batch)
+    totals = table.groupBy("BatchID").agg(
+        F.count(F.lit(1)).alias("Orders"),
+        F.sum("SaleAmount").cast("decimal(38,2)").alias("TotalSales"),
+        F.min(F.to_date("OrderMonth")).alias("FirstMonth"),
+        F.max(F.to_date("OrderMonth")).alias("LastMonth"),
+    )
+    return totals
+
+
+def error_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The identifiers of the loaded errors: as many as rows, from 1 on, none twice."""
+    ids = F.col("ErrorID")
+    return loaded(spark, sf_dir, "ErrorLogging").agg(
+        F.count(F.lit(1)).alias("Errors"), F.min(ids).alias("FirstID"), F.max(ids).alias("LastID"), F.count_distinct(ids).alias("DistinctIDs")
+    )
+
+
+def cached_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rates of a second run, which may use what the first got from the API half an hour before."""
+    quotes, cache = driver_tables.rate_quotes(spark, sf_dir), RateCache(spark, scratch.new_folder(spark, "rate-cache"))
+    cache.merge(enrichment.resolve_rates(quotes, RATES_AS_OF), RATES_AS_OF, CACHE_TTL)
+    known = quotes.unionByName(cache.quotes())
+    return enrichment.resolve_rates(known, RATES_AS_OF + CACHE_TTL / 2, CACHE_TTL)
+
+
 def distinct_currencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.distinct_values(raw(spark, sf_dir), "Currency")
 
@@ -354,6 +404,10 @@ def queries() -> dict[str, Query]:
         "rule_report": rule_report,
         "contract_violations": contract_violations,
         "data_profile": data_profile,
+        "merged_profile": merged_profile,
+        "sales_batches": sales_batches,
+        "error_ids": error_ids,
+        "cached_rates": cached_rates,
         "distinct_currencies": distinct_currencies,
         "clean_metrics": clean_metrics,
         "rejection_rate": rejection_rate,
