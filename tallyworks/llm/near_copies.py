@@ -1,15 +1,15 @@
 """Near copies by exact Jaccard similarity of word shingles.
 
-Texts are sets of hashed shingles of five words. Pairs that may be similar come from bands of minimum
-hashes: a pair of similarity 0.8 misses all 32 bands of 6 with a probability of 6e-5. Each candidate pair is
-then joined back to the shingle hashes, and only an exact similarity of ``SIMILAR`` or more counts.
-
-(Fingerprints cannot take this place: at a similarity of 0.8, about 15 % of the bits of a SimHash differ whatever
-its width, more than one in each byte, so no number of equal bytes is guaranteed.)
+Texts are sets of hashed shingles of five words. Near copies are first looked for by SimHash fingerprints of
+these shingles, in the index of byte positions with its count filter (``simhash``): each text is compared with the first of
+its component. At a similarity of 0.8, about 15 % of the bits of a fingerprint differ whatever its width, more than one in
+each byte, so no number of equal bytes is guaranteed. Among the texts that then stay, further pairs therefore come from bands of minimum
+hashes: a pair of similarity 0.8 misses all 32 bands of 6 with a probability of 6e-5. Each candidate pair of either kind is
+joined back to the shingle hashes, and only an exact similarity of ``SIMILAR`` or more counts.
 
 A text stays unless a text before it, by doc_id, stays and is similar: the greedy independent set of the
 similarity graph. So every text that goes has a verified similarity to one that stays. Equal sets are joined
-to one first. At the start each text is compared with one other alone, the first of all that share a list with it, so a
+to one first. After the fingerprints each text is compared with one other alone, the first of all that share a list with it, so a
 large group of near copies gives a row per member and most of them go; those that are left are compared with the first of
 each of their lists. Among the texts that then stay, candidates are exact: with the shingles of every text in one order, rare ones
 first, two similar texts have one in common among the first fifth of each, at a place from which enough are left to
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm import common
+from tallyworks.llm import common, simhash
 from tallyworks.llm.simhash import LOWER, SEED
 
 WORDS = 5
@@ -80,8 +80,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [shingles(t) for t in batch.column(2).to_pylist()]
         ids = [xxhash.xxh3_128_digest(s.tobytes(), SEED) for s in sets]
         keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
-        columns = [batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array([len(s) for s in sets], pa.int32()), keys]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "set_id", "n", "bands"])
+        prints = pa.array([simhash.majority(s) for s in sets], pa.int64())
+        columns = [batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array([len(s) for s in sets], pa.int32()), prints, keys]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "set_id", "n", "fingerprint", "bands"])
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -151,6 +152,21 @@ def _candidates(sets: DataFrame, counts: np.ndarray) -> DataFrame:
     return pairs.select(F.col("a_set_id").alias("a"), "a_n", F.col("b_set_id").alias("b"), "b_n")
 
 
+def _fingerprint_pairs(classes: DataFrame) -> DataFrame:
+    """(b, b_n, lead): each set whose fingerprint is linked with others, with the first of the component.
+
+    ``classes`` is a written table of sets with doc_id and fingerprint.
+    """
+    member = F.struct("doc_id", "set_id", "n")
+    first = classes.groupBy("fingerprint").agg(F.min(member).alias("lead"), F.count(F.lit(1)).alias("size"))
+    prints = common.written(first, "prints")
+    rooted = common.written(simhash.rooted(prints), "rooted")
+    groups = rooted.groupBy("root").agg(F.min("lead").alias("lead"), F.sum("size").alias("size")).filter("size > 1")
+    leads = rooted.select("fingerprint", "root").join(groups.drop("size"), "root")
+    others = classes.join(leads, "fingerprint").filter("set_id != lead.set_id")
+    return others.select(F.col("set_id").alias("b"), F.col("n").alias("b_n"), "lead")
+
+
 def _first_of_lists(entries: DataFrame) -> DataFrame:
     """(b, b_n, lead): each member of a list that is not its first, with the first."""
     member = F.struct("doc_id", "set_id", "n")
@@ -171,10 +187,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn(digest, F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
     own = F.col(digest).alias("text_hash")
     rows = keyed.filter("doc_id is not null").select("doc_id", own, F.col("text").cast("binary").alias("text"))
-    rows = rows.mapInArrow(_sketch, "doc_id long, text_hash binary, set_id binary, n int, bands array<long>")
+    rows = rows.mapInArrow(_sketch, "doc_id long, text_hash binary, set_id binary, n int, fingerprint long, bands array<long>")
     rows = common.written(rows, "sketches")
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
-    classes = common.written(rows.groupBy("set_id").agg(first, F.first("n").alias("n"), F.first("bands").alias("bands")), "sets")
+    same = [F.first(c).alias(c) for c in ("n", "fingerprint", "bands")]
+    classes = common.written(rows.groupBy("set_id").agg(first, *same), "sets")
+    linked = _fingerprint_pairs(classes.select("set_id", "first.doc_id", "n", "fingerprint"))
+    linked = common.written(linked.select("b", "b_n", "lead"), "linked")
     entries = classes.select("set_id", "first.doc_id", "n", F.posexplode("bands").alias("band", "key"))
     lists = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     entries = common.written(entries.join(lists, ["band", "key"]).drop("size"), "lists")
@@ -183,14 +202,18 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     def hashed(texts: pd.Series) -> pd.Series:
         return pd.Series([shingles(t).view(np.int64) for t in texts])
 
-    # Only texts that share a list are hashed again.
-    shared = classes.select("set_id", "n", "first.*").join(entries.select("set_id").distinct(), "set_id", "left_semi")
+    # Only texts that share a list or are linked by fingerprints are hashed again.
+    met = entries.select("set_id").unionByName(linked.select(F.explode(F.array("b", "lead.set_id")).alias("set_id"))).distinct()
+    shared = classes.select("set_id", "n", "first.*").join(met, "set_id", "left_semi")
     texts = keyed.select("doc_id", own, "text")
     sets = texts.join(shared, ["doc_id", "text_hash"]).dropDuplicates(["set_id"])
     sets = common.written(sets.select("set_id", "doc_id", "n", hashed(F.col("text").cast("binary")).alias("hashes")), "shingles")
 
-    nearest = _first_of_lists(entries).groupBy("b").agg(F.min("lead").alias("lead"), F.first("b_n").alias("b_n"))
-    edges = _similar(_with_lead(nearest), sets)
+    edges = _similar(_with_lead(linked), sets)
+    removed = common.written(_removed(edges), "removed")
+    left = entries.join(removed, "set_id", "left_anti")
+    nearest = _first_of_lists(left).groupBy("b").agg(F.min("lead").alias("lead"), F.first("b_n").alias("b_n"))
+    edges = edges.unionByName(_similar(_with_lead(nearest), sets))
     removed = common.written(_removed(edges), "removed")
     left = entries.join(removed, "set_id", "left_anti")
     edges = edges.unionByName(_similar(_with_lead(_first_of_lists(left)), sets))

@@ -57,9 +57,23 @@ def fingerprint(data: bytes | None, words: int) -> int:
     hash64, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for at in range(0, len(starts), BLOCK):
         spans = zip(starts[at : at + BLOCK], stops[at : at + BLOCK])
-        hashes = np.array([hash64(joined[s:e], SEED) for s, e in spans], "<u8")
-        total += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(total * 2 > len(starts), bitorder="little").view("<i8")[0])
+        total += _bits(np.array([hash64(joined[s:e], SEED) for s, e in spans], "<u8"))
+    return _majority(total, len(starts))
+
+
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+
+
+def _majority(total: np.ndarray, n: int) -> int:
+    return int(np.packbits(total * 2 > n, bitorder="little").view("<i8")[0])
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of a set of unsigned shingle hashes, as a signed number; zero for none."""
+    blocks = (hashes[at : at + BLOCK] for at in range(0, len(hashes), BLOCK))
+    return _majority(sum((_bits(np.ascontiguousarray(b, "<u8")) for b in blocks), np.zeros(64, np.int64)), len(hashes))
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
@@ -187,16 +201,20 @@ def links(prints: DataFrame) -> DataFrame:
     return result
 
 
+def rooted(prints: DataFrame) -> DataFrame:
+    """``prints`` with ``root``, one fingerprint of the component that each belongs to."""
+    stars = components.roots(links(prints)).withColumnRenamed("node", "fingerprint")
+    return prints.join(stars, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id): the smallest doc_id that links can reach."""
     rows = common.written(fingerprints(docs, words), "fingerprints")
     prints = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
     prints = common.written(prints, "prints")
-    stars = components.roots(links(prints)).withColumnRenamed("node", "fingerprint")
-    rooted = prints.join(stars, "fingerprint", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "fingerprint"))
-    firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(firsts, "root").select("fingerprint", "component_id")
+    members = rooted(prints)
+    firsts = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    classes = members.join(firsts, "root").select("fingerprint", "component_id")
     return rows.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 

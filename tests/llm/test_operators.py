@@ -124,6 +124,26 @@ def test_near_copies_are_verified(spark, docs, empty):
     assert near_copies.deduplicate(empty).count() == 0
 
 
+def test_near_copies_are_first_looked_for_by_fingerprints(spark, monkeypatch):
+    """Every text is compared with the first of its component of fingerprints, as by brute force over all pairs of them."""
+    rows = [(seed * 10 + k, changed_words(seed, 1500, c)) for seed in range(6) for k, c in enumerate((0, 1, 3, 25))]
+    sets = [near_copies.shingles(t.encode()) for _, t in rows]
+    prints = [sum((sum(int(h) >> bit & 1 for h in s) * 2 > len(s)) << bit for bit in range(64)) for s in sets]
+    first = list(range(len(rows)))
+    for _ in rows:
+        for i, j in combinations(range(len(rows)), 2):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                first[i] = first[j] = min(first[i], first[j])
+    digest = [xxhash.xxh3_128_digest(s.tobytes(), near_copies.SEED) for s in sets]
+    want = sorted((digest[f], digest[i]) for i, f in enumerate(first) if digest[f] != digest[i])
+    compared, similar = [], near_copies._similar
+    record = lambda pairs: compared.append(sorted((bytes(r["a"]), bytes(r["b"])) for r in pairs.collect()))
+    monkeypatch.setattr(near_copies, "_similar", lambda pairs, sets: record(pairs) or similar(pairs, sets))
+    got = near_copies.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == [seed * 10 for seed in range(6)]
+    assert len(want) >= 6 and compared[0] == want
+
+
 def test_texts_that_share_a_long_passage_only_make_few_pairs(spark, monkeypatch):
     """500 texts of which three quarters are one passage: none goes, and their pairs are not compared one by one."""
     passage = some_text(1, 90)
