@@ -180,8 +180,16 @@ def _observed(df: DataFrame, name: str, measures: dict[str, Column]) -> tuple[Da
     return df.observe(seen, *[measure.alias(label) for label, measure in measures.items()]), seen
 
 
+def _tag(run: Run, state: State) -> dict[str, int]:
+    """Tag the raw rows and write them once; both the rejects and the accepted rows read this."""
+    tagged = cleaning.tag_rows(state.sales, state.options.spec)
+    observed, seen = _observed(tagged, "tagged", metrics.stage_counts(tagged.columns))
+    state.tagged = files.write_and_read(observed, run.path("staging/tagged"))
+    return dict(seen.get)
+
+
 def _ingestion(run: Run, state: State) -> dict[str, Any]:
-    """Tag the raw rows and write them once; both the rejects and the accepted rows read this.
+    """Tag the raw rows and profile them.
 
     Product lines that are marked where they are malformed are written as well, marks included.
     """
@@ -189,10 +197,7 @@ def _ingestion(run: Run, state: State) -> dict[str, Any]:
     if CORRUPT_COLUMN in state.products.columns:
         state.products = files.write_and_read(state.products, run.path(MARKED_PRODUCTS))
         state.saved["products"] = state.products.schema.json()
-    tagged = cleaning.tag_rows(state.sales, state.options.spec)
-    observed, seen = _observed(tagged, "tagged", metrics.stage_counts(tagged.columns))
-    state.tagged = files.write_and_read(observed, run.path("staging/tagged"))
-    checked = dict(seen.get)
+    checked = _tag(run, state)
     profile = metrics.data_profile(state.tagged, cleaning.sound_products(state.products))
     lines = {row["Metric"]: row["Value"] for row in profile.collect()}
     summary = files.few_rows(state.spark, list(lines.items()), "Metric string, Value bigint")
@@ -250,9 +255,15 @@ def _together(*steps: Callable[[], Any]) -> list[Any]:
         return [done.result() for done in [pool.submit(step) for step in steps]]
 
 
-def _write_rejects(run: Run, state: State) -> dict[str, int]:
+def _load_rejects(run: Run, state: State) -> dict[str, int]:
+    """Load the rejects."""
     rejected, counts = _rejected(run, state)
     state.loaded["ErrorLogging"] = run.refresh(rejected, "ErrorLogging")
+    return counts
+
+
+def _write_rejects(run: Run, state: State) -> dict[str, int]:
+    counts = _load_rejects(run, state)
     if state.options.export_csv:
         rows = _of_batch(run, state.loaded["ErrorLogging"]).withColumnRenamed("ErrorTimestamp", "RejectionTimestamp")
         files.write_csv(tables.rejection_rows(rows), run.path("rejected_records_csv"))
@@ -361,10 +372,9 @@ def _rates(run: Run, state: State) -> DataFrame:
     return rates
 
 
-def _enrichment(run: Run, state: State) -> dict[str, Any]:
-    """Enrich and write the cleaned rows in one pass, counting on the way."""
+def _load_sales(run: Run, state: State, rates: DataFrame) -> dict[str, int]:
+    """Enrich and load the cleaned rows in one pass, counting on the way."""
     options, spec = state.options, state.options.spec
-    rates = _rates(run, state)
     if options.convert_amounts:
         enrichment.check_amounts_fit(rates, max(abs(spec.amount_min), abs(spec.amount_max)))
     enriched = enrichment.enrich(
@@ -384,7 +394,11 @@ def _enrichment(run: Run, state: State) -> dict[str, Any]:
     if run.batch:
         keys = LoadedKeys(state.spark, _keys_folder(run, state.spark), spec.duplicate_keys)
         keys.add(_of_batch(run, sales.table), run.batch)
+    return counts
 
+
+def _enrichment(run: Run, state: State) -> dict[str, Any]:
+    options, counts = state.options, _load_sales(run, state, _rates(run, state))
     values = {
         "initial_records": state.saved["cleaned_rows"],
         **counts,
@@ -428,6 +442,45 @@ STAGES = (
 )
 
 
+class Parts:
+    """A run of which only those parts are written that are asked for, each once, by the steps of the whole run.
+
+    Who needs one table alone has no exports, profile or other tables made. The rejection rate stops it as it does a whole run.
+    """
+
+    NEEDS = {"tagged": (), "errors": ("tagged",), "cleaned": ("tagged",), "rates": (), "sales": ("cleaned", "rates")}
+
+    def __init__(self, sales: DataFrame, products: DataFrame, quotes: DataFrame, folder: str, options: Options) -> None:
+        self.run = Run(folder.rstrip("/"), options.database, options.tables, options.batch)
+        self.state = State(sales, products, quotes, options)
+        self.done: dict[str, Any] = {}
+
+    def need(self, *names: str) -> Run:
+        for name in names:
+            if name not in self.done:
+                self.need(*self.NEEDS[name])
+                self.done[name] = getattr(self, f"_{name}")()
+        return self.run
+
+    def _tagged(self) -> None:
+        files.check_inputs(self.state.sales, self.state.products)
+        checked = _tag(self.run, self.state)
+        limit = self.state.options.spec.max_rejection_rate
+        metrics.enforce_rejection_rate(checked["rejected_records"], checked["initial_records"], limit)
+
+    def _errors(self) -> dict[str, int]:
+        return _load_rejects(self.run, self.state)
+
+    def _cleaned(self) -> dict[str, int]:
+        return _write_cleaned(self.run, self.state)
+
+    def _rates(self) -> DataFrame:
+        return _rates(self.run, self.state)
+
+    def _sales(self) -> dict[str, int]:
+        return _load_sales(self.run, self.state, self.done["rates"])
+
+
 def _resumable(stage: str, step, take_up, run: Run, state: State, manifest: Manifest, fingerprint: str) -> dict[str, Any]:
     """A stage of a run that may be taken up again: not repeated if it is finished with this fingerprint."""
     found = manifest.saved(stage, fingerprint) if state.options.resume else None

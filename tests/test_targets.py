@@ -356,6 +356,30 @@ def test_session_copies_follow_the_tables(spark, tmp_path):
     assert [count(), count()] == [2, 2]
 
 
+def test_a_query_has_only_the_parts_written_that_it_reads(spark, sales, products, quotes, tmp_path, monkeypatch):
+    goods, rates = products(("A", "n", "c")), quotes(("EUR", "USD", "2", "API", datetime(2024, 1, 1)))
+    rows = sales({}, {"OrderID": "2", "Currency": "EUR"}, {"OrderID": "3"}, {"OrderID": "4", "Region": "no"})
+    options = pipeline.Options(RUN_TS, CleaningSpec(max_rejection_rate=0.5))
+    inputs = lambda *_: (rows, goods, rates, str(tmp_path / "parts"), options)
+    monkeypatch.setattr(registry, "run_inputs", inputs)
+    monkeypatch.setattr(registry.driver_tables, "rate_quotes", lambda *_: rates)
+    here = lambda: sorted(p.relative_to(tmp_path / "parts").as_posix() for p in (tmp_path / "parts").glob("*/*") if p.is_dir())
+    place = str(tmp_path / "none")
+    assert registry.convert_strict(spark, place).count() == 3 and here() == ["staging/tagged"]
+    sold = registry.loaded(spark, place, "SalesData")
+    assert {"SalesData/BatchID=full", "staging/cleaned", "staging/rates"} <= set(here())
+    assert not (tmp_path / "parts/ErrorLogging").exists() and not list((tmp_path / "parts").glob("*_csv"))
+    # The tables are those of a whole run, which queries then read if there is one.
+    whole = pipeline.run_pipeline(rows, goods, rates, str(tmp_path / "whole"), options)
+    for name in registry.ALL_TABLES:
+        got, want = registry.loaded(spark, place, name), whole.table(spark, name)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count()
+    assert sold.count() == 3
+    parts = pipeline.Parts(*inputs()[:3], str(tmp_path / "late"), pipeline.Options(RUN_TS, CleaningSpec(max_rejection_rate=0.1)))
+    with pytest.raises(Exception, match="(?i)reject"):
+        parts.need("tagged")
+
+
 def test_state_of_inputs(spark, tmp_path):
     spark.range(10).write.parquet(str(tmp_path / "t"))
     read = lambda: spark.read.parquet(str(tmp_path / "t"))
