@@ -133,9 +133,9 @@ class Run:
         """A target table, all batches."""
         return self.target.read(spark, name)
 
-    def refresh(self, df: DataFrame, name: str) -> DataFrame:
+    def refresh(self, df: DataFrame, name: str, one_month: bool = False) -> DataFrame:
         """Load a target table, in full or as the run's batch."""
-        return self.target.load(df, name, self.batch).table
+        return self.target.load(df, name, self.batch, one_month=one_month).table
 
     def record(self, stage: str, values: dict[str, Any]) -> None:
         self.lines += [(stage, name, float(value)) for name, value in values.items()]
@@ -256,9 +256,9 @@ def _together(*steps: Callable[[], Any]) -> list[Any]:
 
 
 def _load_rejects(run: Run, state: State) -> dict[str, int]:
-    """Load the rejects."""
+    """Load the rejects; all of a run bear the time of the run."""
     rejected, counts = _rejected(run, state)
-    state.loaded["ErrorLogging"] = run.refresh(rejected, "ErrorLogging")
+    state.loaded["ErrorLogging"] = run.refresh(rejected, "ErrorLogging", one_month=True)
     return counts
 
 

@@ -83,12 +83,13 @@ class FolderTarget:
         """Readers list the folder."""
 
     def load(
-        self, df: DataFrame, name: str, batch: str | None = None, measures: Mapping[str, Column] | None = None
+        self, df: DataFrame, name: str, batch: str | None = None, measures: Mapping[str, Column] | None = None, one_month: bool = False
     ) -> Loaded:
         """Replace the whole table, or with ``batch`` what that batch has loaded before, and no other.
 
         ``measures`` are aggregates over the rows of ``df``, which may have more columns than the table. They
-        are taken in the tasks that write, where a repeated task counts once.
+        are taken in the tasks that write, where a repeated task counts once. Rows that are all of ``one_month`` need
+        not be brought together.
         """
         spark, (month, moment) = df.sparkSession, MONTHS[name]
         self.prepare(spark, name, batch is None)
@@ -97,7 +98,8 @@ class FolderTarget:
         present = set(df.columns)
         stored = [(F.col(c) if c in present else F.lit(None)).cast(kind).alias(c) for c, kind in columns]
         others = [F.col(c) for c in df.columns if c not in wanted]
-        rows = df.select(*stored, *others, month_of(F.col(moment)).alias(month)).hint("rebalance", month)
+        rows = df.select(*stored, *others, month_of(F.col(moment)).alias(month))
+        rows = rows if one_month else rows.hint("rebalance", month)
         seen = Observation(f"load of {name}")
         measured = {ROWS: F.count(F.lit(1)), **(measures or {})}
         rows = rows.observe(seen, *[m.alias(label) for label, m in measured.items()]).select(*[c for c, _ in columns], month)

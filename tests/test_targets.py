@@ -380,6 +380,18 @@ def test_a_query_has_only_the_parts_written_that_it_reads(spark, sales, products
         parts.need("tagged")
 
 
+def test_rejects_of_one_run_are_not_brought_together_by_month(spark, sales, products, quotes, tmp_path, monkeypatch):
+    hints, hint = [], type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda self, name, *by: hints.append((name, by)) or hint(self, name, *by))
+    rows = sales({}, *[{"OrderID": str(i), "Region": "no"} for i in range(9)])
+    options = pipeline.Options(RUN_TS, CleaningSpec(max_rejection_rate=1.0))
+    run = pipeline.Parts(rows, products(("A", "n", "c")), quotes(), str(tmp_path), options).need("errors")
+    assert hints == []
+    errors = run.table(spark, "ErrorLogging")
+    assert sorted(r["ErrorID"] for r in errors.collect()) == list(range(1, 10))
+    assert [r[0] for r in errors.select("ErrorMonth").distinct().collect()] == [RUN_TS.date().replace(day=1)]
+
+
 def test_state_of_inputs(spark, tmp_path):
     spark.range(10).write.parquet(str(tmp_path / "t"))
     read = lambda: spark.read.parquet(str(tmp_path / "t"))
