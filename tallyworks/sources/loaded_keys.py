@@ -2,6 +2,7 @@
 
 The keys lie in a fixed number of buckets by key. To leave out rows that are loaded already, only the batch is
 shuffled, into as many parts as there are buckets; the loaded keys are read where they lie, however many there are.
+The number of buckets is to follow the rows, as a task sorts a bucket.
 """
 
 from __future__ import annotations
@@ -34,10 +35,20 @@ class LoadedKeys:
 
     def new_rows(self, df: DataFrame, batch: str) -> DataFrame:
         """The rows whose key no other batch has loaded; what the batch itself has loaded will be replaced."""
+        others = [p.partition for p in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect() if p.partition.split("=", 1)[1] != batch]
+        if not others:
+            return df
         loaded = other_batches(self.spark.table(self.table), batch).select(*self.keys)
         # Merged by key: the loaded side may be of any size, and is read in its buckets.
         return df.join(loaded.hint("merge"), list(self.keys), "left_anti").select(*df.columns)
 
+    def in_buckets(self, df: DataFrame, folder: str) -> DataFrame:
+        """The rows from files in the buckets of the keys: to leave out loaded ones among them moves no row, however often."""
+        table = f"rows_{hashlib.sha256(folder.encode()).hexdigest()[:16]}"
+        rows = df.repartition(self.buckets, *self.keys).write.mode("overwrite").bucketBy(self.buckets, *self.keys)
+        rows.option("path", folder).saveAsTable(table)
+        return self.spark.table(table)
+
     def add(self, df: DataFrame, batch: str) -> None:
         """Note the keys of a batch in the place of those it had; a bucket of a batch is one file."""
         rows = df.select(*self.keys).repartition(self.buckets, *self.keys)

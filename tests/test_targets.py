@@ -392,6 +392,20 @@ def test_rejects_of_one_run_are_not_brought_together_by_month(spark, sales, prod
     assert [r[0] for r in errors.select("ErrorMonth").distinct().collect()] == [RUN_TS.date().replace(day=1)]
 
 
+def test_rows_in_the_buckets_of_the_keys_are_not_shuffled(spark, sales, tmp_path):
+    keys = LoadedKeys(spark, str(tmp_path / "keys"), buckets=8)
+    rows = sales(*[{"OrderID": str(i), "ProductID": "A"} for i in range(60)], {"OrderID": None}, {"OrderID": "1", "ProductID": None})
+    lying = keys.in_buckets(rows, str(tmp_path / "rows"))
+    # No other batch has keys: nothing is joined.
+    assert "Join" not in plan(keys.new_rows(lying, "b1")) and keys.new_rows(lying, "b1").count() == 62
+    keys.add(lying.filter("OrderID < '3'"), "b1")
+    assert "Join" not in plan(keys.new_rows(lying, "b1"))
+    new = keys.new_rows(lying, "b2")
+    assert "Exchange" not in plan(new) and "SortMergeJoin" in plan(new)
+    want = [r for r in rows.collect() if r["OrderID"] is None or r["ProductID"] is None or not r["OrderID"] < "3"]
+    assert sorted(map(str, new.collect())) == sorted(map(str, want)) and new.columns == rows.columns
+
+
 def test_state_of_inputs(spark, tmp_path):
     spark.range(10).write.parquet(str(tmp_path / "t"))
     read = lambda: spark.read.parquet(str(tmp_path / "t"))
