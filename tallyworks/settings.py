@@ -24,6 +24,21 @@ def applied(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def bounded_settings(input_bytes: int, cores: int, partition_bytes: int = 16 * MEGABYTE, scan_bytes: int = 8 * MEGABYTE) -> dict[str, str]:
+    """Settings under which no task sorts more than fits into a small share of an executor, whatever the size of the input.
+
+    Rows that lie in a megabyte of a file or shuffle take many times as much while they are sorted. The parts of a shuffle
+    follow the input alone; Spark merges small ones up to ``partition_bytes`` and splits skewed ones.
+    """
+    return {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
+        "spark.sql.shuffle.partitions": str(max(cores, math.ceil(4 * input_bytes / partition_bytes))),
+    }
+
+
 def session_settings(
     input_bytes: int, cores: int, partition_bytes: int = 128 * MEGABYTE, scan_bytes: int = 128 * MEGABYTE
 ) -> dict[str, str]:

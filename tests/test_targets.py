@@ -10,6 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tallyworks import settings
 from tallyworks.operators import enrich as E
 from tallyworks.operators import ids, profile
 from tallyworks.operators import metrics as M
@@ -406,6 +407,19 @@ def test_rows_in_the_buckets_of_the_keys_are_not_shuffled(spark, sales, tmp_path
     assert sorted(map(str, new.collect())) == sorted(map(str, want)) and new.columns == rows.columns
 
 
+def test_tables_are_derived_in_parts_that_do_not_grow(spark, tmp_path, monkeypatch):
+    small, large = (settings.bounded_settings(size * settings.MEGABYTE, 4) for size in (100, 6000))
+    parts = "spark.sql.shuffle.partitions"
+    assert int(large[parts]) == 60 * int(small[parts]) and {**large, parts: ""} == {**small, parts: ""}
+    seen, before = [], {name: spark.conf.get(name, None) for name in small}
+    rows = spark.createDataFrame([], ", ".join(f"{c} string" for c in SALES_COLUMNS))
+    derive = lambda *_: seen.append({name: spark.conf.get(name) for name in small}) or rows
+    monkeypatch.setattr(registry.driver_tables, "raw_sales", derive)
+    registry.raw(spark, str(tmp_path / "none"))
+    assert seen == [settings.bounded_settings(0, spark.sparkContext.defaultParallelism)]
+    assert {name: spark.conf.get(name, None) for name in small} == before
+
+
 def test_state_of_inputs(spark, tmp_path):
     spark.range(10).write.parquet(str(tmp_path / "t"))
     read = lambda: spark.read.parquet(str(tmp_path / "t"))
