@@ -61,12 +61,17 @@ SUSPICIOUS = re.compile(
 )
 APART = re.compile(r"(?:[^\w@$!+]|_)+")
 WORD = re.compile(r"[^\W\d_]+")
+# The classes of characters in SUSPICIOUS, as bits.
+LETTER, SIGN, JOINT, INNER = 1, 2, 4, 8
+CLASSES = {LETTER: r"[^\W\d_]", SIGN: r"[01345789@$!+|*]", JOINT: r"[._~*-]", INNER: r"[^\W_]"}
+# Letters are counted when a task has so many codes.
+COUNTED = 1_000_000
 
 
 @lru_cache(maxsize=1)
 def _slots() -> np.ndarray:
     """The symbol of each code point: 0 for what is no letter, 1 to 26 for a to z with or without accent."""
-    slots = np.zeros(0x110000, np.int64)
+    slots = np.zeros(0x110000, np.int8)
     for point in range(0x110000):
         if chr(point).isalpha():
             base = unicodedata.normalize("NFKD", chr(point).lower())[0] if point < 0x250 else ""
@@ -77,20 +82,53 @@ def _slots() -> np.ndarray:
 def symbols(text: str) -> np.ndarray:
     """A text as symbols, with one space for each run of other characters and at both ends."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    found = np.concatenate(([0], _slots()[points], [0]))
-    return found[(found > 0) | np.r_[True, found[:-1] > 0]]
+    found = np.zeros(len(points) + 2, np.int32)
+    found[1:-1] = _slots()[points]
+    return found[(found > 0) | np.concatenate(([True], found[:-1] > 0))]
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """The classes of each code point."""
+    classes, points = np.zeros(0x110000, np.uint8), "".join(map(chr, range(0x110000)))
+    for bit, pattern in CLASSES.items():
+        for run in re.finditer(f"{pattern}+", points):
+            classes[run.start() : run.end()] |= bit
+    return classes
+
+
+def starts(text: str) -> list[int]:
+    """Where SUSPICIOUS may match, by the first characters of its branches; all its matches begin at one of these places."""
+    n, points = len(text), np.frombuffer(f" {text}    ".encode("utf-32-le", "surrogatepass"), "<u4")
+    classes = _classes()[points]
+    letter, sign, joint, inner = (classes & bit > 0 for bit in CLASSES)
+    single = letter | sign
+    single[1:-1] &= ~(inner[:-2] | inner[2:])
+    ahead = lambda found, by: found[1 + by : 1 + by + n]
+    twice = letter[:-1] & (points[:-1] == points[1:])
+    joined = letter[:-2] & joint[1:-1] & letter[2:]
+    found = ahead(letter, 0) & ahead(sign, 1) | ahead(sign, 0) & ahead(letter, 1)
+    found |= ahead(twice, 0) & ahead(twice, 1) | ahead(joined, 0) & ahead(joined, 2)
+    found |= ahead(single, 0) & (ahead(single, 2) | ahead(single, 3) | ahead(single, 4))
+    return np.flatnonzero(found).tolist()
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(SYMBOLS**ORDER, np.int64)
+    total, codes, held = np.zeros(SYMBOLS**ORDER, np.int64), [], 0
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            s = np.concatenate(([0] * (ORDER - 2), symbols(text or "")))
+            s = np.concatenate((np.zeros(ORDER - 2, np.int32), symbols(text or "")))
             if len(s) >= ORDER:
-                code = sum(s[i : len(s) - ORDER + 1 + i] * SYMBOLS ** (ORDER - 1 - i) for i in range(ORDER))
-                total += np.bincount(code, minlength=SYMBOLS**ORDER) if len(code) > 50_000 else 0
-                if len(code) <= 50_000:
-                    np.add.at(total, code, 1)
+                code = s
+                for i in range(1, ORDER):
+                    code = code[:-1] * SYMBOLS + s[i:]
+                codes.append(code)
+                held += len(code)
+            if held > COUNTED:
+                total += np.bincount(np.concatenate(codes), minlength=SYMBOLS**ORDER)
+                codes, held = [], 0
+    if codes:
+        total += np.bincount(np.concatenate(codes), minlength=SYMBOLS**ORDER)
     code = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(total[code])], ["code", "n"])
 
@@ -173,7 +211,10 @@ class Restorer:
     def __call__(self, text: str | None) -> str:
         text = (text or "").lower()
         parts, done = [], 0
-        while hit := SUSPICIOUS.search(text, done):
+        for at in starts(text):
+            hit = SUSPICIOUS.match(text, at) if at >= done else None
+            if not hit:
+                continue
             start, stop = hit.span()
             apart = hit["apart"] is not None
             if apart and sum(map(str.isalpha, hit["apart"])) < 2:

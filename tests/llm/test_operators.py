@@ -5,9 +5,11 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -357,6 +359,33 @@ def test_toxicity_takes_common_disguises(spark):
     assert [t for i, t in enumerate(plain) if got[2000 + i] >= 0.5] == []
 
 
+def test_suspicious_tokens_are_sought_only_where_they_may_start():
+    pieces = ["stupid", "1d10t", "i d i o t", "a.b.c", "sooo", "3 4 5", "é!", "²a", "_x_", "*", "\n", "x y", "ab", " - "]
+    drawn = random.Random(7)
+    texts = ["".join(drawn.choice(pieces) + drawn.choice(["", " "]) for _ in range(drawn.randint(0, 12))) for _ in range(500)]
+    for text in texts:
+        places, done, hit = toxicity.starts(text), 0, None
+        while hit := toxicity.SUSPICIOUS.search(text, done):
+            assert hit.start() in places
+            done = hit.start() + 1
+    assert any(toxicity.SUSPICIOUS.search(t) for t in texts) and toxicity.starts("") == []
+    assert toxicity.starts("plain words, 12 of them, a word (or two) at noon.") == []
+
+
+@pytest.mark.parametrize("held", [0, 40, 1_000_000])
+def test_letters_are_counted_across_texts(monkeypatch, held):
+    monkeypatch.setattr(toxicity, "COUNTED", held)
+    texts = [some_text(i, 9) for i in range(20)] + [None, "", "a", "É 1 b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    expected = Counter()
+    for text in texts:
+        found = [0, 0, *toxicity.symbols(text or "").tolist()]
+        expected.update(tuple(found[i : i + 4]) for i in range(len(found) - 3))
+    (got,) = toxicity._grams(iter([batch]))
+    got = dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
+    assert got == {np.ravel_multi_index(k, [toxicity.SYMBOLS] * 4): n for k, n in expected.items()}
+
+
 def test_ordinal_quality(spark, empty):
     rows = [(i, some_text(i) if i % 3 else "%%% ### " * 20 + some_text(i, 5)) for i in range(90)]
     docs = spark.createDataFrame([*rows, (900, None), (901, "")], "doc_id long, text string")
