@@ -34,7 +34,8 @@ SHARE = 0.8
 EVIDENCE = 5
 # Hashes of test items are broadcast up to so many rows (24 bytes each); beyond, places are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# What parts words: white space and ASCII punctuation.
+BETWEEN = r"[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
 
 
 def masks_for(length: int) -> tuple[str, ...]:
@@ -49,26 +50,32 @@ def masks_for(length: int) -> tuple[str, ...]:
 
 
 def _hashed(rows: DataFrame, key: str) -> DataFrame:
-    """(key, h): the hashes of the words of each text."""
-    plain = F.translate(F.lower(F.coalesce("text", F.lit(""))), PUNCTUATION, " " * len(PUNCTUATION))
-    hashes = F.transform(common.words(plain), lambda w: F.xxhash64(w))
-    return rows.select(F.col(key).alias("key"), hashes.alias("h")).filter(F.size("h") > 0)
+    """(key, h): the hashes of the words of each text, of which there may be none."""
+    parts = F.split(F.lower(F.coalesce("text", F.lit(""))), BETWEEN)
+    hashes = F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
+    return rows.select(F.col(key).alias("key"), hashes.alias("h"))
 
 
 def _seeds(rows: DataFrame, masks: tuple[str, ...], *carried: str) -> DataFrame:
-    """One row for each window and mask: its hash and its place, beside the carried columns."""
+    """One row for each window and mask: its hash and its place, beside the carried columns.
+
+    The windows are exploded as numbers and hashed in rows of their own, which Spark compiles; a lambda over them it would
+    interpret. The frame is not filtered by its number of words, as the planner would then split the texts once
+    for the filter and again for the rows: a text that is too short leaves one row without a number.
+    """
     span, count = len(masks[0]), len(masks)
-    rows = rows.filter(F.size("h") >= span)
+    windows = (F.size("h") - (span - 1)) * count
+    numbers = F.when(windows > 0, F.sequence(F.lit(0), windows - 1))
+    found = rows.select("*", F.explode_outer(numbers).alias("n")).filter("n is not null")
+    place, mask = F.expr(f"n div {count}").cast("int"), F.col("n") % count
 
-    def seed(i: Column, number: int) -> Column:
-        chosen = [F.get("h", i + j) for j, bit in enumerate(masks[number]) if bit == "1"]
-        return F.xxhash64(F.lit(number), *chosen)
+    def hashed(number: int) -> Column:
+        return F.xxhash64(F.lit(number), *[F.get("h", place + j) for j, bit in enumerate(masks[number]) if bit == "1"])
 
-    windows = F.sequence(F.lit(0), F.size("h") - span)
-    seeds = F.flatten(F.transform(windows, lambda i: F.array(*[seed(i, m) for m in range(count)])))
-    # The outer form keeps the planner from computing the seeds twice, to filter first.
-    found = rows.select(*carried, F.posexplode_outer(seeds).alias("n", "seed"))
-    return found.select(*carried, "seed", F.expr(f"n div {count}").cast("int").alias("place"))
+    seed = hashed(count - 1)
+    for number in range(count - 1):
+        seed = F.when(mask == number, hashed(number)).otherwise(seed)
+    return found.select(*carried, seed.alias("seed"), place.alias("place"))
 
 
 def _hits(words: DataFrame, seeds: DataFrame, masks: tuple[str, ...]) -> DataFrame:
@@ -93,7 +100,8 @@ def overlaps(docs: DataFrame, tests: DataFrame) -> DataFrame:
     ``doc_word`` and ``item_word`` are the first words laid side by side, ``compared`` of which
     ``agreeing`` are the same.
     """
-    items = common.written(_hashed(tests, "item_id").withColumnRenamed("key", "item_id").distinct(), "items")
+    items = _hashed(tests, "item_id").withColumnRenamed("key", "item_id").filter(F.size("h") > 0)
+    items = common.written(items.distinct(), "items")
     sized = items.withColumn("item_size", F.size("h"))
     hits = None
     # At most as many rows as a stretch has words.

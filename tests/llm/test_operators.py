@@ -405,6 +405,33 @@ def test_masks_tolerate_two_exchanged_words():
         assert any(all(not (0 <= c - at < span and m[c - at] == "1") for c in changed) for m in decontaminate.MASKS for at in starts)
 
 
+@pytest.mark.parametrize("length", [1, 4, 12, 13])
+def test_seeds_are_hashed_once_for_each_window_and_mask(spark, length):
+    masks = decontaminate.masks_for(length)
+    span = len(masks[0])
+    every = "".join(map(chr, range(1, 0x180)))
+    texts = ["a B a b " * 9, "x " * span, "x " * (span - 1), some_text(3), "a".join(every), every, "  ", "", None, "...", "x.y, (z) " * 9]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seeds = decontaminate._seeds(decontaminate._hashed(rows, "doc_id"), masks, "key")
+    # The texts are split by one step, and no lambda walks over the windows.
+    plan = seeds._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1 and "transform(sequence(" not in plan
+    got, expected = Counter(), Counter()
+    for key, text in enumerate(texts):
+        words = [w for w in re.split(r"[\x09-\x0D !-/:-@\[-`{-~]+", (text or "").lower()) if w]
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+        for place in range(len(words) - span + 1):
+            for number, mask in enumerate(masks):
+                # Spark hashes columns in turn, each with the hash before it as seed.
+                h = xxhash.xxh64_intdigest(number.to_bytes(4, "little"), 42)
+                for j, bit in enumerate(mask):
+                    h = xxhash.xxh64_intdigest(hashes[place + j].to_bytes(8, "little"), h) if bit == "1" else h
+                expected[key, place, h - (h >> 63 << 64)] += 1
+    for r in seeds.collect():
+        got[r["key"], r["place"], r["seed"]] += 1
+    assert got == expected
+
+
 @pytest.mark.parametrize("length", range(1, decontaminate.STRETCH))
 def test_short_masks_tolerate_all_allowed_exchanges(length):
     allowed = length - math.ceil(decontaminate.SHARE * length)
