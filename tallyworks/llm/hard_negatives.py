@@ -12,8 +12,9 @@ The bounds come from an exact search of a small sample of the rows (``SAMPLE``):
 rows is never above that of all. The sample gives bounds only; every row is searched.
 
 Anchors go in blocks against the buckets: both are of bounded size, whatever the table, and a block or bucket is
-found by hash or by rank, so that equal vectors or labels put no load on one task. Of each block and
-bucket at most k rows an anchor (and positive) leave the task.
+found by hash or by rank, so that equal vectors or labels put no load on one task. A task holds a bounded number of
+buckets and reads the blocks one after the other; neither goes through the driver. Of each block at most k rows an
+anchor (and positive) leave the task.
 
 Odd cases: rows with a null label, null vector or any null or non-finite component take no part. A null
 vec_id is never an anchor, and comes last among equal scores. Equal vec_ids are rows of their own: all
@@ -23,7 +24,9 @@ gives an empty result; columns of other names are ignored. Scores that do not fi
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -39,6 +42,10 @@ BUCKET_CELLS = 1 << 18
 BLOCK = 256
 SAMPLE = 4096
 FOCUS = 5
+# Buckets that a task holds, on average at most; tasks among which fewer are dealt out; blocks that meet the sample in one task.
+HELD = 32
+PARTS = 64
+SAMPLE_BLOCKS = 16
 # Stands for a null vec_id while rows are ordered.
 NO_ID = (1 << 63) - 1
 # Sums of products below this are exact in double precision.
@@ -76,12 +83,15 @@ class Bucket:
         return cls(ids, rows, labels, vectors, orders, row["shortest"], row["longest"])
 
     @cached_property
-    def units(self) -> np.ndarray:
-        return unit(self.vectors)
+    def lengths(self) -> np.ndarray:
+        return np.sqrt((self.vectors * self.vectors).sum(1))
 
     def sorted_list(self, coordinate: int) -> np.ndarray:
+        """That coordinate of the unit vectors, as in ``unit``, in order."""
         if coordinate not in self._sorted:
-            self._sorted[coordinate] = self.units[self.orders[coordinate], coordinate]
+            order = self.orders[coordinate]
+            values, lengths = self.vectors[order, coordinate], self.lengths[order]
+            self._sorted[coordinate] = np.divide(values, lengths, out=np.zeros_like(values), where=lengths > 0)
         return self._sorted[coordinate]
 
     def candidates(self, anchor: np.ndarray, bound: int | None) -> np.ndarray:
@@ -101,7 +111,7 @@ class Bucket:
         angle = math.acos(cosine) + 1e-7
         direction = anchor / length
         focus = np.argsort(-np.abs(direction), kind="stable")[:FOCUS]
-        met = np.zeros(len(self.ids), np.uint8)
+        met = np.ones(len(self.ids), bool)
         for f in focus.tolist():
             own = math.acos(min(1.0, max(-1.0, direction[f])))
             low, high = math.cos(min(math.pi, own + angle)) - 1e-9, math.cos(max(0.0, own - angle)) + 1e-9
@@ -109,13 +119,20 @@ class Bucket:
             start, stop = np.searchsorted(values, low, "left"), np.searchsorted(values, high, "right")
             if start >= stop:
                 return everyone[:0]
-            met[self.orders[f, start:stop]] += 1
-        return np.flatnonzero(met == len(focus))
+            if 2 * (stop - start) > len(values):
+                met[self.orders[f, :start]] = met[self.orders[f, stop:]] = False
+            else:
+                inside = np.zeros(len(values), bool)
+                inside[self.orders[f, start:stop]] = True
+                met &= inside
+        return np.flatnonzero(met)
 
     def scores(self, anchor: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Exact inner products with the members at these positions."""
         if float(np.sqrt((anchor * anchor).sum())) * self.longest < EXACT:
-            return (self.vectors[at] @ anchor).astype(np.int64)
+            # To pick out many vectors takes longer than to multiply them all.
+            products = (self.vectors @ anchor)[at] if 8 * len(at) > len(self.ids) else self.vectors[at] @ anchor
+            return products.astype(np.int64)
         whole = [int(x) for x in anchor]
         return np.array([sum(x * int(y) for x, y in zip(whole, v)) for v in self.vectors[at]], dtype=object)
 
@@ -207,7 +224,19 @@ def _search_block(bucket: Bucket, anchors: list[dict], width: int, k: int, least
 def _cut(scores: np.ndarray, fits: np.ndarray, k: int) -> np.ndarray:
     """Those that reach the k-th best score, ties included."""
     values = scores[fits]
-    return fits[values >= np.sort(values)[-k]]
+    return fits[values >= np.partition(values, len(values) - k)[-k]]
+
+
+def _least_of(found: list[tuple], k: int) -> list[tuple]:
+    """Of what anchors find in several buckets, the k best of each anchor and positive: highest score, then smallest id, then row."""
+    groups = defaultdict(list)
+    for x in found:
+        groups[x[0], x[2]].append(x)
+    return [x for group in groups.values() for x in heapq.nsmallest(k, group, key=lambda x: (-x[7], x[6], x[5]))]
+
+
+def _in_every(parts: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
 
 
 def _search(
@@ -215,28 +244,47 @@ def _search(
 ) -> DataFrame:
     """Each anchor's best in all buckets. ``anchors``: row, id, label, components, length, bound, positives.
 
-    Without ``parts`` the buckets are those of the sample, whose size is fixed, and go to every block of anchors.
+    The buckets are dealt out in ``parts``, and every block of anchors is sent to each part. Without ``parts`` the buckets
+    are those of the sample, whose size is fixed: the blocks are dealt out, and the sample is sent to them. Both are rows
+    of one shuffle, not sides of a join, whose planner would take anchors for a small table before they are multiplied.
     """
     count = anchors.count()
     needed = F.when(F.col("bound") > 0, F.try_divide(F.col("bound").cast("double"), F.col("length"))).otherwise(-1.0)
     each = F.struct("row", "id", "label", "components", "bound", "positives")
-    block = F.pmod(F.xxhash64("row"), F.lit(max(1, math.ceil(count / BLOCK)))).alias("block")
+    n_blocks = max(1, math.ceil(count / BLOCK))
+    block = F.pmod(F.xxhash64("row"), F.lit(n_blocks)).alias("block")
     blocks = anchors.groupBy(block).agg(F.collect_list(each).alias("anchors"), F.min(F.coalesce(needed, F.lit(-1.0))).alias("needed"))
-    # Every block meets every bucket, unless the bucket's vectors are too short for all its anchors.
-    blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((parts or 1) - 1))))
-    dealt = buckets.withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(parts or 1)).cast("int"))
-    dealt = dealt if parts else F.broadcast(dealt)
-    met = dealt.join(blocks, (dealt["part"] == blocks["part"]) & (dealt["longest"] * (1 + 1e-9) >= blocks["needed"]))
+    if parts:
+        blocks = blocks.withColumn("part", _in_every(parts))
+        dealt = buckets.withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(parts)).cast("int"))
+    else:
+        parts = math.ceil(n_blocks / SAMPLE_BLOCKS)
+        blocks = blocks.withColumn("part", F.pmod("block", F.lit(parts)).cast("int"))
+        dealt = buckets.withColumn("part", _in_every(parts))
+    both = dealt.unionByName(blocks.drop("block"), allowMissingColumns=True)
+    # Within a task the buckets come first.
+    met = both.repartitionById(parts, "part").sortWithinPartitions("part", F.col("anchors").isNotNull())
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                found = list(_search_block(Bucket.read(row), row["anchors"], width, k, least_percent))
-                columns = [pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * len(FOUND_ARROW)
-                yield pa.RecordBatch.from_arrays(columns, schema=FOUND_ARROW)
-
-    found = met.select(dealt["*"], "anchors").drop("part").mapInArrow(find, FOUND_SCHEMA)
+                if row["part"] != part:
+                    part, held = row["part"], []
+                if row["anchors"] is None:
+                    held.append(Bucket.read(row))
+                    continue
+                found = []
+                for bucket in held:
+                    # The bucket's vectors can be too short for all anchors of the block.
+                    if bucket.longest * (1 + 1e-9) >= row["needed"]:
+                        found += _search_block(bucket, row["anchors"], width, k, least_percent)
+                if found:
+                    columns = [pa.array(c, pa.int64()) for c in zip(*_least_of(found, k))]
+                    yield pa.RecordBatch.from_arrays(columns, schema=FOUND_ARROW)
+
+    found = met.mapInArrow(find, FOUND_SCHEMA)
     order = [F.col("score").desc(), F.col("other_id"), F.col("other")]
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("anchor", "positive").orderBy(*order)))
     return ranked.filter(F.col("rank") <= k)
@@ -246,14 +294,14 @@ def _with_bounds(anchors: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
     """Anchors with the score of their k-th best in the sample, where there are so many."""
     bound = F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound")
     known = seeds.groupBy(F.col("anchor").alias("row")).agg(bound)
-    return anchors.drop("bound").join(known, "row", "left")
+    return anchors.drop("bound").join(known.hint("merge"), "row", "left")
 
 
 def _with_positives(anchors: DataFrame, positives: DataFrame) -> DataFrame:
     """Anchors with their positives, at most k; those without any are left out."""
     each = F.collect_list(F.struct(F.col("other").alias("row"), F.col("other_id").alias("id"), "score"))
     lists = positives.groupBy(F.col("anchor").alias("row")).agg(each.cast(WANTED).alias("positives"))
-    return anchors.drop("positives").join(lists, "row")
+    return anchors.drop("positives").join(lists.hint("merge"), "row")
 
 
 def _just_below(score: Column, percent: int) -> Column:
@@ -285,7 +333,7 @@ def mine(vectors: DataFrame, k: int = 5, least_percent: int = 80) -> DataFrame:
     count, width = total["rows"], max(1, total["width"] or 0)
     buckets = common.written(_buckets(rows, count, width), "buckets")
     n_buckets = max(1, math.ceil(count * width / BUCKET_CELLS))
-    parts = max(min(n_buckets, 256), math.ceil(n_buckets / 64))
+    parts = max(min(n_buckets, PARTS), math.ceil(n_buckets / HELD))
     every = max(1, math.ceil(count / SAMPLE))
     sample = rows.filter(F.pmod(F.xxhash64("row"), F.lit(every)) == 0)
     sample = common.written(_buckets(sample, min(count, SAMPLE), width), "sample")
@@ -303,7 +351,7 @@ def mine(vectors: DataFrame, k: int = 5, least_percent: int = 80) -> DataFrame:
     # The bound of an anchor is the least over its positives; one with fewer than k in the sample keeps its own.
     reached = seeds.groupBy(F.col("anchor").alias("row"), "positive").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
     reached = reached.filter(F.col("n") >= k).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("positive", "least"))).alias("least"))
-    searching = searching.join(reached, "row", "left")
+    searching = searching.join(reached.hint("merge"), "row", "left")
     own = F.transform(
         F.filter("positives", lambda p: p["score"] >= 0),
         lambda p: F.coalesce(F.try_element_at("least", p["row"]), _just_below(p["score"], least_percent)),

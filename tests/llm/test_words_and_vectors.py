@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyworks.llm import hard_negatives, spelling, word_bpe
+from tallyworks.llm import common, hard_negatives, spelling, word_bpe
 
 NAMES = ("value", "n", "key", "words", "rank", "row", "label", "block", "place", "id")
 
@@ -174,6 +174,30 @@ def test_hard_negatives_odd_rows(spark):
     assert not mined(spark, rows[:0]) and not mined(spark, none)
 
 
+def test_hard_negatives_go_past_the_driver(spark, monkeypatch):
+    """Tasks that hold several buckets, and several that hold the sample; no table is broadcast."""
+    for name, value in {"BUCKET_CELLS": 8 * 16, "SAMPLE": 64, "BLOCK": 7, "SAMPLE_BLOCKS": 1, "PARTS": 3, "HELD": 16}.items():
+        monkeypatch.setattr(hard_negatives, name, value, raising=False)
+    plans, written = [], common.written
+
+    def recorded(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, purpose)
+
+    monkeypatch.setattr(common, "written", recorded)
+    rows = vectors(3)
+    found = hard_negatives.mine(spark.createDataFrame(rows, "vec_id long, label int, components array<double>, anchor boolean"))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert Counter(map(tuple, found.collect())) == expected_negatives(rows)
+    assert len(plans) == 7 and not any("Broadcast" in plan for plan in plans)
+
+
+def test_least_of_several_buckets():
+    ties = [(1, 10, 2, 20, 9, other, other_id, score) for other, other_id, score in [(7, 70, 5), (5, 50, 6), (4, 70, 5), (3, 71, 5), (9, 60, 5)]]
+    alone = (1, 10, 3, 30, 9, 7, 70, 1)
+    assert hard_negatives._least_of([*ties, alone], 3) == [ties[1], ties[4], ties[2], alone]
+
+
 def test_coordinate_lists_lose_no_candidate():
     r = np.random.default_rng(5)
     v = np.floor(r.normal(size=(300, 6)) * 50 * r.uniform(0.1, 3, (300, 1)))
