@@ -12,9 +12,9 @@ The bounds come from an exact search of a small sample of the rows (``SAMPLE``):
 rows is never above that of all. The sample gives bounds only; every row is searched.
 
 Anchors go in blocks against the buckets: both are of bounded size, whatever the table, and a block or bucket is
-found by hash or by rank, so that equal vectors or labels put no load on one task. A task holds a bounded number of
-buckets and reads the blocks one after the other; neither goes through the driver. Of each block at most k rows an
-anchor (and positive) leave the task.
+found by hash or by rank, so that equal vectors or labels put no load on one task. Components that fit two bytes take no
+more on the way. A task holds a bounded number of buckets and reads the blocks one after the other; neither goes through
+the driver. Of each block at most k rows an anchor (and positive) leave the task.
 
 Odd cases: rows with a null label, null vector or any null or non-finite component take no part. A null
 vec_id is never an anchor, and comes last among equal scores. Equal vec_ids are rows of their own: all
@@ -78,8 +78,9 @@ class Bucket:
     @classmethod
     def read(cls, row: dict) -> Bucket:
         ids, rows, labels = [np.frombuffer(row[c], "<i8") for c in ("ids", "rows", "labels")]
-        vectors = np.frombuffer(row["vectors"], "<f8").reshape(len(ids), row["width"])
-        orders = np.frombuffer(row["orders"], "<u4").reshape(row["width"], len(ids))
+        cells = len(ids) * row["width"]
+        vectors = np.frombuffer(row["vectors"], "<i2" if len(row["vectors"]) == 2 * cells else "<f8").astype(float).reshape(len(ids), -1)
+        orders = np.frombuffer(row["orders"], "<u2" if len(row["orders"]) == 2 * cells else "<u4").reshape(-1, len(ids))
         return cls(ids, rows, labels, vectors, orders, row["shortest"], row["longest"])
 
     @cached_property
@@ -143,6 +144,11 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, lengths, out=np.zeros_like(vectors), where=lengths > 0)
 
 
+def _narrow(components: Column) -> Column:
+    """Whether all are whole numbers of two bytes."""
+    return F.forall(components, lambda x: F.coalesce(x == x.try_cast("smallint").cast("double"), F.lit(False)))
+
+
 def _padded(lists: list[list[float]], width: int) -> np.ndarray:
     table = np.zeros((len(lists), width))
     for i, values in enumerate(lists):
@@ -160,10 +166,11 @@ def _buckets(rows: DataFrame, count: int, width: int) -> DataFrame:
         def bucket(members: list[dict]) -> dict:
             vectors = _padded([m["components"] for m in members], width)
             lengths = np.sqrt((vectors * vectors).sum(1))
-            orders = np.argsort(unit(vectors), axis=0, kind="stable").T
+            orders = np.argsort(unit(vectors), axis=0, kind="stable").T.astype("<u2" if len(members) <= 1 << 16 else "<u4")
+            small = (np.abs(vectors) < 1 << 15).all() and (vectors == np.floor(vectors)).all()
             numbers = {name: np.array([m[c] for m in members], "<i8").tobytes() for name, c in (("rows", "row"), ("ids", "id"), ("labels", "label"))}
             ends = {"shortest": float(lengths.min()), "longest": float(lengths.max())}
-            kept = {"vectors": vectors.astype("<f8").tobytes(), "orders": np.ascontiguousarray(orders, "<u4").tobytes()}
+            kept = {"vectors": vectors.astype("<i2" if small else "<f8").tobytes(), "orders": orders.tobytes("C")}
             return {"bucket": members[0]["row"], "width": width, **ends, **numbers, **kept}
 
         def send(members: list[dict]) -> pa.RecordBatch:
@@ -329,8 +336,11 @@ def mine(vectors: DataFrame, k: int = 5, least_percent: int = 80) -> DataFrame:
         F.sqrt(square).alias("length"),
     )
     rows = common.written(rows, "vectors")
-    total = rows.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("components")).alias("width")).first()
+    narrow = F.bool_and(_narrow(F.col("components"))).alias("narrow")
+    total = rows.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("components")).alias("width"), narrow).first()
     count, width = total["rows"], max(1, total["width"] or 0)
+    if total["narrow"]:
+        rows = rows.withColumn("components", F.col("components").cast("array<smallint>"))
     buckets = common.written(_buckets(rows, count, width), "buckets")
     n_buckets = max(1, math.ceil(count * width / BUCKET_CELLS))
     parts = max(min(n_buckets, PARTS), math.ceil(n_buckets / HELD))
